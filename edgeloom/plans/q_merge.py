@@ -1 +1,154 @@
 """Registered queries of the append / upsert path."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators.merge import (append_edges, append_vertices, edge_between, merge_edges, merge_vertices,
+                               status_changes, vertex_exists)
+from ..operators.resolve import resolve_any_label
+from ..schema import MOBILE
+from ..sinks.text import export_vertices
+from ..sources.text import ingest_labelled_edges, ingest_vertices
+from . import fixtures as fx
+from .catalog import register
+from .q_load import edge_lines, graph, vertex_lines
+
+_M_PROPS = ["name", "nm_pass", "nm_sha1", "is_register", "is_risk", "is_internal", "is_service", "merchant_name",
+            "status", "suspect_risk", "overdue_status"]
+
+
+def _unpivot_sql(table: str, label: str, props, derived=None) -> str:
+    derived = derived or {}
+    parts = []
+    for p in props:
+        expr = derived.get(p, p)
+        parts.append(f"select '{label}' as label, name, '{p}' as key, cast({expr} as varchar) as value "
+                     f"from {table} where {expr} is not null")
+    return "\nunion all ".join(parts)
+
+
+@register("append_vertices", "\nunion all ".join([
+    _unpivot_sql("mobile", "MOBILE", _M_PROPS, {"nm_pass": "name", "nm_sha1": "sha1(name)"}),
+    _unpivot_sql("device", "DEVICE", ["name", "is_exception", "is_white"]),
+    _unpivot_sql("wifi_raw", "WIFI", ["name", "is_exception", "is_white"]),
+]))
+def q_append_vertices(spark, sf_dir):
+    v = ingest_vertices(vertex_lines(spark, sf_dir))
+    state = v.where(F.col("label") != MOBILE).select("label", "attrs")
+    delta = v.where(F.col("label") == MOBILE)
+    out = append_vertices(state, delta)
+    return out.select("label", F.col("attrs")["name"].alias("name"), F.explode("attrs").alias("key", "value"))
+
+
+@register("append_edges", """
+select 'HAS' as label, start_id, end_id, cast(null as int) as mgm from has_id
+union all
+select x.label, a.id as start_id, b.id as end_id, case when x.label = 'CALL' then x.mgm end as mgm
+from (select start_name, 'CALL' as label, end_name, mgm from call_e
+      union all select start_name, 'USE', end_name, null from use_e
+      union all select start_name, 'USE_WIFI', end_name, null from use_wifi_e) x
+join allv a on a.name = x.start_name join allv b on b.name = x.end_name
+""", extra_ctes="""
+allv AS (select id, name from mobile_id union all select id, name from device_id union all select id, name from wifi_id)
+""")
+def q_append_edges(spark, sf_dir):
+    g = graph(spark, sf_dir)
+    state = g.edges.where(F.col("label") == "HAS")
+    lines = edge_lines(spark, sf_dir)
+    delta_lines = lines["CALL"].union(lines["USE"]).union(lines["USE_WIFI"])
+    delta = resolve_any_label(ingest_labelled_edges(delta_lines), g.vertices)
+    return append_edges(state, delta)
+
+
+# vertex upsert fixture: state = 2 in 3 customers, delta = every other customer
+_MERGE_CTES = """
+mstate AS (select 'MOBILE' as label, name, merchant_name, status from mobile where k % 3 <> 0),
+mdelta AS (select 'MOBILE' as label, name,
+             case when k % 4 = 0 then concat(merchant_name, '2') end as merchant_name,
+             cast(k % 7 - 1 as int) as status, k as ord from mobile where k % 2 = 0)
+"""
+
+
+def _merge_inputs(spark, sf_dir):
+    m = fx.mobile(spark, sf_dir, with_key=True)
+    state = m.where(F.col("k") % 3 != 0).select(F.lit(MOBILE).alias("label"), "name", "merchant_name", "status")
+    d = m.where(F.col("k") % 2 == 0).select(
+        "name", "k",
+        F.when(F.col("k") % 4 == 0, F.concat("merchant_name", F.lit("2"))).alias("merchant_name"),
+        (F.col("k") % 7 - 1).cast("int").alias("status"))
+    # the delta arrives as exported vertex text and goes through the reader
+    lines = export_vertices(d, MOBILE, cols=["name", "merchant_name", "status"]).withColumnRenamed("line", "value")
+    v = ingest_vertices(lines)
+    delta = v.select("label", F.col("attrs")["name"].alias("name"), F.col("attrs")["merchant_name"].alias("merchant_name"),
+                     F.col("attrs")["status"].cast("int").alias("status"),
+                     F.substring_index("gid", ".", -1).cast("bigint").alias("ord"))
+    return state, delta
+
+
+@register("merge_vertices", """
+select coalesce(s.label, d.label) as label, coalesce(s.name, d.name) as name,
+  coalesce(d.merchant_name, s.merchant_name) as merchant_name,
+  greatest(s.status, case when d.status > 0 then d.status end) as status
+from mstate s full join mdelta d on s.label = d.label and s.name = d.name
+""", extra_ctes=_MERGE_CTES)
+def q_merge_vertices(spark, sf_dir):
+    state, delta = _merge_inputs(spark, sf_dir)
+    return merge_vertices(state, delta)
+
+
+@register("merge_status", """
+select d.label, d.name, s.status as old_status, d.status as delta_status, d.status as status
+from (select label, name, max(case when status > 0 then status end) as status from mdelta group by label, name) d
+left join mstate s on s.label = d.label and s.name = d.name
+where d.status is not null and (s.status is null or s.status < d.status)
+""", extra_ctes=_MERGE_CTES)
+def q_merge_status(spark, sf_dir):
+    state, delta = _merge_inputs(spark, sf_dir)
+    return status_changes(state, delta)
+
+
+# edge upsert fixture: CALL rows keyed by name with ends folded mod 200 so pairs repeat
+_EDGE_MERGE_CTES = """
+ckeyed AS (select start_name, 'CALL' as label,
+             concat('Customer#', lpad(cast(target % 200 as varchar), 9, '0')) as end_name, mgm, ord
+           from call_base where ord % 97 <> 0),
+es AS (select start_name, label, end_name, max_by(mgm, ord) filter (where mgm is not null) as mgm
+       from ckeyed where ord % 3 <> 0 group by start_name, label, end_name),
+ed AS (select start_name, label, end_name, max_by(mgm, ord) filter (where mgm is not null) as mgm
+       from ckeyed where ord % 4 = 0 group by start_name, label, end_name)
+"""
+
+
+def _edge_merge_inputs(spark, sf_dir):
+    k = fx.call_keyed(spark, sf_dir)
+    return k.where(F.col("ord") % 3 != 0), k.where(F.col("ord") % 4 == 0)
+
+
+@register("merge_edges", """
+select coalesce(s.start_name, d.start_name) as start_name, coalesce(s.label, d.label) as label,
+  coalesce(s.end_name, d.end_name) as end_name,
+  case when coalesce(s.label, d.label) = 'CALL' then coalesce(d.mgm, s.mgm) end as mgm
+from es s full join ed d on s.start_name = d.start_name and s.label = d.label and s.end_name = d.end_name
+""", extra_ctes=_EDGE_MERGE_CTES)
+def q_merge_edges(spark, sf_dir):
+    state, delta = _edge_merge_inputs(spark, sf_dir)
+    return merge_edges(state, delta)
+
+
+@register("edge_between", """
+select d.start_name, d.label, d.end_name from ed d
+where exists (select 1 from es s where s.start_name = d.start_name and s.label = d.label and s.end_name = d.end_name)
+""", extra_ctes=_EDGE_MERGE_CTES)
+def q_edge_between(spark, sf_dir):
+    state, delta = _edge_merge_inputs(spark, sf_dir)
+    return edge_between(delta.select("start_name", "label", "end_name").distinct(), state)
+
+
+@register("vertex_exists", """
+select distinct end_name as name from call_e c where exists (select 1 from vwide v where v.name = c.end_name)
+""")
+def q_vertex_exists(spark, sf_dir):
+    g = graph(spark, sf_dir)
+    names = fx.call(spark, sf_dir).select(F.col("end_name").alias("name")).distinct()
+    return vertex_exists(names, g.wide_vertices())

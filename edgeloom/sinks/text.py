@@ -45,12 +45,13 @@ def _json_of(cols) -> F.Column:
     return F.to_json(F.struct(*[F.col(c) for c in cols]))
 
 
-def export_vertices(vertices: DataFrame, label: str, key_col: str = "k") -> DataFrame:
+def export_vertices(vertices: DataFrame, label: str, key_col: str = "k", cols=None) -> DataFrame:
     """K6: ``label[code.key]{json}`` per vertex (label lower-case, as the source prints it).
 
-    ``vertices`` carries the label's properties and a local key column.
+    ``vertices`` carries the label's properties (``cols``, default: all of
+    the label's exported properties) and a local key column.
     """
-    cols = MOBILE_EXPORT_COLUMNS if label == MOBILE else DEVICE_COLUMNS
+    cols = cols or (MOBILE_EXPORT_COLUMNS if label == MOBILE else DEVICE_COLUMNS)
     gid = F.concat(F.lit(f"{EXPORT_LABEL_CODES[label]}."), F.col(key_col).cast("string"))
     line = F.concat(F.lit(label.lower()), F.lit("["), gid, F.lit("]"), _json_of(cols))
     return vertices.select(line.alias("line"))
