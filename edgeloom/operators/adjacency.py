@@ -9,10 +9,10 @@ Instead of a chain of per-label cogroups, all edges are turned into
 half-edges in one pass and folded by three aggregations whose shuffles get
 smaller each time:
 
-* L0 ``(id, dir, label, other, mgm) -> copies``: map-side partial
+* L0 ``(id, direction+label slot, other, mgm) -> copies``: map-side partial
   aggregation collapses repeated edges before anything is shuffled, so a
   group of copies costs one row.
-* L1 ``(id, dir, label, other div W)``: each vertex's neighbours are cut
+* L1 ``(id, slot, other div W)``: each vertex's neighbours are cut
   into ordered chunks of at most ``W`` distinct neighbours, sorted and
   printed in parallel. A hub's edges are spread over many tasks.
 * L2 ``(id, vertex label)``: vertex rows and printed chunks meet in one
@@ -34,11 +34,16 @@ from ..schema import (CALL, DEVICE, DEVICE_COLUMNS, EDGE_ENDPOINTS, EDGE_SEP, FI
 DEFAULT_CHUNK = 4096
 
 
-def _endpoint_label(label: Column, out: bool) -> Column:
+# Edge labels ranked alphabetically: sorting by rank sorts by label text.
+_LABEL_RANK = {label: i for i, label in enumerate(sorted(EDGE_ENDPOINTS))}
+_RANK_LABEL = {i: label for label, i in _LABEL_RANK.items()}
+
+
+def _lit_map(d: dict) -> Column:
     pairs = []
-    for e, (src, dst) in EDGE_ENDPOINTS.items():
-        pairs += [F.lit(e), F.lit(src if out else dst)]
-    return F.element_at(F.create_map(*pairs), label)
+    for k, v in d.items():
+        pairs += [F.lit(k), F.lit(v)]
+    return F.create_map(*pairs)
 
 
 def vertex_records(vertices_by_label: dict[str, DataFrame]) -> DataFrame:
@@ -55,13 +60,19 @@ def vertex_records(vertices_by_label: dict[str, DataFrame]) -> DataFrame:
 
 
 def half_edges(edges: DataFrame) -> DataFrame:
-    """Each edge once from each end: (id, is_out, label, other, mgm), in one pass."""
+    """Each edge once from each end, in one pass: (id, slot, other, mgm).
+
+    ``slot`` = 2 * label rank + (1 for the out side): a small int, so the
+    shuffle keys below are all fixed-width. Labels outside the schema have
+    no endpoint label and are dropped.
+    """
     mgm = F.col("mgm") if "mgm" in edges.columns else F.lit(None).cast("int")
-    out = F.struct(F.col("start_id").alias("id"), F.lit(True).alias("is_out"), F.col("label"),
-                   F.col("end_id").alias("other"), mgm.alias("mgm"))
-    inn = F.struct(F.col("end_id").alias("id"), F.lit(False).alias("is_out"), F.col("label"),
-                   F.col("start_id").alias("other"), mgm.alias("mgm"))
-    return edges.select(F.inline(F.array(out, inn)))
+    rank = F.element_at(_lit_map(_LABEL_RANK), F.col("label"))
+    out = F.struct(F.col("start_id").alias("id"), (rank * 2 + 1).alias("slot"), F.col("end_id").alias("other"),
+                   mgm.alias("mgm"))
+    inn = F.struct(F.col("end_id").alias("id"), (rank * 2).alias("slot"), F.col("start_id").alias("other"),
+                   mgm.alias("mgm"))
+    return edges.where(rank.isNotNull()).select(F.inline(F.array(out, inn)))
 
 
 def build_adjacency(vertices: DataFrame, edges: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
@@ -75,24 +86,31 @@ def build_adjacency(vertices: DataFrame, edges: DataFrame, chunk: int = DEFAULT_
     label) the smallest props text is kept.
     """
     h = half_edges(edges)
-    l0 = h.groupBy("id", "is_out", "label", "other", "mgm").agg(F.count(F.lit(1)).alias("n"))
-    mgm_text = F.when(F.col("label") == CALL, F.concat(F.lit(FIELD_SEP), null_to_empty("mgm"))).otherwise(F.lit(""))
-    l0 = l0.select("id", "is_out", "label", "other", mgm_text.alias("tail"), "n")
-    l1 = (l0.groupBy("id", "is_out", "label", F.expr(f"other div {int(chunk)}").alias("bucket"))
-          .agg(F.array_sort(F.collect_list(F.struct("other", "tail", "n"))).alias("items")))
+    # L0: copies collapse map-side
+    l0 = h.groupBy("id", "slot", "other", "mgm").agg(F.count(F.lit(1)).alias("n"))
+    label = F.element_at(_lit_map(_RANK_LABEL), F.shiftright("slot", 1))
+    tail = F.when(label == CALL, F.concat(F.lit(FIELD_SEP), null_to_empty("mgm"))).otherwise(F.lit(""))
+    # L1: ordered chunks of at most ``chunk`` distinct neighbours
+    l1 = (l0.groupBy("id", "slot", F.expr(f"other div {int(chunk)}").alias("bucket"))
+          .agg(F.sort_array(F.collect_list(F.struct("other", tail.alias("tail"), "n"))).alias("items")))
+    lbl = F.element_at(_lit_map(_RANK_LABEL), F.shiftright("slot", 1))
     text = F.array_join(F.flatten(F.transform(
         "items", lambda x: F.array_repeat(
-            F.concat(F.col("label"), F.lit(FIELD_SEP), x["other"].cast("string"), x["tail"]), x["n"].cast("int")))),
+            F.concat(lbl, F.lit(FIELD_SEP), x["other"].cast("string"), x["tail"]), x["n"].cast("int")))),
         EDGE_SEP)
-    vlabel = F.when(F.col("is_out"), _endpoint_label(F.col("label"), True)).otherwise(_endpoint_label(F.col("label"), False))
-    chunks = l1.select("id", vlabel.alias("vlabel"), "is_out", "label", "bucket", text.alias("chunk"))
+    out_label = {r * 2 + 1: EDGE_ENDPOINTS[lab][0] for lab, r in _LABEL_RANK.items()}
+    in_label = {r * 2: EDGE_ENDPOINTS[lab][1] for lab, r in _LABEL_RANK.items()}
+    vlabel = F.element_at(_lit_map({**out_label, **in_label}), F.col("slot"))
+    chunks = l1.select("id", vlabel.alias("vlabel"), "slot", "bucket", text.alias("chunk"))
+    # L2: vertex rows and chunks meet in one aggregation
     vrows = vertices.select("id", F.col("label").alias("vlabel"), "props")
     rows = vrows.unionByName(chunks, allowMissingColumns=True)
-    key = F.struct("label", "bucket", "chunk")
+    key = F.struct("slot", "bucket", "chunk")
+    is_out = (F.col("slot") % 2) == 1
     adj = (rows.groupBy("id", "vlabel")
            .agg(F.min("props").alias("props"),
-                F.array_sort(F.collect_list(F.when(~F.col("is_out"), key))).alias("_in"),
-                F.array_sort(F.collect_list(F.when(F.col("is_out"), key))).alias("_out"))
+                F.sort_array(F.collect_list(F.when(~is_out, key))).alias("_in"),
+                F.sort_array(F.collect_list(F.when(is_out, key))).alias("_out"))
            .where(F.col("props").isNotNull()))
     return adj.select(
         "id", F.col("vlabel").alias("label"), "props",

@@ -20,3 +20,10 @@ def wide_vertices(vertices_by_label: dict[str, DataFrame]) -> DataFrame:
             cols.append((F.col(c) if c in v.columns else F.lit(None)).cast(typ).alias(c))
         parts.append(v.select(*cols))
     return reduce(DataFrame.unionByName, parts)
+
+
+def by_label(wide: DataFrame) -> dict[str, DataFrame]:
+    """Split a wide vertex table back into per-label staged tables (id + the label's columns)."""
+    from ..schema import VERTEX_LABELS, columns_for
+    return {label: wide.where(F.col("label") == label).select("id", *columns_for(label))
+            for label in VERTEX_LABELS}

@@ -16,6 +16,7 @@ from ..operators.ids import assign_dense_ids, attach_ids, union_names
 from ..operators.quality import conflicting_names, remove_conflicting, tagged_names
 from ..operators.resolve import graph_edges, resolve_all
 from ..operators.stage import stage_device, stage_mobile
+from ..session import freeze
 from ..schema import CALL, DEVICE, EDGE_LABELS, MOBILE, WIFI
 from ..sources.text import ingest_call_edges, ingest_edges, ingest_vertices
 
@@ -26,6 +27,8 @@ class LoadedGraph:
     vertices: dict[str, DataFrame]      # label -> (id, staged columns...)
     resolved: dict[str, DataFrame]      # edge label -> (start_id, end_id[, mgm])
     conflicts: DataFrame                # (name, count)
+    staged_vertices: dict[str, DataFrame] | None = None   # before conflict removal
+    staged_edges: dict[str, DataFrame] | None = None      # by name
 
     @property
     def edges(self) -> DataFrame:
@@ -47,7 +50,8 @@ def load_graph(staged_vertices: dict[str, DataFrame], staged_edges: dict[str, Da
     ids = assign_dense_ids(union_names(*clean.values()))
     with_ids = {label: attach_ids(v, ids) for label, v in clean.items()}
     resolved = resolve_all(staged_edges, with_ids)
-    return LoadedGraph(ids=ids, vertices=with_ids, resolved=resolved, conflicts=conflicts)
+    return LoadedGraph(ids=ids, vertices=with_ids, resolved=resolved, conflicts=conflicts,
+                       staged_vertices=staged_vertices, staged_edges=staged_edges)
 
 
 def stage_from_text(vertex_lines: DataFrame, edge_lines: dict[str, DataFrame] | DataFrame) -> tuple[dict, dict]:
@@ -78,7 +82,16 @@ def _only_label(edge_lines: DataFrame, label: str) -> DataFrame:
     return edge_lines.where(F.upper(second) == label)
 
 
-def stage_all(vertex_lines: DataFrame, edge_lines: DataFrame, give_way: str = WIFI) -> LoadedGraph:
-    """The whole batch load from raw text."""
+def stage_all(vertex_lines: DataFrame, edge_lines, give_way: str = WIFI, materialize: bool = True) -> LoadedGraph:
+    """The whole batch load from raw text.
+
+    The staged tables are read several times (conflict check, names for the
+    ids, id attachment, edge resolution), so by default each is written
+    once to the checkpoint folder, like the staging tables of the original
+    flow; the text is then parsed exactly once.
+    """
     vertices, edges = stage_from_text(vertex_lines, edge_lines)
+    if materialize:
+        vertices = {label: freeze(v) for label, v in vertices.items()}
+        edges = {label: freeze(e) for label, e in edges.items()}
     return load_graph(vertices, edges, give_way)
