@@ -55,9 +55,11 @@ def run(spark, sf_dir: str, out: str) -> dict[str, float]:
         times[name] = round(time.perf_counter() - t0, 3)
 
     # setup (untimed): the source database's export, one text folder per vertex set / edge label
-    write_lines(vertex_lines(spark, sf_dir).withColumnRenamed("value", "line"), f"{out}/export/vertices")
+    files = spark.sparkContext.defaultParallelism
+    write_lines(vertex_lines(spark, sf_dir).withColumnRenamed("value", "line").repartition(files),
+                f"{out}/export/vertices")
     for label, lines in edge_lines(spark, sf_dir).items():
-        write_lines(lines.withColumnRenamed("value", "line"), f"{out}/export/{label}")
+        write_lines(lines.withColumnRenamed("value", "line").repartition(files), f"{out}/export/{label}")
 
     # load: text -> staged -> conflicts -> ids -> resolved, written as a snapshot
     loaded = {}

@@ -44,18 +44,23 @@ def field(arr, i: int) -> Column:
     return F.get(col(arr), i)
 
 
-def java_split(c, sep_regex: str) -> Column:
-    """Split like ``String.split(regex)`` on the JVM: trailing empty fields dropped.
+def java_split(c, sep: str) -> Column:
+    """Split on a one-character separator like ``String.split`` on the JVM:
+    trailing empty fields are dropped.
 
     Spark's ``split`` keeps trailing empties (``a,CALL,b,`` has four fields);
     the exported-text readers count fields the JVM way.
     """
-    return F.split(F.regexp_replace(col(c), f"(?:{sep_regex})+$", ""), sep_regex)
+    return F.split(F.rtrim(col(c), F.lit(sep)), _regex_literal(sep))
+
+
+def _regex_literal(sep: str) -> str:
+    return "\\" + sep if sep in ".$|()[]{}^?*+\\" else sep
 
 
 def strip_quotes(c) -> Column:
-    """Remove every double quote."""
-    return F.regexp_replace(col(c), '"', "")
+    """Remove every double quote (literal replace, no regex)."""
+    return F.replace(col(c), F.lit('"'), F.lit(""))
 
 
 def label_of(line) -> Column:

@@ -45,7 +45,7 @@ def compare(spark, con, name: str, fn, sql: str, sf_dir: str) -> dict:
     sdf = fn(spark, sf_dir)
     s_cols, s_rows = rows_of(sdf.toArrow())
     t1 = time.time()
-    o_cols, o_rows = rows_of(con.execute(sql).to_arrow_table())
+    o_cols, o_rows = rows_of(con.sql(sql).to_arrow_table())
     ok = s_cols == o_cols and s_rows == o_rows
     out = {"name": name, "ok": ok, "rows": len(s_rows), "oracle_rows": len(o_rows), "spark_sec": round(t1 - t0, 2)}
     if not ok:
