@@ -47,7 +47,7 @@ def assign_dense_ids(names: DataFrame, name_col: str = "name",
         F.shiftright("_mid", _POS_BITS).alias("_part"),
         (F.col("_mid") - F.shiftleft(F.shiftright("_mid", _POS_BITS), _POS_BITS)).alias("_pos"),
     )
-    frozen = freeze(ranked)
+    frozen = freeze(ranked, "ranked-names")
     counts = frozen.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

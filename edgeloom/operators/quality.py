@@ -28,6 +28,20 @@ def conflicting_names(tagged: DataFrame) -> DataFrame:
             .where(F.col("count") > 1))
 
 
+def conflicts_by_name(vertices_by_label: dict[str, DataFrame], tags: dict[str, str] | None = None) -> DataFrame:
+    """U2 + A2 in one aggregation: (name, count) for names under more than one label.
+
+    ``count`` is the number of distinct labels, as over the de-duplicated
+    tagged table; the set of tags per name is combined map-side, so a
+    name repeated many times inside one label costs one entry per task.
+    """
+    tags = tags or LABEL_TAGS
+    parts = [v.select("name", F.lit(tags[label]).alias("type")) for label, v in vertices_by_label.items()]
+    return (reduce(DataFrame.union, parts).groupBy("name")
+            .agg(F.size(F.collect_set("type")).cast("bigint").alias("count"))
+            .where(F.col("count") > 1))
+
+
 def remove_conflicting(vertices: DataFrame, conflicts: DataFrame, name_col: str = "name") -> DataFrame:
     """Vertices whose name is not a conflicting name (anti-join)."""
     return vertices.join(conflicts.select(F.col("name").alias(name_col)), name_col, "left_anti")

@@ -46,6 +46,43 @@ def stage_device(vertices: DataFrame, label: str = DEVICE) -> DataFrame:
     return d.select(*[_attr(c).alias(c) for c in DEVICE_COLUMNS])
 
 
+def stage_vertices_wide(vertices: DataFrame) -> DataFrame:
+    """P1+P2 in one projection: (label, every staged column) for all labels.
+
+    Lets a pipeline parse and store the vertex text once and split it by
+    label afterwards (``split_staged``).
+    """
+    m = {c: stage_col for c, stage_col in zip(MOBILE_COLUMNS, _mobile_cols())}
+    is_m = F.col("label") == MOBILE
+    cols = [F.col("label")]
+    for c in MOBILE_COLUMNS:
+        cols.append(F.when(is_m, m[c]).otherwise(_attr(c) if c in DEVICE_COLUMNS else F.lit(None)).alias(c)
+                    if c != "name" else _attr("name").alias("name"))
+    for c in DEVICE_COLUMNS[1:]:
+        cols.append(F.when(~is_m, _attr(c)).alias(c))
+    return vertices.where(F.col("label").isin(MOBILE, DEVICE, WIFI)).select(*cols)
+
+
+def split_staged(wide: DataFrame) -> dict[str, DataFrame]:
+    """Per-label staged tables from ``stage_vertices_wide`` output."""
+    return {label: wide.where(F.col("label") == label).select(*(MOBILE_COLUMNS if label == MOBILE else DEVICE_COLUMNS))
+            for label in (DEVICE, WIFI, MOBILE)}
+
+
+def _mobile_cols():
+    out = []
+    for c in MOBILE_COLUMNS:
+        if c == "nm_pass":
+            out.append(_attr("name"))
+        elif c == "nm_sha1":
+            out.append(sha1_hex(_attr("name")))
+        elif c in MOBILE_INT_COLUMNS:
+            out.append(parse_int(_attr(c)))
+        else:
+            out.append(_attr(c))
+    return out
+
+
 def with_label(df: DataFrame, value: str, name: str = "label") -> DataFrame:
     """Add a constant tag column."""
     return df.withColumn(name, F.lit(value))

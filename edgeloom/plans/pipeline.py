@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ids import assign_dense_ids, attach_ids, union_names
-from ..operators.quality import conflicting_names, remove_conflicting, tagged_names
+from ..operators.quality import conflicts_by_name, remove_conflicting
 from ..operators.resolve import graph_edges, resolve_all
-from ..operators.stage import stage_device, stage_mobile
+from ..operators.stage import split_staged, stage_device, stage_mobile, stage_vertices_wide
 from ..session import freeze
 from ..schema import CALL, DEVICE, EDGE_LABELS, MOBILE, WIFI
 from ..sources.text import ingest_call_edges, ingest_edges, ingest_vertices
@@ -42,13 +42,21 @@ class LoadedGraph:
 
 
 def load_graph(staged_vertices: dict[str, DataFrame], staged_edges: dict[str, DataFrame],
-               give_way: str = WIFI) -> LoadedGraph:
-    """Conflicts -> removal from ``give_way`` -> dense ids -> attach -> resolve."""
-    conflicts = conflicting_names(tagged_names(staged_vertices))
+               give_way: str = WIFI, materialize: bool = False) -> LoadedGraph:
+    """Conflicts -> removal from ``give_way`` -> dense ids -> attach -> resolve.
+
+    With ``materialize`` the id-attached vertex tables are written once (the
+    ``*_id`` tables of the original flow): every edge label's resolution
+    reads them, and stored tables carry the size statistics that let the
+    planner broadcast the small ones instead of shuffling the edges.
+    """
+    conflicts = conflicts_by_name(staged_vertices)
     clean = dict(staged_vertices)
     clean[give_way] = remove_conflicting(clean[give_way], conflicts)
     ids = assign_dense_ids(union_names(*clean.values()))
     with_ids = {label: attach_ids(v, ids) for label, v in clean.items()}
+    if materialize:
+        with_ids = {label: freeze(v, f"{label.lower()}-ids") for label, v in with_ids.items()}
     resolved = resolve_all(staged_edges, with_ids)
     return LoadedGraph(ids=ids, vertices=with_ids, resolved=resolved, conflicts=conflicts,
                        staged_vertices=staged_vertices, staged_edges=staged_edges)
@@ -63,6 +71,11 @@ def stage_from_text(vertex_lines: DataFrame, edge_lines: dict[str, DataFrame] |
     """
     v = ingest_vertices(vertex_lines)
     vertices = {DEVICE: stage_device(v, DEVICE), WIFI: stage_device(v, WIFI), MOBILE: stage_mobile(v)}
+    edges = _stage_edges(edge_lines)
+    return vertices, edges
+
+
+def _stage_edges(edge_lines) -> dict[str, DataFrame]:
     edges = {}
     for label in EDGE_LABELS:
         lines = edge_lines.get(label) if isinstance(edge_lines, dict) else _only_label(edge_lines, label)
@@ -72,7 +85,7 @@ def stage_from_text(vertex_lines: DataFrame, edge_lines: dict[str, DataFrame] |
             edges[label] = ingest_call_edges(lines)
         else:
             edges[label] = ingest_edges(lines).select("start_name", "end_name")
-    return vertices, edges
+    return edges
 
 
 def _only_label(edge_lines: DataFrame, label: str) -> DataFrame:
@@ -90,8 +103,11 @@ def stage_all(vertex_lines: DataFrame, edge_lines, give_way: str = WIFI, materia
     once to the checkpoint folder, like the staging tables of the original
     flow; the text is then parsed exactly once.
     """
-    vertices, edges = stage_from_text(vertex_lines, edge_lines)
-    if materialize:
-        vertices = {label: freeze(v) for label, v in vertices.items()}
-        edges = {label: freeze(e) for label, e in edges.items()}
-    return load_graph(vertices, edges, give_way)
+    if not materialize:
+        vertices, edges = stage_from_text(vertex_lines, edge_lines)
+        return load_graph(vertices, edges, give_way)
+    # vertex text is parsed once into one wide staging table, then split by label
+    wide = freeze(stage_vertices_wide(ingest_vertices(vertex_lines)), "staged-vertices")
+    vertices = split_staged(wide)
+    edges = {label: freeze(e, f"staged-{label.lower()}") for label, e in _stage_edges(edge_lines).items()}
+    return load_graph(vertices, edges, give_way, materialize=True)

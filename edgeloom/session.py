@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,12 +63,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def freeze(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the reliable checkpoint folder and cut lineage.
+def freeze(df: DataFrame, name: str = "frozen") -> DataFrame:
+    """Write ``df`` as a parquet table under the checkpoint folder and read it back.
 
-    Used where a result that depends on physical partitioning (dense ids)
-    must be read twice and must not change if a stage is recomputed after
-    an executor is lost.
+    Cuts lineage (a result that must not change if a stage is recomputed
+    after an executor loss, e.g. numbered names, is read from storage, not
+    recomputed) and gives the optimizer real size statistics, so a small
+    frozen table can be broadcast from the plan's start. The folder comes
+    from ``checkpoint_dir``: shared storage on a cluster.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -41,10 +41,10 @@ def insert_overwrite(df: DataFrame, name: str) -> None:
 
 
 def write_snapshot(vertices: DataFrame, edges: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Write a graph snapshot (vertices sorted by id, edges by label and start_id)."""
+    """Write a graph snapshot (vertex files sorted by id, edges range-partitioned by label and start_id)."""
     spark = vertices.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vertices.repartitionByRange(n, "id").sortWithinPartitions("id").write.mode("overwrite").parquet(f"{path}/vertices")
+    vertices.sortWithinPartitions("id").write.mode("overwrite").parquet(f"{path}/vertices")
     (edges.repartitionByRange(n, "label", "start_id").sortWithinPartitions("label", "start_id")
      .write.mode("overwrite").parquet(f"{path}/edges"))
 
