@@ -98,16 +98,17 @@ def _only_label(edge_lines: DataFrame, label: str) -> DataFrame:
 def stage_all(vertex_lines: DataFrame, edge_lines, give_way: str = WIFI, materialize: bool = True) -> LoadedGraph:
     """The whole batch load from raw text.
 
-    The staged tables are read several times (conflict check, names for the
-    ids, id attachment, edge resolution), so by default each is written
-    once to the checkpoint folder, like the staging tables of the original
-    flow; the text is then parsed exactly once.
+    The staged vertex table is read several times (conflict check, names
+    for the ids, id attachment), so by default it is written once to the
+    checkpoint folder, like the staging tables of the original flow, and so
+    are the id-attached vertex tables every edge resolution reads. Each
+    text line is parsed exactly once.
     """
     if not materialize:
         vertices, edges = stage_from_text(vertex_lines, edge_lines)
         return load_graph(vertices, edges, give_way)
-    # vertex text is parsed once into one wide staging table, then split by label
+    # vertex text is parsed once into one wide staging table, then split by label;
+    # edge text is read once, by its resolution join, so it is not stored
     wide = freeze(stage_vertices_wide(ingest_vertices(vertex_lines)), "staged-vertices")
     vertices = split_staged(wide)
-    edges = {label: freeze(e, f"staged-{label.lower()}") for label, e in _stage_edges(edge_lines).items()}
-    return load_graph(vertices, edges, give_way, materialize=True)
+    return load_graph(vertices, _stage_edges(edge_lines), give_way, materialize=True)
