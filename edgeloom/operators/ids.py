@@ -36,10 +36,12 @@ def union_names(*frames: DataFrame, name_col: str = "name") -> DataFrame:
 def assign_dense_ids(names: DataFrame, name_col: str = "name",
                      num_partitions: int | None = None) -> DataFrame:
     """(id, name) with id = 1..N in name order; one id per distinct name."""
-    spark = names.sparkSession
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     distinct = names.select(F.col(name_col).alias("name")).where(F.col("name").isNotNull()).distinct()
-    ranked = (distinct.repartitionByRange(n, "name")
+    # Without an explicit count AQE sizes the range partitions from the data;
+    # it only merges neighbouring ranges, so the global order is kept.
+    by_range = (distinct.repartitionByRange(num_partitions, "name") if num_partitions
+                else distinct.repartitionByRange("name"))
+    ranked = (by_range
               .sortWithinPartitions("name")
               .select("name", F.monotonically_increasing_id().alias("_mid")))
     ranked = ranked.select(

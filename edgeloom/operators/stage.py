@@ -25,17 +25,7 @@ def stage_mobile(vertices: DataFrame) -> DataFrame:
     ignored. Integer columns parse leniently (non-integers become null).
     """
     m = vertices.where(F.col("label") == MOBILE)
-    cols = []
-    for c in MOBILE_COLUMNS:
-        if c == "nm_pass":
-            cols.append(_attr("name").alias(c))
-        elif c == "nm_sha1":
-            cols.append(sha1_hex(_attr("name")).alias(c))
-        elif c in MOBILE_INT_COLUMNS:
-            cols.append(parse_int(_attr(c)).alias(c))
-        else:
-            cols.append(_attr(c).alias(c))
-    return m.select(*cols)
+    return m.select(*[e.alias(c) for c, e in zip(MOBILE_COLUMNS, _mobile_cols())])
 
 
 def stage_device(vertices: DataFrame, label: str = DEVICE) -> DataFrame:
@@ -49,15 +39,15 @@ def stage_device(vertices: DataFrame, label: str = DEVICE) -> DataFrame:
 def stage_vertices_wide(vertices: DataFrame) -> DataFrame:
     """P1+P2 in one projection: (label, every staged column) for all labels.
 
-    Lets a pipeline parse and store the vertex text once and split it by
-    label afterwards (``split_staged``).
+    MOBILE rows fill the mobile columns, DEVICE/WIFI rows fill
+    is_exception/is_white; the rest is null. Lets a pipeline parse and
+    store the vertex text once and split it by label afterwards
+    (``split_staged``).
     """
-    m = {c: stage_col for c, stage_col in zip(MOBILE_COLUMNS, _mobile_cols())}
     is_m = F.col("label") == MOBILE
-    cols = [F.col("label")]
-    for c in MOBILE_COLUMNS:
-        cols.append(F.when(is_m, m[c]).otherwise(_attr(c) if c in DEVICE_COLUMNS else F.lit(None)).alias(c)
-                    if c != "name" else _attr("name").alias("name"))
+    cols = [F.col("label"), _attr("name").alias("name")]
+    for c, expr in zip(MOBILE_COLUMNS[1:], _mobile_cols()[1:]):
+        cols.append(F.when(is_m, expr).alias(c))
     for c in DEVICE_COLUMNS[1:]:
         cols.append(F.when(~is_m, _attr(c)).alias(c))
     return vertices.where(F.col("label").isin(MOBILE, DEVICE, WIFI)).select(*cols)
@@ -70,6 +60,7 @@ def split_staged(wide: DataFrame) -> dict[str, DataFrame]:
 
 
 def _mobile_cols():
+    """Typed expressions of the 11 staged mobile columns, in order, from ``attrs``."""
     out = []
     for c in MOBILE_COLUMNS:
         if c == "nm_pass":
