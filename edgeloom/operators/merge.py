@@ -8,9 +8,11 @@ edges) and a delta is folded in by a join, producing the next snapshot.
   so the result does not depend on partition order), then one full outer
   join with the state on the key. Keys are unique on both sides after the
   collapse, so the join cannot fan out; the collapse itself is a partial
-  (map-side) aggregation, so a hot key costs one row per task. When the
-  state is stored bucketed by the key (``sinks.tables.write_snapshot``),
-  the join shuffles only the delta.
+  (map-side) aggregation, so a hot key costs one row per task.
+* a delta whose row count passes a size check is broadcast and the state
+  is only streamed (no shuffle of the big side); a larger delta uses a
+  full outer sort-merge join (which shuffles only the delta when the state
+  is stored bucketed by the key, ``sinks.tables.replace_table``).
 """
 
 from __future__ import annotations
@@ -73,13 +75,45 @@ def collapse_by_key(delta: DataFrame, keys: list[str], ord_col: str = "ord",
     return delta.groupBy(*keys).agg(*aggs)
 
 
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def _delta_is_small(d: DataFrame, broadcast_rows: int) -> bool:
+    """The size check in front of a broadcast: count the collapsed delta (bounded work)."""
+    return broadcast_rows > 0 and d.limit(broadcast_rows + 1).count() <= broadcast_rows
+
+
+def _upsert(state: DataFrame, d: DataFrame, keys: list[str], combine, broadcast_rows: int) -> DataFrame:
+    """Join a collapsed delta (unique keys) into the state and shape rows with ``combine``.
+
+    ``combine()`` returns the output columns built from the key columns and
+    the ``_s_*``/``_d_*`` columns. A delta within ``broadcast_rows`` is
+    broadcast: the state is streamed through a left-outer hash join (one
+    pass, no shuffle) and delta keys missing from the state are found by a
+    broadcast semi-join (a second pass). A larger delta takes one full outer
+    sort-merge join.
+    """
+    if not _delta_is_small(d, broadcast_rows):
+        return state.join(d, keys, "full_outer").select(*combine())
+    b = F.broadcast(d)
+    kept = state.join(b, keys, "left").select(*combine())
+    seen = state.select(*keys).join(F.broadcast(d.select(*keys)), keys, "left_semi").distinct()
+    new = d.join(seen, keys, "left_anti")
+    for c in state.columns:
+        if c not in keys:
+            new = new.withColumn(c, F.lit(None).cast(state.schema[c].dataType))
+    return kept.unionByName(new.select(*combine()))
+
+
 def merge_vertices(state: DataFrame, delta: DataFrame, keys=("label", "name"), ord_col: str = "ord",
-                   status_col: str = "status") -> DataFrame:
+                   status_col: str = "status", broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """G6 (+A5): get-or-create by key; other properties overwritten when given.
 
     status only rises: merged = greatest(stored, delta when > 0). A delta
     status of 0, negative or absent leaves the stored one alone. MOBILE
-    rows keep nm_pass/nm_sha1 derived from the name.
+    rows keep nm_pass/nm_sha1 derived from the name. A delta of at most
+    ``broadcast_rows`` keys is merged without shuffling the state (see
+    ``_upsert``); ``broadcast_rows=0`` always uses the full outer join.
     """
     keys = list(keys)
     d = collapse_by_key(delta, keys, ord_col, status_col if status_col in delta.columns else None)
@@ -87,21 +121,24 @@ def merge_vertices(state: DataFrame, delta: DataFrame, keys=("label", "name"), o
     d_cols = [c for c in d.columns if c not in keys]
     s = state.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in s_cols])
     dd = d.select(*keys, *[F.col(c).alias(f"_d_{c}") for c in d_cols])
-    j = s.join(dd, keys, "full_outer")
-    out = [F.col(k) for k in keys]
-    for c in s_cols + [c for c in d_cols if c not in s_cols]:
-        sc = F.col(f"_s_{c}") if c in s_cols else F.lit(None)
-        dc = F.col(f"_d_{c}") if c in d_cols else F.lit(None)
-        if c == status_col:
-            v = monotone_status(sc, dc)
-        elif c == "nm_pass" and "label" in keys:
-            v = F.when(F.col("label") == MOBILE, F.col("name")).otherwise(F.coalesce(dc, sc))
-        elif c == "nm_sha1" and "label" in keys:
-            v = F.when(F.col("label") == MOBILE, sha1_hex("name")).otherwise(F.coalesce(dc, sc))
-        else:
-            v = F.coalesce(dc, sc)
-        out.append(v.alias(c))
-    return j.select(*out)
+
+    def combine():
+        out = [F.col(k) for k in keys]
+        for c in s_cols + [c for c in d_cols if c not in s_cols]:
+            sc = F.col(f"_s_{c}") if c in s_cols else F.lit(None)
+            dc = F.col(f"_d_{c}") if c in d_cols else F.lit(None)
+            if c == status_col:
+                v = monotone_status(sc, dc)
+            elif c == "nm_pass" and "label" in keys:
+                v = F.when(F.col("label") == MOBILE, F.col("name")).otherwise(F.coalesce(dc, sc))
+            elif c == "nm_sha1" and "label" in keys:
+                v = F.when(F.col("label") == MOBILE, sha1_hex("name")).otherwise(F.coalesce(dc, sc))
+            else:
+                v = F.coalesce(dc, sc)
+            out.append(v.alias(c))
+        return out
+
+    return _upsert(s, dd, keys, combine, broadcast_rows)
 
 
 def monotone_status(stored: Column, delta: Column) -> Column:
@@ -126,23 +163,30 @@ def status_changes(state: DataFrame, delta: DataFrame, keys=("label", "name"), o
 
 
 def merge_edges(state: DataFrame, delta: DataFrame, keys=("start_name", "label", "end_name"),
-                ord_col: str = "ord") -> DataFrame:
+                ord_col: str = "ord", state_folded: bool = False,
+                broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Insert an edge when no edge of that label joins start and end; then
     set mgm when the delta gives one (CALL only).
 
-    Both sides are first collapsed to one row per key (last non-null mgm
-    by ``ord``), so repeated copies in either side cannot duplicate edges.
+    The delta is collapsed to one row per key (last non-null mgm by
+    ``ord``) so repeated copies cannot duplicate edges; so is the state,
+    unless it is already one row per key (``state_folded``, e.g. the output
+    of a previous merge), which lets a small delta be merged without
+    shuffling the state.
     """
     keys = list(keys)
 
     def fold(df):
         return df.groupBy(*keys).agg(F.max_by("mgm", F.when(F.col("mgm").isNotNull(), F.col(ord_col))).alias("mgm"))
 
-    s = fold(state).withColumnRenamed("mgm", "_s_mgm")
+    s = (state.select(*keys, "mgm") if state_folded else fold(state)).withColumnRenamed("mgm", "_s_mgm")
     d = fold(delta).withColumnRenamed("mgm", "_d_mgm")
-    j = s.join(d, keys, "full_outer")
-    mgm = F.when(F.col("label") == CALL, F.coalesce("_d_mgm", "_s_mgm"))
-    return j.select(*keys, mgm.alias("mgm"))
+
+    def combine():
+        mgm = F.when(F.col("label") == CALL, F.coalesce("_d_mgm", "_s_mgm"))
+        return [*[F.col(k) for k in keys], mgm.alias("mgm")]
+
+    return _upsert(s, d, keys, combine, broadcast_rows)
 
 
 def edge_between(pairs: DataFrame, edges: DataFrame, keys=("start_name", "label", "end_name")) -> DataFrame:

@@ -78,3 +78,17 @@ def test_append_edges_and_exists(spark):
     names = spark.createDataFrame([("a",), ("zz",)], "name string")
     v = spark.createDataFrame([(1, "a")], "id bigint, name string")
     assert [r.name for r in vertex_exists(names, v).collect()] == ["a"]
+
+
+def test_broadcast_and_shuffle_paths_agree(spark):
+    for small in (0, 10):
+        got = {r.name: (r.merchant_name, r.status)
+               for r in merge_vertices(_state(spark), _delta(spark), broadcast_rows=small).collect()}
+        assert got == {"a": ("shop2", 2), "b": ("late", 3), "c": ("x", 5), "d": ("new", None)}
+    schema = "start_name string, label string, end_name string, mgm int, ord bigint"
+    state = spark.createDataFrame([("a", "CALL", "b", 1, 1), ("a", "HAS", "c", None, 3)], schema)
+    delta = spark.createDataFrame([("a", "CALL", "b", 0, 10), ("x", "CALL", "y", None, 12)], schema)
+    outs = [sorted(map(tuple, merge_edges(state, delta, state_folded=f, broadcast_rows=b).collect()), key=repr)
+            for f in (False, True) for b in (0, 10)]
+    assert all(o == outs[0] for o in outs)
+    assert outs[0] == sorted([("a", "CALL", "b", 0), ("a", "HAS", "c", None), ("x", "CALL", "y", None)], key=repr)
