@@ -1,11 +1,17 @@
-"""Graph views over the driver's TPC-H-like tables.
+"""Graph views over the driver's TPC-H-like tables (FIXTURES.md section 4).
+
+The modulo rules below shape the data, they do not sample it: every row of
+every base table is used. ``p_partkey % 50 = 0`` gives a device a supplier's
+name (a cross-label conflict), ``o_orderkey % 97 = 0`` makes a call end at a
+name that does not exist (a dangling edge), and the ``c_custkey`` rules set
+flags and statuses.
 
 ``mobile`` <- customer, ``device`` <- part (1 in 50 parts takes a supplier
 name, so names conflict with wifi), ``wifi`` <- supplier, ``call`` <- orders
 (repeats, self-loops, a dangling 'missing' end, null mgm), ``use`` /
 ``use_wifi`` <- orders x lineitem x customer x device/wifi, ``has`` <- the
 same restricted to returned lines. The same definitions are written as SQL
-CTEs in ``plans.oracle`` for the DuckDB check.
+CTEs in ``plans.oracle_base`` for the DuckDB check.
 """
 
 from __future__ import annotations

@@ -61,7 +61,10 @@ def q_append_edges(spark, sf_dir):
     return append_edges(state, delta)
 
 
-# vertex upsert fixture: state = 2 in 3 customers, delta = every other customer
+# Vertex upsert fixture (FIXTURES.md): every customer row is read; the key rules only
+# decide which rows are already stored (state: custkey % 3 <> 0) and which arrive in
+# the delta (custkey % 2 = 0), so that keys overlap, repeat and are new. Delta status
+# (custkey % 7) - 1 gives -1, 0, raises and non-raises.
 _MERGE_CTES = """
 mstate AS (select 'MOBILE' as label, name, merchant_name, status from mobile where k % 3 <> 0),
 mdelta AS (select 'MOBILE' as label, name,
@@ -108,7 +111,8 @@ def q_merge_status(spark, sf_dir):
     return status_changes(state, delta)
 
 
-# edge upsert fixture: CALL rows keyed by name with ends folded mod 200 so pairs repeat
+# Edge upsert fixture (FIXTURES.md): all CALL rows except the dangling ones, end index
+# folded mod 200 so that pairs repeat; order key % 3 <> 0 is stored, % 4 = 0 arrives.
 _EDGE_MERGE_CTES = """
 ckeyed AS (select start_name, 'CALL' as label,
              concat('Customer#', lpad(cast(target % 200 as varchar), 9, '0')) as end_name, mgm, ord

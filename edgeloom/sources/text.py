@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.predicates import drop_blank_label
 from ..functions.scalar import field, java_split, label_of, parse_int, strip_quotes
 from ..schema import CALL, NULL_MARK
 
@@ -60,7 +61,7 @@ def ingest_vertices(lines: DataFrame, keep_blank_labels: bool = False) -> DataFr
     """
     parsed = parse_vertex_lines(lines).where(F.col("error").isNull())
     if not keep_blank_labels:
-        parsed = parsed.where(F.length("label") > 0)
+        parsed = parsed.where(drop_blank_label("label"))
     return parsed.select("label", "gid", "attrs")
 
 
