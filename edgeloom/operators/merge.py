@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..functions.predicates import lt_or_missing
 from ..functions.scalar import sha1_hex
 from ..schema import CALL, MOBILE
+from ..session import freeze
 
 
 # --------------------------------------------------------------------------- append
@@ -93,6 +94,7 @@ def _upsert(state: DataFrame, d: DataFrame, keys: list[str], combine, broadcast_
     broadcast semi-join (a second pass). A larger delta takes one full outer
     sort-merge join.
     """
+    d = freeze(d, "collapsed-delta")  # collapsed once; the check and the join read it back
     if not _delta_is_small(d, broadcast_rows):
         return state.join(d, keys, "full_outer").select(*combine())
     b = F.broadcast(d)
@@ -186,7 +188,9 @@ def merge_edges(state: DataFrame, delta: DataFrame, keys=("start_name", "label",
         mgm = F.when(F.col("label") == CALL, F.coalesce("_d_mgm", "_s_mgm"))
         return [*[F.col(k) for k in keys], mgm.alias("mgm")]
 
-    return _upsert(s, d, keys, combine, broadcast_rows)
+    # an unfolded state is shuffled by key for its fold anyway; the full outer join then
+    # reuses that partitioning, so the broadcast path only pays off for a folded state
+    return _upsert(s, d, keys, combine, broadcast_rows if state_folded else 0)
 
 
 def edge_between(pairs: DataFrame, edges: DataFrame, keys=("start_name", "label", "end_name")) -> DataFrame:
