@@ -94,7 +94,8 @@ def _upsert(state: DataFrame, d: DataFrame, keys: list[str], combine, broadcast_
     broadcast semi-join (a second pass). A larger delta takes one full outer
     sort-merge join.
     """
-    d = freeze(d, "collapsed-delta")  # collapsed once; the check and the join read it back
+    if broadcast_rows > 0:
+        d = freeze(d, "collapsed-delta")  # collapsed once; the check and the join read it back
     if not _delta_is_small(d, broadcast_rows):
         return state.join(d, keys, "full_outer").select(*combine())
     b = F.broadcast(d)
