@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.projections import bulk_header
 from ..operators.adjacency import (build_adjacency, decode_edges, decode_vertices, encode_adjacency,
                                    vertex_records)
-from ..operators.ids import assign_dense_ids, number_rows, union_names
+from ..operators.ids import number_rows, union_names
 from ..operators.quality import (conflict_report, conflicting_names, count_edges_on, distinct_simple_edges,
                                  remove_conflicting, tagged_names, uniqueness_report)
 from ..operators.stage import add_name_digest, stage_device, stage_mobile

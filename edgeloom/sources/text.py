@@ -82,7 +82,8 @@ def parse_edge_lines(lines: DataFrame) -> DataFrame:
     return lines.select(line.alias("line"), fields.alias("fields"), F.size(fields).alias("n_fields"))
 
 
-def _mgm_text(p: DataFrame) -> Column:
+def _mgm_text() -> Column:
+    """The fourth field as text, or null when it is missing, empty or ``\\N``."""
     raw = field("fields", 3)
     return F.when((raw != NULL_MARK) & (F.length(raw) > 0), raw)
 
@@ -96,7 +97,7 @@ def ingest_edges(lines: DataFrame) -> DataFrame:
 
 def _call_rows(lines: DataFrame) -> DataFrame:
     p = parse_edge_lines(lines)
-    mgm_text = _mgm_text(p)
+    mgm_text = _mgm_text()
     mgm = parse_int(mgm_text)
     error = (F.when(F.col("n_fields") < 3, F.lit("too few fields"))
              .when(mgm_text.isNotNull() & mgm.isNull(), F.lit("bad mgm")))
@@ -131,7 +132,7 @@ def ingest_labelled_edges(lines: DataFrame) -> DataFrame:
         field("fields", 0).alias("start_name"),
         label.alias("label"),
         field("fields", 2).alias("end_name"),
-        F.when(keep, parse_int(_mgm_text(p))).alias("mgm"),
+        F.when(keep, parse_int(_mgm_text())).alias("mgm"),
     )
 
 

@@ -1,6 +1,5 @@
 """Upsert semantics: overwrite when given, status only rises, idempotence, edge get-or-create."""
 
-from pyspark.sql import functions as F
 
 from edgeloom.operators.merge import (append_edges, append_vertices, edge_between, merge_edges, merge_vertices,
                                       status_changes, vertex_exists)

@@ -1,7 +1,6 @@
 """Quality reports, strict decoding and the separator check."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from edgeloom.functions.predicates import within_frame
 from edgeloom.operators.adjacency import decode_vertices, unsafe_vertices

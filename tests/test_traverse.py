@@ -1,6 +1,5 @@
 """Neighbourhood queries on the golden graph."""
 
-from pyspark.sql import functions as F
 
 from edgeloom.functions.predicates import has_eq, has_neq, or_
 from edgeloom.functions.projections import list_map_text, map_text, value_map, value_map_unfolded
