@@ -64,11 +64,14 @@ def conflict_report(vertices_by_label: dict[str, DataFrame], edges_by_label: dic
     Output: name, n_labels, labels (sorted tags joined by ','), n_edge_ends
     (how many edge endpoints, over all edge tables, carry the name).
     """
-    tagged = tagged_names(vertices_by_label, tags)
-    conf = (tagged.groupBy("name")
-            .agg(F.count(F.lit(1)).alias("n_labels"),
-                 F.array_join(F.array_sort(F.collect_list("type")), ",").alias("labels"))
-            .where(F.col("n_labels") > 1))
+    tags = tags or LABEL_TAGS
+    parts = [v.select("name", F.lit(tags[label]).alias("type")) for label, v in vertices_by_label.items()]
+    # one aggregation; the tag set per name is combined map-side (at most one entry per label)
+    conf = (reduce(DataFrame.union, parts).groupBy("name")
+            .agg(F.array_sort(F.collect_set("type")).alias("_types"))
+            .where(F.size("_types") > 1)
+            .select("name", F.size("_types").cast("bigint").alias("n_labels"),
+                    F.array_join("_types", ",").alias("labels")))
     ends = reduce(DataFrame.union, [
         e.select(F.inline(F.array(F.struct(F.col("start_name").alias("name")), F.struct(F.col("end_name").alias("name")))))
         for e in edges_by_label.values()])
