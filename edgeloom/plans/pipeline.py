@@ -18,7 +18,7 @@ from ..operators.resolve import graph_edges, resolve_all
 from ..operators.stage import split_staged, stage_device, stage_mobile, stage_vertices_wide
 from ..session import freeze
 from ..schema import CALL, DEVICE, EDGE_LABELS, MOBILE, WIFI
-from ..sources.text import ingest_call_edges, ingest_edges, ingest_vertices
+from ..sources.text import ingest_call_edges, ingest_edges, ingest_vertices, only_label
 
 
 @dataclass
@@ -78,7 +78,7 @@ def stage_from_text(vertex_lines: DataFrame, edge_lines: dict[str, DataFrame] |
 def _stage_edges(edge_lines) -> dict[str, DataFrame]:
     edges = {}
     for label in EDGE_LABELS:
-        lines = edge_lines.get(label) if isinstance(edge_lines, dict) else _only_label(edge_lines, label)
+        lines = edge_lines.get(label) if isinstance(edge_lines, dict) else only_label(edge_lines, label)
         if lines is None:
             continue
         if label == CALL:
@@ -88,13 +88,6 @@ def _stage_edges(edge_lines) -> dict[str, DataFrame]:
     return edges
 
 
-def _only_label(edge_lines: DataFrame, label: str) -> DataFrame:
-    """Edge lines whose second field is ``label`` (quotes ignored, case-insensitive)."""
-    line = F.col(edge_lines.columns[0])
-    second = F.get(F.split(F.regexp_replace(line, '"', ""), ","), 1)
-    return edge_lines.where(F.upper(second) == label)
-
-
 def stage_all(vertex_lines: DataFrame, edge_lines, give_way: str = WIFI, materialize: bool = True) -> LoadedGraph:
     """The whole batch load from raw text.
 

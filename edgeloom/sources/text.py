@@ -72,14 +72,29 @@ def vertex_line_errors(lines: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- edges
 def parse_edge_lines(lines: DataFrame) -> DataFrame:
-    """Parse edge lines into (line, fields, n_fields).
+    """Parse edge lines into (line, fields, n_fields, quoted_comma).
 
     All double quotes are stripped and the text split naively on commas,
-    counting fields the JVM way (trailing empty fields dropped).
+    counting fields the JVM way (trailing empty fields dropped). A comma
+    inside a quoted field would shift the fields, so such lines are flagged
+    (``quoted_comma``) and treated as bad records.
     """
     line = _line_col(lines)
     fields = java_split(strip_quotes(line), ",")
-    return lines.select(line.alias("line"), fields.alias("fields"), F.size(fields).alias("n_fields"))
+    quoted = F.regexp_extract_all(line, F.lit('"([^"]*)"'), 1)
+    quoted_comma = (F.instr(line, '"') > 0) & F.exists(quoted, lambda x: F.instr(x, ",") > 0)
+    return lines.select(line.alias("line"), fields.alias("fields"), F.size(fields).alias("n_fields"),
+                        quoted_comma.alias("quoted_comma"))
+
+
+def only_label(edge_lines: DataFrame, label: str) -> DataFrame:
+    """Edge lines whose second field is ``label`` (quotes ignored, case-insensitive).
+
+    For an export that holds several edge labels in one file.
+    """
+    line = _line_col(edge_lines)
+    second = F.get(F.split(strip_quotes(line), ","), 1)
+    return edge_lines.where(F.upper(second) == label)
 
 
 def _mgm_text() -> Column:
@@ -90,7 +105,7 @@ def _mgm_text() -> Column:
 
 def ingest_edges(lines: DataFrame) -> DataFrame:
     """S3: (start_name, label, end_name) from fields 0, 1 and 2."""
-    p = parse_edge_lines(lines).where(F.col("n_fields") >= 3)
+    p = parse_edge_lines(lines).where((F.col("n_fields") >= 3) & ~F.col("quoted_comma"))
     return p.select(field("fields", 0).alias("start_name"), F.upper(field("fields", 1)).alias("label"),
                     field("fields", 2).alias("end_name"))
 
@@ -99,7 +114,8 @@ def _call_rows(lines: DataFrame) -> DataFrame:
     p = parse_edge_lines(lines)
     mgm_text = _mgm_text()
     mgm = parse_int(mgm_text)
-    error = (F.when(F.col("n_fields") < 3, F.lit("too few fields"))
+    error = (F.when(F.col("quoted_comma"), F.lit("comma inside quotes"))
+             .when(F.col("n_fields") < 3, F.lit("too few fields"))
              .when(mgm_text.isNotNull() & mgm.isNull(), F.lit("bad mgm")))
     return p.select(
         "line",
@@ -125,7 +141,7 @@ def ingest_labelled_edges(lines: DataFrame) -> DataFrame:
     mgm is kept only when the line has exactly four fields, the label is
     CALL and the fourth field is not ``\\N``.
     """
-    p = parse_edge_lines(lines).where(F.col("n_fields") >= 3)
+    p = parse_edge_lines(lines).where((F.col("n_fields") >= 3) & ~F.col("quoted_comma"))
     label = F.upper(field("fields", 1))
     keep = (F.col("n_fields") == 4) & (label == CALL)
     return p.select(

@@ -2,7 +2,7 @@
 
 from edgeloom.operators.stage import stage_device, stage_mobile
 from edgeloom.sources.text import (edge_line_errors, ingest_call_edges, ingest_edges, ingest_labelled_edges,
-                                   ingest_vertices, parse_vertex_lines, vertex_line_errors)
+                                   ingest_vertices, only_label, parse_vertex_lines, vertex_line_errors)
 
 
 def _lines(spark, rows):
@@ -65,14 +65,18 @@ def test_edge_lines(spark):
         '"a","CALL","g",2,9',
         '"dev","has","m"',
         'short,line',
+        '"a,b","CALL","q",1',
     ])
     call = {r.end_name: r.mgm for r in ingest_call_edges(lines).collect()}
     assert call == {"b": 1, "c": None, "d": None, "e": None, "g": 2, "m": None}
     errs = {r.line: r.error for r in edge_line_errors(lines).collect()}
-    assert errs == {'"a","CALL","f",x': "bad mgm", "short,line": "too few fields"}
+    assert errs == {'"a","CALL","f",x': "bad mgm", "short,line": "too few fields",
+                    '"a,b","CALL","q",1': "comma inside quotes"}
     lab = {r.end_name: (r.label, r.mgm) for r in ingest_labelled_edges(lines).collect()}
     # mgm only with exactly four fields, CALL and not \N
     assert lab["b"] == ("CALL", 1) and lab["c"] == ("CALL", None) and lab["e"] == ("CALL", None)
     assert lab["g"] == ("CALL", None) and lab["m"] == ("HAS", None)
     plain = {r.end_name: (r.start_name, r.label) for r in ingest_edges(lines).collect()}
     assert plain["m"] == ("dev", "HAS")
+    assert "q" not in plain and "CALL" not in plain and "q" not in lab
+    assert [r.value for r in only_label(lines, "HAS").collect()] == ['"dev","has","m"']
