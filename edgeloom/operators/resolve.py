@@ -34,6 +34,20 @@ def resolve_edges(edges: DataFrame, start_vertices: DataFrame, end_vertices: Dat
     return j.select("start_id", "end_id", *extra)
 
 
+def unresolved_edges(edges: DataFrame, start_vertices: DataFrame, end_vertices: DataFrame) -> DataFrame:
+    """The edges ``resolve_edges`` drops, each once: (start_name, end_name, missing).
+
+    ``missing`` is 'start' when no start vertex has the name, else 'end'.
+    Anti/semi joins only, so repeated vertex names cannot multiply rows.
+    """
+    s = start_vertices.select(F.col("name").alias("start_name"))
+    e = end_vertices.select(F.col("name").alias("end_name"))
+    no_start = edges.join(s, "start_name", "left_anti").select("start_name", "end_name", F.lit("start").alias("missing"))
+    no_end = (edges.join(s, "start_name", "left_semi").join(e, "end_name", "left_anti")
+              .select("start_name", "end_name", F.lit("end").alias("missing")))
+    return no_start.unionByName(no_end)
+
+
 def resolve_any_label(edges: DataFrame, vertices_by_label: dict[str, DataFrame]) -> DataFrame:
     """J2 (any label, G5): resolve both ends by name among vertices of every label.
 

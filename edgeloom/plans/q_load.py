@@ -18,6 +18,7 @@ from ..schema import CALL, DEVICE, EDGE_LABELS, MOBILE, MOBILE_COLUMNS, WIFI
 from ..sinks.text import export_edges, export_vertices
 from ..sources.text import ingest_call_edges, ingest_edges, ingest_labelled_edges, ingest_vertices
 from . import fixtures as fx
+from ..operators.resolve import unresolved_edges
 from .catalog import register
 from .graph import wide_vertices
 from .pipeline import load_graph, stage_all
@@ -205,6 +206,18 @@ def q_resolve_use_wifi(spark, sf_dir):
     return graph(spark, sf_dir).resolved["USE_WIFI"]
 
 
+@register("unresolved_call", """
+select start_name, end_name,
+  case when not exists (select 1 from mobile_id m where m.name = c.start_name) then 'start' else 'end' end as missing
+from call_e c
+where not exists (select 1 from mobile_id m where m.name = c.start_name)
+   or not exists (select 1 from mobile_id m where m.name = c.end_name)
+""")
+def q_unresolved_call(spark, sf_dir):
+    g = graph(spark, sf_dir)
+    return unresolved_edges(fx.call(spark, sf_dir), g.vertices[MOBILE], g.vertices[MOBILE])
+
+
 @register("uniqueness_report", """
 select label, cast(sum(c) as bigint) as n_rows, count(name) as n_distinct_names,
   count(case when c > 1 and name is not null then 1 end) as n_repeated_names,

@@ -56,3 +56,12 @@ def test_unsafe_vertices(spark):
     d = spark.createDataFrame([(1, "ok", None, None), (2, "bad,name", None, None), (3, "t", "a|b", None)],
                               "id bigint, name string, is_exception string, is_white string")
     assert sorted(r.id for r in unsafe_vertices({"DEVICE": d}).collect()) == [2, 3]
+
+
+def test_unresolved_edges(spark):
+    from edgeloom.operators.resolve import resolve_edges, unresolved_edges
+    v = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "id bigint, name string")
+    e = spark.createDataFrame([("a", "b"), ("a", "zz"), ("yy", "b"), ("yy", "zz")], "start_name string, end_name string")
+    got = sorted(map(tuple, unresolved_edges(e, v, v).collect()))
+    assert got == [("a", "zz", "end"), ("yy", "b", "start"), ("yy", "zz", "start")]
+    assert resolve_edges(e, v.dropDuplicates(), v.dropDuplicates()).count() == 1
