@@ -38,7 +38,7 @@ def parse_vertex_lines(lines: DataFrame) -> DataFrame:
     line = _line_col(lines)
     has_bracket = F.instr(line, "[") > 0
     brace = F.instr(line, "{")
-    raw = F.from_json(F.when(brace > 0, F.substring(line, brace, 1 << 30)), "map<string,string>")
+    raw = F.from_json(F.when(brace > 0, F.substr(line, brace)), "map<string,string>")  # rest of the line
     attrs = F.map_filter(raw, lambda k, v: v.isNotNull())
     gid = F.regexp_extract(line, r"\[([^\]]*)\]", 1)
     error = (F.when(~has_bracket, F.lit("no label bracket"))
