@@ -63,6 +63,10 @@ def both(edges: DataFrame, start, label: str | None = None) -> DataFrame:
     vertex yields it twice.
     """
     e = edges if label is None else edges.where(F.col("label") == label)
+    if not isinstance(start, DataFrame):
+        ids = list(start)
+        # pushed into the scan (an OR of IN filters), before the halves are generated
+        e = e.where(F.col("start_id").isin(ids) | F.col("end_id").isin(ids))
     halves = e.select(F.inline(F.array(
         F.struct(F.col("start_id").alias("start_id"), F.col("end_id").alias("nbr_id")),
         F.struct(F.col("end_id").alias("start_id"), F.col("start_id").alias("nbr_id")))))

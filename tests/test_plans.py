@@ -57,3 +57,15 @@ def test_resolution_broadcasts_small_id_tables(spark):
     p = plan(g.resolved["USE"], "simple")
     # the two resolution joins (and the small fixture joins below them) are all broadcast
     assert p.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in p, p
+
+
+def test_both_with_ids_pushes_an_or_filter(spark, scratch_dir):
+    from edgeloom.operators.traverse import both
+    vertices, edges = golden_graph(spark)
+    from edgeloom.plans.graph import wide_vertices
+    write_snapshot(wide_vertices(vertices), edges, os.path.join(scratch_dir, "snap2"), partitions=2)
+    _, e = read_snapshot(spark, os.path.join(scratch_dir, "snap2"))
+    q = both(e, [1], "CALL")
+    p = plan(q)
+    assert re.search(r"PushedFilters: \[.*Or\(EqualTo\(start_id,1\),EqualTo\(end_id,1\)\)", p), p
+    assert sorted(map(tuple, q.collect())) == [(1, 2), (1, 2)]
