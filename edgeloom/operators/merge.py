@@ -144,6 +144,42 @@ def merge_vertices(state: DataFrame, delta: DataFrame, keys=("label", "name"), o
     return _upsert(s, dd, keys, combine, broadcast_rows)
 
 
+def merge_vertex_attrs(state: DataFrame, delta: DataFrame, keys=("label", "name"), ord_col: str = "ord",
+                       status_key: str = "status") -> DataFrame:
+    """G6 on open vertices: (label, name, attrs map<string,string>) as read from JSON lines.
+
+    Every delta property except name and status overwrites (last value by
+    ``ord`` per property); status is applied only when positive and higher
+    than the stored one; MOBILE vertices carry nm_pass/nm_sha1. Properties
+    are folded per (vertex, property), so a vertex's group holds one row
+    per property name, not per delta line.
+    """
+    keys = list(keys)
+    p = delta.select(*keys, ord_col, F.explode("attrs").alias("prop", "value")).where(F.col("prop") != "name")
+    last = (p.where(F.col("prop") != status_key).groupBy(*keys, "prop")
+            .agg(F.max_by("value", F.col(ord_col)).alias("value")))
+    st = (p.where(F.col("prop") == status_key).select(*keys, F.col("value").try_cast("int").alias("v"))
+          .where(F.col("v") > 0).groupBy(*keys).agg(F.max("v").cast("string").alias("value"))
+          .withColumn("prop", F.lit(status_key)))
+    props = (last.unionByName(st).groupBy(*keys)
+             .agg(F.map_from_entries(F.collect_list(F.struct("prop", "value"))).alias("_d")))
+    created = delta.select(*keys).distinct().join(props, keys, "left")
+    j = state.select(*keys, F.col("attrs").alias("_s")).join(created, keys, "full_outer")
+    empty = F.create_map().cast("map<string,string>")
+
+    def pick(k, old, new):
+        raised = F.greatest(old.try_cast("int"), new.try_cast("int")).cast("string")
+        return F.when(k == status_key, F.coalesce(raised, old)).otherwise(F.coalesce(new, old))
+
+    merged = F.map_zip_with(F.coalesce("_s", empty), F.coalesce("_d", empty), pick)
+    name = F.create_map(F.lit("name"), F.col("name"))
+    digest = F.create_map(F.lit("nm_pass"), F.col("name"), F.lit("nm_sha1"), sha1_hex("name"))
+    rest = F.map_filter(merged, lambda k, v: ~k.isin("name", "nm_pass", "nm_sha1") & v.isNotNull())
+    kept = F.map_filter(merged, lambda k, v: k.isin("nm_pass", "nm_sha1") & v.isNotNull())
+    extra = F.when(F.col("label") == MOBILE, digest).otherwise(kept) if "label" in keys else kept
+    return j.select(*keys, F.map_concat(name, extra, rest).alias("attrs"))
+
+
 def monotone_status(stored: Column, delta: Column) -> Column:
     """A5: a status never goes down; only a positive delta can raise it."""
     return F.greatest(stored, F.when(delta > 0, delta))

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.merge import (append_edges, append_vertices, edge_between, merge_edges, merge_vertices,
-                               status_changes, vertex_exists)
+from ..operators.merge import (append_edges, append_vertices, edge_between, merge_edges, merge_vertex_attrs,
+                               merge_vertices, status_changes, vertex_exists)
 from ..operators.resolve import resolve_any_label
 from ..schema import MOBILE
 from ..sinks.text import export_vertices
@@ -100,6 +100,30 @@ def q_merge_vertices(spark, sf_dir):
     return merge_vertices(state, delta)
 
 
+@register("merge_vertex_attrs", """
+select label, name, 'name' as key, name as value from m
+union all select label, name, 'nm_pass', name from m
+union all select label, name, 'nm_sha1', sha1(name) from m
+union all select label, name, 'merchant_name', merchant_name from m where merchant_name is not null
+union all select label, name, 'status', cast(status as varchar) from m where status is not null
+""", extra_ctes=_MERGE_CTES + """,
+m AS (select coalesce(s.label, d.label) as label, coalesce(s.name, d.name) as name,
+        coalesce(d.merchant_name, s.merchant_name) as merchant_name,
+        greatest(s.status, case when d.status > 0 then d.status end) as status
+      from mstate s full join mdelta d on s.label = d.label and s.name = d.name)
+""")
+def q_merge_vertex_attrs(spark, sf_dir):
+    state, delta = _merge_inputs(spark, sf_dir)
+    s_attrs = F.map_filter(F.create_map(F.lit("name"), F.col("name"), F.lit("merchant_name"), F.col("merchant_name"),
+                                        F.lit("status"), F.col("status").cast("string")), lambda k, v: v.isNotNull())
+    state_open = state.select("label", "name", s_attrs.alias("attrs"))
+    delta_open = delta.select("label", "name", F.map_filter(F.create_map(
+        F.lit("name"), F.col("name"), F.lit("merchant_name"), F.col("merchant_name"),
+        F.lit("status"), F.col("status").cast("string")), lambda k, v: v.isNotNull()).alias("attrs"), "ord")
+    out = merge_vertex_attrs(state_open, delta_open)
+    return out.select("label", "name", F.explode("attrs").alias("key", "value"))
+
+
 @register("merge_status", """
 select d.label, d.name, s.status as old_status, d.status as delta_status, d.status as status
 from (select label, name, max(case when status > 0 then status end) as status from mdelta group by label, name) d

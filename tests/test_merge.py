@@ -91,3 +91,21 @@ def test_broadcast_and_shuffle_paths_agree(spark):
             for f in (False, True) for b in (0, 10)]
     assert all(o == outs[0] for o in outs)
     assert outs[0] == sorted([("a", "CALL", "b", 0), ("a", "HAS", "c", None), ("x", "CALL", "y", None)], key=repr)
+
+
+def test_merge_vertex_attrs(spark):
+    from edgeloom.operators.merge import merge_vertex_attrs
+    state = spark.createDataFrame([("MOBILE", "a", {"name": "a", "status": "2", "shop": "s1", "x": "1"}),
+                                   ("DEVICE", "d", {"name": "d", "is_white": "false"})],
+                                  "label string, name string, attrs map<string,string>")
+    delta = spark.createDataFrame([
+        ("MOBILE", "a", {"name": "a", "status": "1", "shop": "s2"}, 1),
+        ("MOBILE", "a", {"name": "a", "shop": "s3", "status": "x"}, 2),
+        ("MOBILE", "n", {"name": "n", "status": "0"}, 3),
+        ("DEVICE", "d", {"name": "d", "status": "5", "is_white": "true"}, 4),
+    ], "label string, name string, attrs map<string,string>, ord bigint")
+    got = {r.name: dict(r.attrs) for r in merge_vertex_attrs(state, delta).collect()}
+    sha_a = "86f7e437faa5a7fce15d1ddcb9eaeaea377667b8"
+    assert got["a"] == {"name": "a", "nm_pass": "a", "nm_sha1": sha_a, "status": "2", "shop": "s3", "x": "1"}
+    assert got["n"]["name"] == "n" and "status" not in got["n"] and got["n"]["nm_pass"] == "n"
+    assert got["d"] == {"name": "d", "status": "5", "is_white": "true"}
