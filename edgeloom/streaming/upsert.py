@@ -3,7 +3,7 @@
 The increment jobs are batch upserts rerun on new files. Here new exported
 vertex or edge text arriving in a folder is read with ``readStream.text``
 and each micro-batch is folded into the current snapshot with the same
-``merge_vertices`` / ``merge_edges`` used in batch, writing a new snapshot
+``merge_vertices`` / ``merge_vertex_attrs`` / ``merge_edges`` used in batch, writing a new snapshot
 version per batch (the one being read is never overwritten). The stream's
 checkpoint gives exactly-once batches; ``trigger(availableNow=True)`` runs
 it as a catch-up job.
@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import merge_edges, merge_vertices
+from ..operators.merge import merge_edges, merge_vertex_attrs, merge_vertices
 from ..sinks.tables import next_version
 from ..sources.text import ingest_labelled_edges, ingest_vertices
 
@@ -65,6 +65,26 @@ def upsert_vertices_batch(spark: SparkSession, base: str, columns: list[str],
     return apply
 
 
+def upsert_open_vertices_batch(spark: SparkSession, base: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function folding vertex lines, with all their JSON
+    properties, into an open-schema snapshot (label, name, attrs) at ``base``."""
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        v = ingest_vertices(batch)
+        ord_ = F.lit(batch_id).cast("bigint") * F.lit(1 << 40) + F.monotonically_increasing_id()
+        delta = v.select("label", F.col("attrs")["name"].alias("name"), "attrs", ord_.alias("ord"))
+        cur = current_version(spark, base)
+        if cur is None:
+            state = spark.createDataFrame([], "label string, name string, attrs map<string,string>")
+        else:
+            state = spark.read.parquet(cur)
+        out = next_version(base)
+        merge_vertex_attrs(state, delta).write.parquet(out)
+        _publish(spark, base, out)
+
+    return apply
+
+
 def upsert_edges_batch(spark: SparkSession, base: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function folding labelled edge lines into the edge snapshot at ``base``."""
 
@@ -78,7 +98,9 @@ def upsert_edges_batch(spark: SparkSession, base: str) -> Callable[[DataFrame, i
         else:
             state = spark.read.parquet(cur).withColumn("ord", F.lit(-1).cast("bigint"))
         out = next_version(base)
-        merge_edges(state, delta).write.parquet(out)
+        # the state is a previous merge's output, one row per key: a small batch is
+        # broadcast and the state only streamed
+        merge_edges(state, delta, state_folded=True).write.parquet(out)
         _publish(spark, base, out)
 
     return apply

@@ -35,3 +35,16 @@ def test_edge_upsert_stream(spark, scratch_dir):
     start_upsert_stream(spark, src, base, ck, apply).awaitTermination(120)
     got = {(r.start_name, r.label, r.end_name): r.mgm for r in spark.read.parquet(current_version(spark, base)).collect()}
     assert got == {("a", "CALL", "b"): 1, ("a", "HAS", "c"): None, ("x", "CALL", "y"): 3}
+
+
+def test_open_vertex_upsert_stream(spark, scratch_dir):
+    from edgeloom.streaming.upsert import upsert_open_vertices_batch
+    src, base, ck = (os.path.join(scratch_dir, x) for x in ("oin", "ostate", "ock"))
+    apply = upsert_open_vertices_batch(spark, base)
+    _write(src, "a.txt", ['mobile[11.1]{"name": "a", "status": 2, "shop": "s1"}', 'device[10.1]{"name": "d"}'])
+    start_upsert_stream(spark, src, base, ck, apply).awaitTermination(120)
+    _write(src, "b.txt", ['mobile[11.2]{"name": "a", "status": 1, "shop": "s2", "x": true}'])
+    start_upsert_stream(spark, src, base, ck, apply).awaitTermination(120)
+    got = {r.name: dict(r.attrs) for r in spark.read.parquet(current_version(spark, base)).collect()}
+    assert got["a"]["status"] == "2" and got["a"]["shop"] == "s2" and got["a"]["x"] == "true"
+    assert got["a"]["nm_pass"] == "a" and got["d"] == {"name": "d"}
