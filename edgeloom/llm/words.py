@@ -152,19 +152,19 @@ def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets.astype(np.int64)
 
 
-def row_groups(offsets: np.ndarray, limit: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``limit`` bytes each (one row at least)."""
+def row_groups(offsets: np.ndarray, limit: int = GROUP_BYTES, rows: int = 4096) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``limit`` bytes and at most ``rows`` rows each (one row at least)."""
     i, n = 0, len(offsets) - 1
     while i < n:
         j = int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1
-        j = min(max(j, i + 1), n)
+        j = min(max(j, i + 1), i + rows, n)
         yield i, j
         i = j
 
 
-def groups(col: pa.Array, limit: int = GROUP_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def groups(col: pa.Array, limit: int = GROUP_BYTES, rows: int = 4096) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row exclusive, bytes, offsets into them) for each row group of a text column."""
     data, offsets = text_buffers(col)
-    for i, j in row_groups(offsets, limit):
+    for i, j in row_groups(offsets, limit, rows):
         a, z = int(offsets[i]), int(offsets[j])
         yield i, j, data[a:z], offsets[i:j + 1] - a
