@@ -184,15 +184,23 @@ def find(text: str, crf: Crf, threshold: float = 0.6) -> tuple[list, list]:
     if not free:
         return base, base
     p = crf.marginals(t)
-    added = []
+    kind, sure = p.argmax(axis=1), p.max(axis=1) >= threshold
+    joined = set(t.chain)
+    added = set()
     for i in free:
-        kind = int(p[i].argmax())
-        if kind and p[i, kind] >= threshold:
-            a, z = t.span[i]
-            raw = text[a:z]
-            a, z = a + len(raw) - len(raw.lstrip("([{<\"'")), z - (len(raw) - len(raw.rstrip(".,;:!?)]}>\"'")))
-            if a < z:
-                added.append((a, z, kind - 1))
+        if not kind[i] or not sure[i]:
+            continue
+        first = last = i  # with its neighbours of the same label: the parts of one number
+        while (first - 1, first) in joined and kind[first - 1] == kind[i] and t.label[first - 1] == 0 and not t.strong[first - 1]:
+            first -= 1
+        while (last, last + 1) in joined and kind[last + 1] == kind[i] and t.label[last + 1] == 0 and not t.strong[last + 1]:
+            last += 1
+        a, z = t.span[first][0], t.span[last][1]
+        raw = text[a:z]
+        a += len(raw) - len(raw.lstrip("[{<\"'"))
+        z -= len(raw) - len(raw.rstrip(".,;:!?]}>\"'"))
+        if a < z:
+            added.add((a, z, int(kind[i]) - 1))
     return base, sorted([*base, *added], key=lambda s: (s[0], s[2]))
 
 
