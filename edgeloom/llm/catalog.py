@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_mix, op2_decontaminate, op3_quality_rules, op4_pii, op6_license_scan, op9_quality_classifier, op10_language_id
+from . import op1_mix, op2_decontaminate, op3_quality_rules, op4_pii, op5_warc, op6_license_scan, op9_quality_classifier, op10_language_id
 
 _MODULES = {
     "op1_mix": op1_mix,
     "op2_decontaminate": op2_decontaminate,
     "op3_quality_rules": op3_quality_rules,
     "op4_pii": op4_pii,
+    "op5_warc": op5_warc,
     "op6_license_scan": op6_license_scan,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_language_id": op10_language_id,
