@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_mix, op2_decontaminate, op3_quality_rules, op4_pii, op5_warc, op6_license_scan, op8_substring_dedup, \
+from . import op1_mix, op2_decontaminate, op3_quality_rules, op4_pii, op5_warc, op6_license_scan, op7_jaccard_join, op8_substring_dedup, \
     op9_quality_classifier, op10_language_id
 
 _MODULES = {
@@ -16,6 +16,7 @@ _MODULES = {
     "op4_pii": op4_pii,
     "op5_warc": op5_warc,
     "op6_license_scan": op6_license_scan,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_language_id": op10_language_id,
