@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeloom.llm import op2_decontaminate, op9_quality_classifier
+from edgeloom.llm import op1_mix, op2_decontaminate, op4_pii, op7_jaccard_join, op9_quality_classifier
 from edgeloom.llm.frames import table, written
 
 STAGES = [
     ("quality_classifier", op9_quality_classifier.keep_good),
+    ("near_duplicates", op7_jaccard_join.drop_duplicates),
     ("decontamination", op2_decontaminate.drop_contaminated),
+    ("personal_data", op4_pii.redact),
+    ("mixing", op1_mix.mix_stage),
 ]
 
 #: trained trees cannot be stated in SQL
