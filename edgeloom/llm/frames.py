@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import checkpoint_dir
 
@@ -29,6 +30,18 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def columns(df: DataFrame) -> list[Column]:
+    """The columns of ``df``, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` begins like it."""
+    while any(c.lower().startswith(name.lower()) for c in df.columns):
+        name = f"_{name}"
+    return name
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(parts)
@@ -41,17 +54,24 @@ def fold_of(doc_id: int, parts: int) -> int:
 def add_columns(df: DataFrame, ddl: str, text: str,
                 fn: Callable[[pa.Array], dict[str, object]]) -> DataFrame:
     """All columns of ``df`` and those of ``ddl``, which ``fn`` computes from whole batches of column ``text``."""
-    from pyspark.sql.types import StructType
-
     extra = StructType.fromDDL(ddl)
-    clash = set(extra.names) & set(df.columns)
+    clash = {c.lower() for c in extra.names} & {c.lower() for c in df.columns}
     if clash:
         raise ValueError(f"columns exist already: {sorted(clash)}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = fn(b.column(text))
-            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(got[c]) if not isinstance(got[c], pa.Array) else got[c] for c in extra.names)],
-                                             names=[*b.schema.names, *extra.names])
+            got = fn(b.column(at))
+            yield pa.RecordBatch.from_arrays([*b.columns, *(
+                got[c] if isinstance(got[c], pa.Array) else pa.array(got[c]) for c in extra.names)],
+                names=[*b.schema.names, *extra.names])
+
+    at = df.columns.index(text)
+    return map_batches(df, run, extra)
+
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, *extra.fields]))
+def map_batches(df: DataFrame, run: Callable, extra: StructType) -> DataFrame:
+    """``df.mapInArrow(run)`` for a ``run`` that adds the columns ``extra``; ``df``'s may have any names."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])  # mapInArrow resolves names, which may hold dots
+    out = plain.mapInArrow(run, StructType([*plain.schema.fields, *extra.fields]))
+    return out.toDF(*df.columns, *extra.names)

@@ -52,19 +52,21 @@ def family_of(lang: str) -> str:
 def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """(rows, WIDTH) unit vectors of hashed letter n-grams."""
     n = len(offsets) - 1
-    b = _LETTER[data]
     out = np.zeros(n * WIDTH)
-    for size in (2, 3):
-        if len(b) < size:
-            continue
-        code = b[: len(b) - size + 1].copy()
-        for k in range(1, size):
-            code = code * np.uint32(256) + b[k: len(b) - size + 1 + k]
-        at = np.arange(len(code))
-        row = np.searchsorted(offsets, at, "right") - 1
-        ok = (at + size <= offsets[row + 1]) & ((code & np.uint32(0xFFFF)) != 0x2020)
-        slot = (code[ok] * np.uint32(2654435761)) >> np.uint32(21)  # 2**11 slots
-        out += np.bincount(row[ok] * WIDTH + slot, minlength=n * WIDTH)
+    for lo in range(0, len(data), 1 << 20):  # n-grams that begin in this part of the bytes
+        b = _LETTER[data[lo:lo + (1 << 20) + 2]]
+        for size in (2, 3):
+            starts = min(len(b) - size + 1, 1 << 20)
+            if starts <= 0:
+                continue
+            code = b[:starts].copy()
+            for k in range(1, size):
+                code = code * np.uint32(256) + b[k:starts + k]
+            at = np.arange(lo, lo + starts)
+            row = np.searchsorted(offsets, at, "right") - 1
+            ok = (at + size <= offsets[row + 1]) & ((code & np.uint32(0xFFFF)) != 0x2020)
+            slot = (code[ok] * np.uint32(2654435761)) >> np.uint32(21)  # 2**11 slots
+            out += np.bincount(row[ok] * WIDTH + slot, minlength=n * WIDTH)
     x = np.sqrt(out.reshape(n, WIDTH))
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 

@@ -22,14 +22,14 @@ each. Other columns of either table are not read, except that
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .frames import table, written
+from .frames import columns, free_name, map_batches, table, written
 
 WINDOW = 13
 #: ASCII separators become spaces, A-Z become a-z; all other bytes stay
@@ -126,15 +126,16 @@ def _scan(docs: DataFrame, block: list[tuple[int, str]], window: int, prefix: st
         if not found:
             found.extend(matchers(shared.value, window))
         for b in batches:
-            got = [search(t.as_py(), found) for t in b.column(text)]
+            got = [search(t.as_py(), found) for t in b.column(at)]
             yield pa.RecordBatch.from_arrays([
                 *b.columns, pa.array([g[0] for g in got], pa.int64()),
                 pa.array([[list(s) for s in g[1]] for g in got], pa.list_(pa.list_(pa.int64()))),
                 pa.array([sorted(g[2]) for g in got], pa.list_(pa.int64())),
             ], names=[*b.schema.names, f"{prefix}n", f"{prefix}spans", f"{prefix}items"])
 
-    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{names}, {prefix}n long, {prefix}spans array<array<long>>, {prefix}items array<long>")
+    extra = StructType.fromDDL(f"{prefix}n long, {prefix}spans array<array<long>>, {prefix}items array<long>")
+    at = docs.columns.index(text)
+    return map_batches(docs, run, extra)
 
 
 def find_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = 2_000_000,
@@ -176,12 +177,10 @@ def contaminated(n_words, n_hit):
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents that are not contaminated, with their columns."""
-    prefix = "_hit_"
-    while any(c.startswith(prefix) for c in docs.columns):
-        prefix = f"_{prefix}"
+    prefix = free_name(docs, "_hit_")
     hits = find_windows(docs, table(spark, sf_dir, "benchmark"), prefix=prefix)
     n_hit = F.aggregate(f"{prefix}spans", F.lit(0).cast("long"), lambda s, x: s + x[1] - x[0])
-    return hits.where(~contaminated(F.col(f"{prefix}n"), n_hit)).select(*docs.columns)
+    return hits.where(~contaminated(F.col(f"{prefix}n"), n_hit)).select(*columns(docs))
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

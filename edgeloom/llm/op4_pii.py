@@ -34,13 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .frames import add_columns, table
+from .frames import add_columns, columns, free_name, table
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 # The base patterns
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
@@ -278,9 +277,7 @@ def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: all documents, personal data replaced by ``[KIND]``; ``n_chars`` follows the new text."""
-    crf, name = train(docs), "masked"
-    while name in docs.columns:
-        name = f"_{name}"
+    crf, name = train(docs), free_name(docs, "masked")
 
     def one(col: pa.Array) -> dict:
         texts = (v.as_py() for v in col)
@@ -289,7 +286,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = add_columns(docs, f"`{name}` string", "text", one)
     cols = {"text": F.col(name), "n_chars": F.when(F.col(name).isNull(), F.col("n_chars")).otherwise(
         F.char_length(name).cast("long"))} if "n_chars" in docs.columns else {"text": F.col(name)}
-    return out.select(*[cols.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    return out.select(*[cols.get(n, c).alias(n) for n, c in zip(docs.columns, columns(docs), strict=True)])
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from .chunks import Chunk, bucket_of, buckets_for, by_bucket, exchange, pack, planes, rows_of, unpack, unplanes, \
     with_replies
 from .components import components
-from .frames import table, written
+from .frames import columns, table, written
 from .words import SPACES, Splitter, mix, windows
 
 _SPLIT = Splitter(SPACES, lower=True)
@@ -285,7 +285,7 @@ def drop_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows that repeat one id are one document, and stay or go together; a null id always stays.
     """
     found = jaccard_components(docs).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(found, "doc_id", "left_anti").select(*columns(docs))
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from . import trees
 from .docstats import feature_matrix, text_stats
-from .frames import add_columns, fold, table
+from .frames import add_columns, columns, fold, free_name, table
 from .labelled import labelled_statistics
 
 FOLDS, THRESHOLD = 5, 0.3
@@ -39,10 +39,8 @@ def classify(docs: DataFrame, forest: trees.Forest, score: str = "score", text:
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents that the classifier does not reject, with their columns."""
     forest = train(docs, table(spark, sf_dir, "labels"))
-    name = "score"
-    while name in docs.columns:
-        name = f"_{name}"
-    return classify(docs, forest, name).where(F.col(name) >= THRESHOLD).select(*docs.columns)
+    name = free_name(docs, "score")
+    return classify(docs, forest, name).where(F.col(name) >= THRESHOLD).select(*columns(docs))
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
