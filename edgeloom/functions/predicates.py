@@ -53,8 +53,3 @@ def lt_or_missing(key: str, value) -> Column:
 def drop_blank_label(col: str = "label") -> Column:
     """keep records whose label is neither null nor empty."""
     return F.col(col).isNotNull() & (F.length(F.col(col)) > 0)
-
-
-def present(key: str) -> Column:
-    """F8: property is set and not blank after trimming."""
-    return F.col(key).isNotNull() & (F.length(F.trim(F.col(key).cast("string"))) > 0)

@@ -6,18 +6,17 @@ null) and edges of a direction are joined with ``|``, sorted by
 (label, other id, text).
 
 Instead of a chain of per-label cogroups, all edges are turned into
-half-edges in one pass and folded by three aggregations whose shuffles get
-smaller each time:
-
-* L0 ``(id, direction+label slot, other, mgm) -> copies``: map-side partial
-  aggregation collapses repeated edges before anything is shuffled, so a
-  group of copies costs one row.
-* L1 ``(id, slot, other div W)``: each vertex's neighbours are cut
-  into ordered chunks of at most ``W`` distinct neighbours, sorted and
-  printed in parallel. A hub's edges are spread over many tasks.
-* L2 ``(id, vertex label)``: vertex rows and printed chunks meet in one
-  aggregation (no separate join); chunks are ordered by (label, bucket)
-  and concatenated. Only the finished text of a vertex is ever in one row.
+half-edges in one pass, as fixed-width rows, and meet their vertex in one
+aggregation by id; text is printed after that shuffle. So the half-edges of
+an ordinary vertex are shuffled once, however its neighbours' ids spread.
+
+A hub (degree above ``hub_degree``, found by a map-side combined count) is
+cut by its own neighbours instead: its half-edges are collapsed to one row
+for each set of copies, range-partitioned by (id, label, neighbour), which
+gives a hub as many partitions as its degree asks for, and printed there.
+Only the finished parts of a hub meet in its row. Where the cut lies does not
+show in the lines. A single line, like any row or string, ends at 2 GB;
+``hub_parts`` gives a hub's parts as rows for loaders that take more.
 """
 
 from __future__ import annotations
@@ -31,8 +30,9 @@ from ..functions.scalar import blank_to_null, field, java_split, join_fields, nu
 from ..schema import (CALL, DEVICE, DEVICE_COLUMNS, EDGE_ENDPOINTS, EDGE_SEP, FIELD_SEP, MOBILE,
                       MOBILE_COLUMNS, MOBILE_INT_COLUMNS, SECTION_SEP, WIDE_VERTEX_COLUMNS, WIFI)
 
-DEFAULT_CHUNK = 4096
-
+DEFAULT_HUB_DEGREE = 65536
+#: hubs are broadcast, so the degree that makes a hub rises with the edges: there are never more than this
+MAX_HUBS = 1_000_000
 
 # Edge labels ranked alphabetically: sorting by rank sorts by label text.
 _LABEL_RANK = {label: i for i, label in enumerate(sorted(EDGE_ENDPOINTS))}
@@ -47,15 +47,25 @@ def _lit_map(d: dict) -> Column:
 
 
 def vertex_records(vertices_by_label: dict[str, DataFrame]) -> DataFrame:
-    """U3 + G2 (vertex part): (id, label, props) with props printed per label.
+    """U3 + G2 (vertex part): (id, label, props, error) with props printed per label.
 
     MOBILE prints its 11 staged columns, DEVICE and WIFI their 3; nulls
-    print as ''.
+    print as ''. ``error`` says why a line of the vertex could not be read
+    back as it was: no name, a separator or line break inside a value, or a
+    value of blanks (which reads back as absent).
     """
     parts = []
     for label, v in vertices_by_label.items():
         cols = MOBILE_COLUMNS if label == MOBILE else DEVICE_COLUMNS
-        parts.append(v.select("id", F.lit(label).alias("label"), join_fields(*cols, sep=FIELD_SEP).alias("props")))
+        value = [F.col(c).cast("string") for c in cols]
+        broken = reduce(lambda a, b: a | b, [F.coalesce(c.rlike(f"[{FIELD_SEP}{SECTION_SEP}\n\r]"), F.lit(False)) for c in value])
+        blank = reduce(lambda a, b: a | b, [
+            F.coalesce((F.length(c) > 0) & (F.length(F.trim(c)) == 0), F.lit(False))
+            for n, c in zip(cols, value, strict=True) if n not in ("name", "nm_pass", "nm_sha1")])
+        error = (F.when(F.col("name").isNull(), F.lit("no name")).when(broken, F.lit("separator in a value"))
+                 .when(blank, F.lit("blank value")))
+        parts.append(v.select("id", F.lit(label).alias("label"), join_fields(*cols, sep=FIELD_SEP).alias("props"),
+                              error.alias("error")))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -75,70 +85,100 @@ def half_edges(edges: DataFrame) -> DataFrame:
     return edges.where(rank.isNotNull()).select(F.inline(F.array(out, inn)))
 
 
-def build_adjacency(vertices: DataFrame, edges: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    """(id, label, props, in_edges, out_edges) per vertex.
+def _side_label() -> Column:
+    """Label of the vertex that a half-edge of ``slot`` lands on."""
+    return F.element_at(_lit_map({r * 2 + out: EDGE_ENDPOINTS[lab][1 - out] for lab, r in _LABEL_RANK.items()
+                                  for out in (0, 1)}), F.col("slot"))
+
+
+def _entry(slot: Column, other: Column, mgm: Column) -> Column:
+    label = F.element_at(_lit_map(_RANK_LABEL), F.shiftright(slot, 1))
+    tail = F.when(label == CALL, F.concat(F.lit(FIELD_SEP), null_to_empty(mgm))).otherwise(F.lit(""))
+    return F.concat(label, F.lit(FIELD_SEP), other.cast("string"), tail)
+
+
+def hub_ids(edges: DataFrame, hub_degree: int = DEFAULT_HUB_DEGREE) -> DataFrame:
+    """(id) of the vertices with more half-edges than ``hub_degree``, at most ``MAX_HUBS`` of them.
+
+    With E edges there are 2E half-edges, and fewer than 2E / d vertices with more than d; so d is raised
+    to 2E / MAX_HUBS where that is more.
+    """
+    total = edges.select((F.count(F.lit(1)) * 2 / MAX_HUBS).alias("d")).scalar()
+    return (half_edges(edges).groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
+            .where(F.col("degree") > F.greatest(F.lit(float(hub_degree)), total)).select("id"))
+
+
+def hub_parts(edges: DataFrame, hubs: DataFrame) -> DataFrame:
+    """(id, vlabel, slot, part, text): the entries of hub vertices in ordered parts.
+
+    ``hubs`` is broadcast (bounded, see ``hub_ids``). Copies of an edge are one row until they are printed.
+    """
+    rows = half_edges(edges).join(F.broadcast(hubs), "id", "left_semi")
+    counted = rows.groupBy("id", "slot", "other", "mgm").agg(F.count(F.lit(1)).alias("n"))
+    ranged = counted.repartitionByRange("id", "slot", "other").withColumn("part", F.spark_partition_id())
+    entry = F.struct("other", _entry(F.col("slot"), F.col("other"), F.col("mgm")).alias("entry"), "n")
+    texts = F.flatten(F.transform("items", lambda x: F.array_repeat(x["entry"], x["n"].cast("int"))))
+    return (ranged.groupBy("id", "slot", "part").agg(F.sort_array(F.collect_list(entry)).alias("items"))
+            .select("id", _side_label().alias("vlabel"), "slot", "part", F.array_join(texts, EDGE_SEP).alias("text")))
+
+
+def build_adjacency(vertices: DataFrame, edges: DataFrame, hub_degree: int = DEFAULT_HUB_DEGREE) -> DataFrame:
+    """(id, label, props, error, in_edges, out_edges) per vertex.
 
-    ``vertices``: (id, label, props) as from ``vertex_records``;
+    ``vertices``: (id, label, props[, error]) as from ``vertex_records``;
     ``edges``: (label, start_id, end_id[, mgm]). An edge half lands on the
     vertex of its endpoint label (CALL: MOBILE both ends; USE: MOBILE ->
     DEVICE; HAS: DEVICE -> MOBILE; USE_WIFI: MOBILE -> WIFI). Halves whose
-    vertex is missing are ignored; of several vertex rows with one (id,
-    label) the smallest props text is kept.
+    vertex is missing are left out (``missing_halves`` counts them); of
+    several vertex rows with one (id, label) the smallest props text is kept.
     """
-    h = half_edges(edges)
-    # L0: copies collapse map-side
-    l0 = h.groupBy("id", "slot", "other", "mgm").agg(F.count(F.lit(1)).alias("n"))
-    label = F.element_at(_lit_map(_RANK_LABEL), F.shiftright("slot", 1))
-    tail = F.when(label == CALL, F.concat(F.lit(FIELD_SEP), null_to_empty("mgm"))).otherwise(F.lit(""))
-    # L1: ordered chunks of at most ``chunk`` distinct neighbours
-    l1 = (l0.groupBy("id", "slot", F.expr(f"other div {int(chunk)}").alias("bucket"))
-          .agg(F.sort_array(F.collect_list(F.struct("other", tail.alias("tail"), "n"))).alias("items")))
-    lbl = F.element_at(_lit_map(_RANK_LABEL), F.shiftright("slot", 1))
-    text = F.array_join(F.flatten(F.transform(
-        "items", lambda x: F.array_repeat(
-            F.concat(lbl, F.lit(FIELD_SEP), x["other"].cast("string"), x["tail"]), x["n"].cast("int")))),
-        EDGE_SEP)
-    out_label = {r * 2 + 1: EDGE_ENDPOINTS[lab][0] for lab, r in _LABEL_RANK.items()}
-    in_label = {r * 2: EDGE_ENDPOINTS[lab][1] for lab, r in _LABEL_RANK.items()}
-    vlabel = F.element_at(_lit_map({**out_label, **in_label}), F.col("slot"))
-    chunks = l1.select("id", vlabel.alias("vlabel"), "slot", "bucket", text.alias("chunk"))
-    # L2: vertex rows and chunks meet in one aggregation
-    vrows = vertices.select("id", F.col("label").alias("vlabel"), "props")
-    rows = vrows.unionByName(chunks, allowMissingColumns=True)
-    key = F.struct("slot", "bucket", "chunk")
-    is_out = (F.col("slot") % 2) == 1
+    hubs = hub_ids(edges, hub_degree)
+    half = (half_edges(edges).join(F.broadcast(hubs), "id", "left_anti")
+            .select("id", _side_label().alias("vlabel"), F.struct("slot", "other", "mgm").alias("half")))
+    parts = hub_parts(edges, hubs).select("id", "vlabel", F.struct("slot", "part", "text").alias("piece"))
+    error = F.col("error") if "error" in vertices.columns else F.lit(None).cast("string")
+    rows = vertices.select("id", F.col("label").alias("vlabel"), F.struct("props", error.alias("error")).alias("vertex"))
+    rows = rows.unionByName(half, allowMissingColumns=True).unionByName(parts, allowMissingColumns=True)
     adj = (rows.groupBy("id", "vlabel")
-           .agg(F.min("props").alias("props"),
-                F.sort_array(F.collect_list(F.when(~is_out, key))).alias("_in"),
-                F.sort_array(F.collect_list(F.when(is_out, key))).alias("_out"))
-           .where(F.col("props").isNotNull()))
-    return adj.select(
-        "id", F.col("vlabel").alias("label"), "props",
-        F.array_join(F.transform("_in", lambda x: x["chunk"]), EDGE_SEP).alias("in_edges"),
-        F.array_join(F.transform("_out", lambda x: x["chunk"]), EDGE_SEP).alias("out_edges"),
-    )
+           .agg(F.min("vertex").alias("vertex"), F.collect_list("half").alias("halves"),
+                F.sort_array(F.collect_list("piece")).alias("pieces"))
+           .where(F.col("vertex").isNotNull()))
+    printed = F.sort_array(F.transform("halves", lambda x: F.struct(
+        x["slot"].alias("slot"), x["other"].alias("other"), _entry(x["slot"], x["other"], x["mgm"]).alias("text"))))
 
+    def side(out: int) -> Column:
+        def texts(items):
+            return F.transform(F.filter(items, lambda x: x["slot"] % 2 == out), lambda x: x["text"])
+        return F.array_join(F.concat(texts(printed), texts("pieces")), EDGE_SEP)
 
-def encode_adjacency(adj: DataFrame) -> DataFrame:
-    """(id, label, line) with line = ``id,LABEL,props<TAB>in<TAB>out``."""
+    return adj.select("id", F.col("vlabel").alias("label"), "vertex.props", "vertex.error",
+                      side(0).alias("in_edges"), side(1).alias("out_edges"))
+
+
+def missing_halves(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """(label, dir, n): half-edges whose vertex is not among ``vertices`` (id, label), which a fold leaves out."""
+    half = half_edges(edges).select("id", _side_label().alias("vlabel"), "slot")
+    lost = half.join(vertices.select("id", F.col("label").alias("vlabel")), ["id", "vlabel"], "left_anti")
+    return lost.groupBy(F.element_at(_lit_map(_RANK_LABEL), F.shiftright("slot", 1)).alias("label"),
+                        F.when(F.col("slot") % 2 == 1, "out").otherwise("in").alias("dir")
+                        ).agg(F.count(F.lit(1)).alias("n"))
+
+
+def encode_checked(adj: DataFrame) -> DataFrame:
+    """(id, label, line, error): a line ``id,LABEL,props<TAB>in<TAB>out``, or the reason why there is none."""
     line = F.concat(F.col("id").cast("string"), F.lit(FIELD_SEP), F.col("label"), F.lit(FIELD_SEP), F.col("props"),
                     F.lit(SECTION_SEP), F.col("in_edges"), F.lit(SECTION_SEP), F.col("out_edges"))
-    return adj.select("id", "label", line.alias("line"))
+    return adj.select("id", "label", F.when(F.col("error").isNull(), line).alias("line"), "error")
 
 
-def unsafe_vertices(vertices_by_label: dict[str, DataFrame]) -> DataFrame:
-    """Vertices whose property text would corrupt a line (separator inside a value).
+def encode_adjacency(adj: DataFrame) -> DataFrame:
+    """(id, label, line) of every vertex whose line reads back as the same values."""
+    return encode_checked(adj).where(F.col("error").isNull()).select("id", "label", "line")
 
-    A comma, tab, pipe or newline inside a property shifts fields when the
-    line is read back; such rows should be fixed before ``encode``.
-    """
-    parts = []
-    for label, v in vertices_by_label.items():
-        cols = MOBILE_COLUMNS if label == MOBILE else DEVICE_COLUMNS
-        bad = reduce(lambda a, b: a | b, [F.coalesce(F.col(c).cast("string").rlike("[,\t|\n]"), F.lit(False))
-                                          for c in cols])
-        parts.append(v.where(bad).select("id", F.lit(label).alias("label"), F.col("name")))
-    return reduce(DataFrame.unionByName, parts)
+
+def encode_rejects(adj: DataFrame) -> DataFrame:
+    """(id, label, error) of the vertices that ``encode_adjacency`` leaves out."""
+    return encode_checked(adj).where(F.col("error").isNotNull()).select("id", "label", "error")
 
 
 # --------------------------------------------------------------------------- decode

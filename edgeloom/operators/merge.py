@@ -9,10 +9,12 @@ edges) and a delta is folded in by a join, producing the next snapshot.
   join with the state on the key. Keys are unique on both sides after the
   collapse, so the join cannot fan out; the collapse itself is a partial
   (map-side) aggregation, so a hot key costs one row per task.
-* a delta whose row count passes a size check is broadcast and the state
-  is only streamed (no shuffle of the big side); a larger delta uses a
-  full outer sort-merge join (which shuffles only the delta when the state
-  is stored bucketed by the key, ``sinks.tables.replace_table``).
+* one full outer join is the plan at every size. The big side is not
+  shuffled when the state is stored bucketed by the key
+  (``sinks.tables.replace_table``, with as many buckets as the session has
+  shuffle partitions or more): then only the collapsed delta moves.
+* a key with a null part names no vertex or edge: such delta rows take no
+  part in an upsert, and ``nameless`` returns them.
 """
 
 from __future__ import annotations
@@ -23,7 +25,6 @@ from pyspark.sql import functions as F
 from ..functions.predicates import lt_or_missing
 from ..functions.scalar import sha1_hex
 from ..schema import CALL, MOBILE
-from ..session import freeze
 
 
 # --------------------------------------------------------------------------- append
@@ -57,6 +58,18 @@ def append_edges(state: DataFrame, delta: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- upsert
+def _keyed(delta: DataFrame, keys: list[str]) -> DataFrame:
+    return delta.dropna("any", subset=keys)
+
+
+def nameless(delta: DataFrame, keys=("label", "name")) -> DataFrame:
+    """The delta rows that an upsert refuses: some part of their key is null."""
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    return delta.where(missing)
+
+
 def collapse_by_key(delta: DataFrame, keys: list[str], ord_col: str = "ord",
                     status_col: str | None = "status") -> DataFrame:
     """Fold several delta rows of one key into one.
@@ -73,50 +86,16 @@ def collapse_by_key(delta: DataFrame, keys: list[str], ord_col: str = "ord",
             aggs.append(F.max(F.when(F.col(c) > 0, F.col(c))).alias(c))
         else:
             aggs.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(ord_col))).alias(c))
-    return delta.groupBy(*keys).agg(*aggs)
-
-
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def _delta_is_small(d: DataFrame, broadcast_rows: int) -> bool:
-    """The size check in front of a broadcast: count the collapsed delta (bounded work)."""
-    return broadcast_rows > 0 and d.limit(broadcast_rows + 1).count() <= broadcast_rows
-
-
-def _upsert(state: DataFrame, d: DataFrame, keys: list[str], combine, broadcast_rows: int) -> DataFrame:
-    """Join a collapsed delta (unique keys) into the state and shape rows with ``combine``.
-
-    ``combine()`` returns the output columns built from the key columns and
-    the ``_s_*``/``_d_*`` columns. A delta within ``broadcast_rows`` is
-    broadcast: the state is streamed through a left-outer hash join (one
-    pass, no shuffle) and delta keys missing from the state are found by a
-    broadcast semi-join (a second pass). A larger delta takes one full outer
-    sort-merge join.
-    """
-    if broadcast_rows > 0:
-        d = freeze(d, "collapsed-delta")  # collapsed once; the check and the join read it back
-    if not _delta_is_small(d, broadcast_rows):
-        return state.join(d, keys, "full_outer").select(*combine())
-    b = F.broadcast(d)
-    kept = state.join(b, keys, "left").select(*combine())
-    seen = state.select(*keys).join(F.broadcast(d.select(*keys)), keys, "left_semi").distinct()
-    new = d.join(seen, keys, "left_anti")
-    for c in state.columns:
-        if c not in keys:
-            new = new.withColumn(c, F.lit(None).cast(state.schema[c].dataType))
-    return kept.unionByName(new.select(*combine()))
+    return _keyed(delta, keys).groupBy(*keys).agg(*aggs)
 
 
 def merge_vertices(state: DataFrame, delta: DataFrame, keys=("label", "name"), ord_col: str = "ord",
-                   status_col: str = "status", broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   status_col: str = "status") -> DataFrame:
     """G6 (+A5): get-or-create by key; other properties overwritten when given.
 
     status only rises: merged = greatest(stored, delta when > 0). A delta
     status of 0, negative or absent leaves the stored one alone. MOBILE
-    rows keep nm_pass/nm_sha1 derived from the name. A delta of at most
-    ``broadcast_rows`` keys is merged without shuffling the state (see
-    ``_upsert``); ``broadcast_rows=0`` always uses the full outer join.
+    rows keep nm_pass/nm_sha1 derived from the name.
     """
     keys = list(keys)
     d = collapse_by_key(delta, keys, ord_col, status_col if status_col in delta.columns else None)
@@ -125,23 +104,20 @@ def merge_vertices(state: DataFrame, delta: DataFrame, keys=("label", "name"), o
     s = state.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in s_cols])
     dd = d.select(*keys, *[F.col(c).alias(f"_d_{c}") for c in d_cols])
 
-    def combine():
-        out = [F.col(k) for k in keys]
-        for c in s_cols + [c for c in d_cols if c not in s_cols]:
-            sc = F.col(f"_s_{c}") if c in s_cols else F.lit(None)
-            dc = F.col(f"_d_{c}") if c in d_cols else F.lit(None)
-            if c == status_col:
-                v = monotone_status(sc, dc)
-            elif c == "nm_pass" and "label" in keys:
-                v = F.when(F.col("label") == MOBILE, F.col("name")).otherwise(F.coalesce(dc, sc))
-            elif c == "nm_sha1" and "label" in keys:
-                v = F.when(F.col("label") == MOBILE, sha1_hex("name")).otherwise(F.coalesce(dc, sc))
-            else:
-                v = F.coalesce(dc, sc)
-            out.append(v.alias(c))
-        return out
-
-    return _upsert(s, dd, keys, combine, broadcast_rows)
+    out = [F.col(k) for k in keys]
+    for c in s_cols + [c for c in d_cols if c not in s_cols]:
+        sc = F.col(f"_s_{c}") if c in s_cols else F.lit(None)
+        dc = F.col(f"_d_{c}") if c in d_cols else F.lit(None)
+        if c == status_col:
+            v = monotone_status(sc, dc)
+        elif c == "nm_pass" and "label" in keys:
+            v = F.when(F.col("label") == MOBILE, F.col("name")).otherwise(F.coalesce(dc, sc))
+        elif c == "nm_sha1" and "label" in keys:
+            v = F.when(F.col("label") == MOBILE, sha1_hex("name")).otherwise(F.coalesce(dc, sc))
+        else:
+            v = F.coalesce(dc, sc)
+        out.append(v.alias(c))
+    return s.join(dd, keys, "full_outer").select(*out)
 
 
 def merge_vertex_attrs(state: DataFrame, delta: DataFrame, keys=("label", "name"), ord_col: str = "ord",
@@ -155,15 +131,14 @@ def merge_vertex_attrs(state: DataFrame, delta: DataFrame, keys=("label", "name"
     per property name, not per delta line.
     """
     keys = list(keys)
-    p = delta.select(*keys, ord_col, F.explode("attrs").alias("prop", "value")).where(F.col("prop") != "name")
-    last = (p.where(F.col("prop") != status_key).groupBy(*keys, "prop")
-            .agg(F.max_by("value", F.col(ord_col)).alias("value")))
-    st = (p.where(F.col("prop") == status_key).select(*keys, F.col("value").try_cast("int").alias("v"))
-          .where(F.col("v") > 0).groupBy(*keys).agg(F.max("v").cast("string").alias("value"))
-          .withColumn("prop", F.lit(status_key)))
-    props = (last.unionByName(st).groupBy(*keys)
-             .agg(F.map_from_entries(F.collect_list(F.struct("prop", "value"))).alias("_d")))
-    created = delta.select(*keys).distinct().join(props, keys, "left")
+    # the delta is read once: every vertex has an entry for its name, which also creates it
+    p = _keyed(delta, keys).select(*keys, ord_col, F.explode(F.map_concat(
+        F.map_filter("attrs", lambda k, v: k != "name"), F.create_map(F.lit("name"), F.col("name")))).alias("prop", "value"))
+    status = F.col("value").try_cast("int")
+    last = p.groupBy(*keys, "prop").agg(
+        F.max_by("value", F.col(ord_col)).alias("value"), F.max(F.when(status > 0, status)).cast("string").alias("raised"))
+    value = F.when(F.col("prop") == status_key, F.col("raised")).otherwise(F.col("value"))
+    created = last.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("prop", value.alias("value")))).alias("_d"))
     j = state.select(*keys, F.col("attrs").alias("_s")).join(created, keys, "full_outer")
     empty = F.create_map().cast("map<string,string>")
 
@@ -201,17 +176,19 @@ def status_changes(state: DataFrame, delta: DataFrame, keys=("label", "name"), o
             .select(*keys, "old_status", "delta_status", F.col("delta_status").alias(status_col)))
 
 
-def merge_edges(state: DataFrame, delta: DataFrame, keys=("start_name", "label", "end_name"),
-                ord_col: str = "ord", state_folded: bool = False,
-                broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def merge_edges(state: DataFrame, delta: DataFrame, vertices: DataFrame | None = None,
+                keys=("start_name", "label", "end_name"), ord_col: str = "ord", state_folded: bool = False) -> DataFrame:
     """Insert an edge when no edge of that label joins start and end; then
     set mgm when the delta gives one (CALL only).
 
+    ``vertices`` (name): a delta edge is only taken when both of its end
+    names exist there (``dangling_edges`` returns the others); None when the
+    caller has checked, as ``increment_edges`` does by resolving ids.
+
     The delta is collapsed to one row per key (last non-null mgm by
     ``ord``) so repeated copies cannot duplicate edges; so is the state,
     unless it is already one row per key (``state_folded``, e.g. the output
-    of a previous merge), which lets a small delta be merged without
-    shuffling the state.
+    of a previous merge).
     """
     keys = list(keys)
 
@@ -219,15 +196,24 @@ def merge_edges(state: DataFrame, delta: DataFrame, keys=("start_name", "label",
         return df.groupBy(*keys).agg(F.max_by("mgm", F.when(F.col("mgm").isNotNull(), F.col(ord_col))).alias("mgm"))
 
     s = (state.select(*keys, "mgm") if state_folded else fold(state)).withColumnRenamed("mgm", "_s_mgm")
-    d = fold(delta).withColumnRenamed("mgm", "_d_mgm")
-
-    def combine():
-        mgm = F.when(F.col("label") == CALL, F.coalesce("_d_mgm", "_s_mgm"))
-        return [*[F.col(k) for k in keys], mgm.alias("mgm")]
-
-    # an unfolded state is shuffled by key for its fold anyway; the full outer join then
-    # reuses that partitioning, so the broadcast path only pays off for a folded state
-    return _upsert(s, d, keys, combine, broadcast_rows if state_folded else 0)
+    d = fold(_keyed(delta, keys)).withColumnRenamed("mgm", "_d_mgm")
+    if vertices is not None:
+        for end in (keys[0], keys[-1]):
+            d = vertex_exists(d, vertices, end)
+    mgm = F.when(F.col("label") == CALL, F.coalesce("_d_mgm", "_s_mgm"))
+    return s.join(d, keys, "full_outer").select(*keys, mgm.alias("mgm"))
+
+
+def dangling_edges(delta: DataFrame, vertices: DataFrame, keys=("start_name", "label", "end_name")) -> DataFrame:
+    """The delta edges ``merge_edges`` refuses: keys and ``missing`` ('start', 'end' or 'both')."""
+    start, *_, end = keys
+    e = delta.select(*keys)
+    for col in (start, end):
+        known = vertices.select(F.col("name").alias(col)).where(F.col(col).isNotNull()).distinct()
+        e = e.join(known.withColumn(f"_has_{col}", F.lit(True)), col, "left")
+    no_start, no_end = F.col(f"_has_{start}").isNull(), F.col(f"_has_{end}").isNull()
+    missing = F.when(no_start & no_end, "both").when(no_start, "start").when(no_end, "end")
+    return e.select(*keys, missing.alias("missing")).where(F.col("missing").isNotNull())
 
 
 def edge_between(pairs: DataFrame, edges: DataFrame, keys=("start_name", "label", "end_name")) -> DataFrame:

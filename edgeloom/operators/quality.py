@@ -65,40 +65,60 @@ def conflict_report(vertices_by_label: dict[str, DataFrame], edges_by_label: dic
     (how many edge endpoints, over all edge tables, carry the name).
     """
     tags = tags or LABEL_TAGS
-    parts = [v.select("name", F.lit(tags[label]).alias("type")) for label, v in vertices_by_label.items()]
-    # one aggregation; the tag set per name is combined map-side (at most one entry per label)
-    conf = (reduce(DataFrame.union, parts).groupBy("name")
-            .agg(F.array_sort(F.collect_set("type")).alias("_types"))
-            .where(F.size("_types") > 1)
-            .select("name", F.size("_types").cast("bigint").alias("n_labels"),
-                    F.array_join("_types", ",").alias("labels")))
+    names = reduce(DataFrame.union, [v.select("name", F.lit(tags[label]).alias("type"), F.lit(0).alias("ends"))
+                                     for label, v in vertices_by_label.items()])
     ends = reduce(DataFrame.union, [
         e.select(F.inline(F.array(F.struct(F.col("start_name").alias("name")), F.struct(F.col("end_name").alias("name")))))
-        for e in edges_by_label.values()])
-    # pre-aggregate edge ends per name (map-side), then join the small conflict set
-    touched = ends.join(conf.select("name"), "name", "left_semi").groupBy("name").agg(F.count(F.lit(1)).alias("n_edge_ends"))
-    return (conf.join(touched, "name", "left")
-            .select("name", "n_labels", "labels", F.coalesce("n_edge_ends", F.lit(0)).alias("n_edge_ends")))
+        for e in edges_by_label.values()]).select("name", F.lit(None).cast("string").alias("type"), F.lit(1).alias("ends"))
+    # names and edge ends meet in one aggregation; each task sends a name once, with its tags and its count
+    both = names.union(ends).where(F.col("name").isNotNull()).groupBy("name").agg(
+        F.array_sort(F.collect_set("type")).alias("_types"), F.sum("ends").alias("n_edge_ends"))
+    return (both.where(F.size("_types") > 1)
+            .select("name", F.size("_types").cast("bigint").alias("n_labels"),
+                    F.array_join("_types", ",").alias("labels"), "n_edge_ends"))
 
 
 def uniqueness_report(vertices_by_label: dict[str, DataFrame]) -> DataFrame:
-    """Q2: per label and over all labels: rows, distinct names, repeated names, null names.
+    """Q2: per label and over all labels: rows, distinct names, repeated names, null names, and repeated ids.
 
-    Names (and hence ids) must be unique before loading; a non-zero
-    ``n_repeated_names`` or ``n_null_names`` blocks the load.
+    Names and ids must be unique before loading; a non-zero ``n_repeated_names``, ``n_null_names`` or
+    ``n_repeated_ids`` blocks the load. ``n_repeated_ids`` counts ids on more than one row (0 for tables
+    that have no id yet). Names are grouped once, with a count per label; so are ids.
     """
-    per = []
-    for label, v in vertices_by_label.items():
-        per.append(v.select(F.lit(label).alias("label"), "name"))
-    allv = reduce(DataFrame.union, per)
-    both = allv.unionByName(allv.select(F.lit("ALL").alias("label"), "name"))
-    by_name = both.groupBy("label", "name").agg(F.count(F.lit(1)).alias("c"))
-    return by_name.groupBy("label").agg(
+    labels = [*vertices_by_label, "ALL"]
+    rows = reduce(DataFrame.union, [
+        v.select(F.lit(label).alias("label"), "name", (F.col("id") if "id" in v.columns else F.lit(None)).cast("bigint").alias("id"))
+        for label, v in vertices_by_label.items()])
+
+    def counted(key: str) -> DataFrame:
+        per = [F.count(F.lit(1) if label == "ALL" else F.when(F.col("label") == label, 1)).alias(label) for label in labels]
+        c = rows.groupBy(key).agg(*per)
+        return c.select(key, F.inline(F.array(*[F.struct(F.lit(x).alias("label"), F.col(x).alias("c")) for x in labels])))
+
+    names = counted("name").groupBy("label").agg(
         F.sum("c").cast("bigint").alias("n_rows"),
-        F.count("name").alias("n_distinct_names"),
-        F.count(F.when((F.col("c") > 1) & F.col("name").isNotNull(), F.lit(1))).alias("n_repeated_names"),
-        F.coalesce(F.sum(F.when(F.col("name").isNull(), F.col("c"))), F.lit(0)).cast("bigint").alias("n_null_names"),
-    )
+        F.count(F.when(F.col("name").isNotNull() & (F.col("c") > 0), 1)).alias("n_distinct_names"),
+        F.count(F.when(F.col("name").isNotNull() & (F.col("c") > 1), 1)).alias("n_repeated_names"),
+        F.coalesce(F.sum(F.when(F.col("name").isNull(), F.col("c"))), F.lit(0)).cast("bigint").alias("n_null_names"))
+    ids = counted("id").where(F.col("id").isNotNull()).groupBy("label").agg(
+        F.count(F.when(F.col("c") > 1, 1)).alias("n_repeated_ids"))
+    return names.join(ids, "label", "left").select(
+        *names.columns, F.coalesce("n_repeated_ids", F.lit(0)).cast("bigint").alias("n_repeated_ids"))
+
+
+def duplicate_names(vertices: DataFrame) -> DataFrame:
+    """Q2 after an append: (label, name, copies) for vertices that a label holds more than once.
+
+    ``vertices``: (label, name) or open vertices (label, attrs).
+    """
+    name = F.col("name") if "name" in vertices.columns else F.col("attrs").getItem("name")
+    return (vertices.select("label", name.alias("name")).where(F.col("name").isNotNull())
+            .groupBy("label", "name").agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1))
+
+
+def duplicate_edges(edges: DataFrame, keys=("label", "start_id", "end_id")) -> DataFrame:
+    """A6 after an append: the edges that break the one-edge-per-pair rule, with their copies."""
+    return distinct_simple_edges(edges, keys).where(F.col("copies") > 1)
 
 
 def distinct_simple_edges(edges: DataFrame, keys=("label", "start_id", "end_id")) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,10 +38,10 @@ def stage_device(vertices: DataFrame, label: str = DEVICE) -> DataFrame:
     return d.select(*[_attr(c).alias(c) for c in DEVICE_COLUMNS])
 
 
-def stage_vertices_wide(vertices: DataFrame) -> DataFrame:
-    """P1+P2 in one projection: (label, every staged column) for all labels.
+def stage_vertices_wide(vertices: DataFrame, *carried: str) -> DataFrame:
+    """P1+P2 in one projection: (label, every staged column) for all labels, with the ``carried`` columns.
 
-    MOBILE rows fill the mobile columns, DEVICE/WIFI rows fill
+    MOBILE rows fill the mobile columns, other rows fill
     is_exception/is_white; the rest is null. Lets a pipeline parse and
     store the vertex text once and split it by label afterwards
     (``split_staged``).
@@ -50,7 +52,13 @@ def stage_vertices_wide(vertices: DataFrame) -> DataFrame:
         cols.append(F.when(is_m, expr).alias(c))
     for c in DEVICE_COLUMNS[1:]:
         cols.append(F.when(~is_m, _attr(c)).alias(c))
-    return vertices.where(F.col("label").isin(MOBILE, DEVICE, WIFI)).select(*cols)
+    return vertices.select(*cols, *carried)
+
+
+def union_staged(vertices_by_label: dict[str, DataFrame]) -> DataFrame:
+    """Staged tables of several labels as one wide table (label, every staged column)."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                  [with_label(v, label) for label, v in vertices_by_label.items()])
 
 
 def split_staged(wide: DataFrame) -> dict[str, DataFrame]:

@@ -56,23 +56,27 @@ def other_v(edges_from: DataFrame, vertices: DataFrame, props: Sequence[str] = (
     return edges_from.join(v, far)
 
 
-def both(edges: DataFrame, start, label: str | None = None) -> DataFrame:
+def both(edges: DataFrame, start, label: str | None = None, edges_in: DataFrame | None = None) -> DataFrame:
     """(start_id, nbr_id) over out- and in-edges, bag semantics.
 
-    Each edge is seen from both ends in one pass; a self-loop on a start
-    vertex yields it twice.
+    Each side is restricted to the start set before the two are put together, so
+    only the start set's edges are ever moved. ``edges_in`` may name a copy of the
+    edges laid out by end_id (``read_in_edges``), which the in side then reads. A
+    self-loop on a start vertex yields it twice.
     """
+    out = out_e(edges, start, label).select("start_id", F.col("end_id").alias("nbr_id"))
+    back = in_e(edges if edges_in is None else edges_in, start, label)
+    return out.unionByName(back.select(F.col("end_id").alias("start_id"), F.col("start_id").alias("nbr_id")))
+
+
+def both_from(edges: DataFrame, start: DataFrame, label: str | None = None,
+              edges_in: DataFrame | None = None) -> DataFrame:
+    """As ``both``, carrying the columns of the start rows (start_id, unique, and any others) along."""
     e = edges if label is None else edges.where(F.col("label") == label)
-    if not isinstance(start, DataFrame):
-        ids = list(start)
-        # pushed into the scan (an OR of IN filters), before the halves are generated
-        e = e.where(F.col("start_id").isin(ids) | F.col("end_id").isin(ids))
-    halves = e.select(F.inline(F.array(
-        F.struct(F.col("start_id").alias("start_id"), F.col("end_id").alias("nbr_id")),
-        F.struct(F.col("end_id").alias("start_id"), F.col("start_id").alias("nbr_id")))))
-    if isinstance(start, DataFrame):
-        return halves.join(start.select(F.col("id").alias("start_id")), "start_id", "left_semi")
-    return halves.where(F.col("start_id").isin(list(start)))
+    i = e if edges_in is None else edges_in if label is None else edges_in.where(F.col("label") == label)
+    out = e.select("start_id", F.col("end_id").alias("nbr_id")).join(start, "start_id")
+    back = i.select(F.col("end_id").alias("start_id"), F.col("start_id").alias("nbr_id")).join(start, "start_id")
+    return out.unionByName(back)
 
 
 def match_pattern(vertices: DataFrame, edges: DataFrame, a_label: str, edge_label: str, b_label: str,
@@ -131,10 +135,9 @@ def pairs_report(vertices: DataFrame, edges: DataFrame, names, label: str, colum
     ``columns`` maps output name -> ``m1.<prop>`` (start) or ``m2.<prop>``
     (neighbour).
     """
-    start = start_by_names(vertices, names, start_label)
-    nb = both(edges, start, label)
     props = sorted({src.split(".", 1)[1] for src in columns.values()})
-    m1 = vertices.select(F.col("id").alias("start_id"), *[F.col(p).alias(f"m1.{p}") for p in props])
+    start = start_by_names(vertices, names, start_label).select(
+        F.col("id").alias("start_id"), *[F.col(p).alias(f"m1.{p}") for p in props])
     m2 = vertices.select(F.col("id").alias("nbr_id"), *[F.col(p).alias(f"m2.{p}") for p in props])
-    j = nb.join(m1, "start_id").join(m2, "nbr_id")
+    j = both_from(edges, start, label).join(m2, "nbr_id")
     return project_or_constant(j, {out: f"`{src}`" for out, src in columns.items()}, default)

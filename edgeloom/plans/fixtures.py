@@ -95,11 +95,46 @@ def call(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def call_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CALL rows for the edge-merge fixture: end index taken mod 200 so pairs
-    repeat, 'missing' rows left out, ord = order key."""
-    b = _call_base(spark, sf_dir).where(F.col("ord") % 97 != 0)
-    return b.select("start_name", F.lit("CALL").alias("label"), _customer_name(F.col("target") % 200).alias("end_name"),
-                    "mgm", "ord")
+    """CALL rows for the edge upserts: (start_name, label, end_name, mgm, ord), ord = order key.
+
+    A customer calls one of three others, picked by the order key, so pairs repeat as soon as a customer has
+    a few orders, and the number of pairs grows with the customers. Every 97th order ends at 'missing'.
+    """
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    cust = _t(spark, sf_dir, "customer")
+    n_cust = cust.select(F.count(F.lit(1))).scalar()
+    target = (F.col("o_custkey") * 31 + F.col("o_orderkey") % 3) % n_cust + 1
+    end = F.when(F.col("o_orderkey") % 97 == 0, F.lit("missing")).otherwise(_customer_name(target))
+    mgm = F.when(F.col("o_orderstatus") == "F", F.lit(1)).when(F.col("o_orderstatus") == "P", F.lit(0))
+    return (o.join(cust.select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"))
+            .select(F.col("c_name").alias("start_name"), F.lit("CALL").alias("label"), end.alias("end_name"),
+                    mgm.alias("mgm"), F.col("o_orderkey").alias("ord")))
+
+
+def upsert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vertices of all three labels for the upserts: (label, name, k, merchant_name, status)."""
+    m = mobile(spark, sf_dir, with_key=True).select(F.lit(MOBILE).alias("label"), "name", "k", "merchant_name", "status")
+    d = device(spark, sf_dir).select(F.lit(DEVICE).alias("label"), "name", "k", F.coalesce("is_exception", F.lit("plain")
+                                     ).alias("merchant_name"), (F.col("k") % 4).cast("int").alias("status"))
+    w = wifi(spark, sf_dir).select(F.lit(WIFI).alias("label"), "name", "k", F.col("is_exception").alias("merchant_name"),
+                                   F.lit(None).cast("int").alias("status"))
+    return m.unionByName(d).unionByName(w)
+
+
+def upsert_state(rows: DataFrame) -> DataFrame:
+    """The stored part of ``upsert_rows``; each row is in the state, the delta, or both."""
+    return rows.where(F.col("k") % 3 != 0).select("label", "name", "merchant_name", "status")
+
+
+def upsert_delta(rows: DataFrame) -> DataFrame:
+    """(label, name, merchant_name, status, ord): new keys and stored ones; every fifth key comes twice."""
+    came = rows.where((F.col("k") % 3 == 0) | (F.col("k") % 2 == 0))
+    once = came.select("label", "name", F.when(F.col("k") % 4 == 0, F.concat("merchant_name", F.lit("2"))).alias("merchant_name"),
+                       (F.col("k") % 7 - 1).cast("int").alias("status"), (2 * F.col("k")).alias("ord"))
+    again = came.where(F.col("k") % 5 == 0).select(
+        "label", "name", F.when(F.col("k") % 2 == 0, F.concat(F.coalesce("merchant_name", F.lit("x")), F.lit("3"))).alias("merchant_name"),
+        (F.col("k") % 6 - 2).cast("int").alias("status"), (2 * F.col("k") + 1).alias("ord"))
+    return once.unionByName(again)
 
 
 def _order_lines(spark: SparkSession, sf_dir: str, returned_only: bool = False) -> DataFrame:

@@ -1,8 +1,10 @@
 """DuckDB text of the fixture graph (the oracle side of the correctness check).
 
-The same definitions as ``plans.fixtures`` and ``plans.pipeline``, written
-as CTEs over the pre-registered base tables. Every oracle query is
-``WITH <these>[, extra] <select>``; DuckDB drops the CTEs a query does not use.
+The fixture rows as CTEs over the base tables, then the loaded graph stated
+in SQL of its own: one relation of vertices, one of named edges, a map of end
+labels, ids by ``dense_rank``, one join that resolves every label. Every
+oracle query is ``WITH <these>[, extra] <select>``; DuckDB drops the CTEs a
+query does not use.
 """
 
 BASE_CTES = r"""
@@ -39,118 +41,60 @@ call_e AS (
     mgm
   from call_base
 ),
-order_lines AS (
-  select c_name, l_partkey, l_suppkey, l_returnflag
-  from orders join lineitem on l_orderkey=o_orderkey join customer on c_custkey=o_custkey
-),
-use_e AS (
-  select distinct c_name as start_name, d.name as end_name from order_lines join device d on d.k=l_partkey
-),
-use_wifi_e AS (
-  select distinct c_name as start_name, w.name as end_name from order_lines join wifi_raw w on w.k=l_suppkey
-),
-has_e AS (
-  select distinct d.name as start_name, c_name as end_name from order_lines join device d on d.k=l_partkey
-  where l_returnflag='R'
-),
-tagged AS (
-  select name, 'd' as type from device union select name, 'w' from wifi_raw union select name, 'm' from mobile
-),
-conflicts AS (
-  select name, count(*) as count from tagged group by name having count(*) > 1
-),
-wifi AS (
-  select * from wifi_raw w where not exists (select 1 from conflicts c where c.name = w.name)
-),
-idmap AS (
-  select row_number() over (order by name) as id, name
-  from (select name from device union select name from wifi union select name from mobile) u
-  where name is not null
-),
-mobile_id AS (
-  select i.id, m.name, m.nm_pass, m.nm_sha1, m.is_register, m.is_risk, m.is_internal, m.is_service,
-    m.merchant_name, m.status, m.suspect_risk, m.overdue_status
-  from mobile m join idmap i on m.name = i.name
-),
-device_id AS (
-  select i.id, d.name, d.is_exception, d.is_white from device d join idmap i on d.name = i.name
-),
-wifi_id AS (
-  select i.id, w.name, w.is_exception, w.is_white from wifi w join idmap i on w.name = i.name
-),
-call_id AS (
-  select b.id as start_id, c.id as end_id, a.mgm from call_e a
-  join mobile_id b on a.start_name = b.name join mobile_id c on a.end_name = c.name
-),
-use_id AS (
-  select b.id as start_id, c.id as end_id from use_e a
-  join mobile_id b on a.start_name = b.name join device_id c on a.end_name = c.name
-),
-has_id AS (
-  select b.id as start_id, c.id as end_id from has_e a
-  join device_id b on a.start_name = b.name join mobile_id c on a.end_name = c.name
-),
-use_wifi_id AS (
-  select b.id as start_id, c.id as end_id from use_wifi_e a
-  join mobile_id b on a.start_name = b.name join wifi_id c on a.end_name = c.name
-),
-edges AS (
-  select 'CALL' as label, start_id, end_id, mgm from call_id
-  union all select 'HAS', start_id, end_id, cast(null as int) from has_id
-  union all select 'USE', start_id, end_id, cast(null as int) from use_id
-  union all select 'USE_WIFI', start_id, end_id, cast(null as int) from use_wifi_id
+-- every vertex row of the three labels in one relation, the short tag of a label is its first letter
+vertex AS (
+  select 'MOBILE' as label, k, name, nm_pass, nm_sha1, is_register, is_risk, is_internal, is_service, merchant_name,
+    status, suspect_risk, overdue_status, cast(null as varchar) as is_exception, cast(null as varchar) as is_white
+  from mobile
+  union all by name select 'DEVICE' as label, * from device
+  union all by name select 'WIFI' as label, * from wifi_raw
 ),
+clash AS (select name, count(distinct label) as labels from vertex group by name having count(distinct label) > 1),
 vwide AS (
-  select id, 'MOBILE' as label, name, nm_pass, nm_sha1, is_register, is_risk, is_internal, is_service,
-    merchant_name, status, suspect_risk, overdue_status,
-    cast(null as varchar) as is_exception, cast(null as varchar) as is_white from mobile_id
-  union all
-  select id, 'DEVICE', name, null, null, null, null, null, null, null, null, null, null, is_exception, is_white
-  from device_id
-  union all
-  select id, 'WIFI', name, null, null, null, null, null, null, null, null, null, null, is_exception, is_white
-  from wifi_id
-),
-vrec AS (
-  select id, 'MOBILE' as label, concat_ws(',', coalesce(name,''), coalesce(nm_pass,''), coalesce(nm_sha1,''),
-    coalesce(is_register,''), coalesce(is_risk,''), coalesce(is_internal,''), coalesce(is_service,''),
-    coalesce(merchant_name,''), coalesce(cast(status as varchar),''), coalesce(cast(suspect_risk as varchar),''),
-    coalesce(cast(overdue_status as varchar),'')) as props from mobile_id
-  union all
-  select id, 'DEVICE', concat_ws(',', coalesce(name,''), coalesce(is_exception,''), coalesce(is_white,''))
-  from device_id
-  union all
-  select id, 'WIFI', concat_ws(',', coalesce(name,''), coalesce(is_exception,''), coalesce(is_white,''))
-  from wifi_id
-),
-half AS (
-  select start_id as id,
-    case label when 'HAS' then 'DEVICE' else 'MOBILE' end as vlabel, 'out' as dir, label, end_id as other,
-    label || ',' || cast(end_id as varchar) ||
-      case when label = 'CALL' then ',' || coalesce(cast(mgm as varchar), '') else '' end as entry
-  from edges
-  union all
-  select end_id,
-    case label when 'USE' then 'DEVICE' when 'USE_WIFI' then 'WIFI' else 'MOBILE' end, 'in', label, start_id,
-    label || ',' || cast(start_id as varchar) ||
-      case when label = 'CALL' then ',' || coalesce(cast(mgm as varchar), '') else '' end
-  from edges
-),
-adj AS (
-  select v.id, v.label, v.props,
-    coalesce(a.ins, '') as in_edges, coalesce(a.outs, '') as out_edges
-  from (select id, label, min(props) as props from vrec group by id, label) v
-  left join (
-    select id, vlabel,
-      string_agg(entry, '|' order by label, other, entry) filter (where dir = 'in') as ins,
-      string_agg(entry, '|' order by label, other, entry) filter (where dir = 'out') as outs
-    from half group by id, vlabel
-  ) a on a.id = v.id and a.vlabel = v.label
+  select dense_rank() over (order by name) as id, * exclude (k)
+  from vertex where name is not null and (label <> 'WIFI' or name not in (select name from clash))
+),
+-- every edge row by name in one relation
+bought AS (
+  select c_name as who, l_partkey, l_suppkey, l_returnflag
+  from lineitem join orders on o_orderkey = l_orderkey join customer on c_custkey = o_custkey
+),
+named AS (
+  select 'CALL' as label, start_name, end_name, mgm from call_e
+  union all select distinct 'USE', who, v.name, cast(null as int) from bought join vertex v on v.label = 'DEVICE' and v.k = l_partkey
+  union all select distinct 'USE_WIFI', who, v.name, null from bought join vertex v on v.label = 'WIFI' and v.k = l_suppkey
+  union all select distinct 'HAS', v.name, who, null from bought join vertex v on v.label = 'DEVICE' and v.k = l_partkey
+            where l_returnflag = 'R'
+),
+ends(label, src, dst) AS (values ('CALL', 'MOBILE', 'MOBILE'), ('USE', 'MOBILE', 'DEVICE'), ('HAS', 'DEVICE', 'MOBILE'),
+  ('USE_WIFI', 'MOBILE', 'WIFI')),
+edges AS (
+  select n.label, s.id as start_id, t.id as end_id, n.mgm
+  from named n join ends using (label)
+  join vwide s on (s.label, s.name) = (src, n.start_name) join vwide t on (t.label, t.name) = (dst, n.end_name)
+),
+printed AS (
+  select id, label, array_to_string([coalesce(x, '') for x in case when label = 'MOBILE'
+    then [name, nm_pass, nm_sha1, is_register, is_risk, is_internal, is_service, merchant_name, status::varchar,
+          suspect_risk::varchar, overdue_status::varchar]
+    else [name, is_exception, is_white] end], ',') as props
+  from vwide
+),
+touching AS (
+  select unnest([{'id': start_id, 'label': src, 'dir': 'out', 'other': end_id}, {'id': end_id, 'label': dst, 'dir': 'in',
+    'other': start_id}], recursive := true), edges.label as edge, mgm
+  from edges join ends on ends.label = edges.label
+),
+sides AS (
+  select id, label, dir, string_agg(entry, '|' order by edge, other, entry) as entries
+  from (select *, concat_ws(',', edge, other, case when edge = 'CALL' then coalesce(mgm::varchar, '') end) as entry from touching)
+  group by all
 ),
 adj_lines AS (
-  select id, label,
-    cast(id as varchar) || ',' || label || ',' || props || chr(9) || in_edges || chr(9) || out_edges as line
-  from adj
+  select p.id, p.label, concat(p.id, ',', p.label, ',', min(props), chr(9),
+    coalesce(any_value(entries) filter (where dir = 'in'), ''), chr(9),
+    coalesce(any_value(entries) filter (where dir = 'out'), '')) as line
+  from printed p left join sides s on s.id = p.id and s.label = p.label group by p.id, p.label
 )
 """
 

@@ -14,7 +14,8 @@ from ..operators.ids import number_rows, union_names
 from ..operators.quality import (conflict_report, conflicting_names, count_edges_on, distinct_simple_edges,
                                  remove_conflicting, tagged_names, uniqueness_report)
 from ..operators.stage import add_name_digest, stage_device, stage_mobile
-from ..schema import CALL, DEVICE, EDGE_LABELS, MOBILE, MOBILE_COLUMNS, WIFI
+from ..schema import (CALL, DEVICE, EDGE_LABELS, MOBILE, MOBILE_COLUMNS, MOBILE_EXPORT_COLUMNS, MOBILE_INT_COLUMNS,
+                      WIDE_VERTEX_COLUMNS, WIFI)
 from ..sinks.text import export_edges, export_vertices
 from ..sources.text import ingest_call_edges, ingest_edges, ingest_labelled_edges, ingest_vertices
 from . import fixtures as fx
@@ -24,8 +25,7 @@ from .graph import wide_vertices
 from .pipeline import load_graph, stage_all
 
 MOBILE_COLS_SQL = ", ".join(MOBILE_COLUMNS)
-WIDE_SQL = ("id, label, name, nm_pass, nm_sha1, is_register, is_risk, is_internal, is_service, merchant_name, "
-            "status, suspect_risk, overdue_status, is_exception, is_white")
+WIDE_SQL = ", ".join(("id", "label", *WIDE_VERTEX_COLUMNS))
 
 
 def graph(spark: SparkSession, sf_dir: str):
@@ -55,8 +55,7 @@ def _n_props_sql(cols) -> str:
 # --------------------------------------------------------------------------- raw text
 @register("ingest_vertices", f"""
 select 'MOBILE' as label, '11.' || cast(k as varchar) as gid, name,
-  {_n_props_sql(['name', 'is_register', 'is_risk', 'is_internal', 'is_service', 'merchant_name', 'status',
-                 'suspect_risk', 'overdue_status'])} as n_props from mobile
+  {_n_props_sql(MOBILE_EXPORT_COLUMNS)} as n_props from mobile
 union all
 select 'DEVICE', '10.' || cast(k as varchar), name, {_n_props_sql(['name', 'is_exception', 'is_white'])} from device
 union all
@@ -83,9 +82,7 @@ def q_stage_device(spark, sf_dir):
 
 
 @register("ingest_edges", """
-select start_name, 'HAS' as label, end_name from has_e
-union all select start_name, 'USE', end_name from use_e
-union all select start_name, 'USE_WIFI', end_name from use_wifi_e
+select start_name, label, end_name from named where label <> 'CALL'
 """)
 def q_ingest_edges(spark, sf_dir):
     lines = edge_lines(spark, sf_dir)
@@ -98,10 +95,7 @@ def q_ingest_call_edges(spark, sf_dir):
 
 
 @register("ingest_labelled_edges", """
-select start_name, 'CALL' as label, end_name, mgm from call_e
-union all select start_name, 'HAS', end_name, cast(null as int) from has_e
-union all select start_name, 'USE', end_name, cast(null as int) from use_e
-union all select start_name, 'USE_WIFI', end_name, cast(null as int) from use_wifi_e
+select start_name, label, end_name, mgm from named
 """)
 def q_ingest_labelled_edges(spark, sf_dir):
     lines = edge_lines(spark, sf_dir)
@@ -114,51 +108,46 @@ def q_name_digest(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- names, conflicts, ids
-@register("union_names", "select name from device union select name from wifi union select name from mobile")
+@register("union_names", "select distinct name from vwide")
 def q_union_names(spark, sf_dir):
     sv = fx.staged_vertices(spark, sf_dir)
     conf = conflicting_names(tagged_names(sv))
     return union_names(sv[DEVICE], remove_conflicting(sv[WIFI], conf), sv[MOBILE])
 
 
-@register("tagged_names", "select name, type from tagged")
+@register("tagged_names", "select distinct name, lower(left(label, 1)) as type from vertex")
 def q_tagged_names(spark, sf_dir):
     return tagged_names(fx.staged_vertices(spark, sf_dir))
 
 
-@register("conflicting_names", "select name, count from conflicts")
+@register("conflicting_names", "select name, labels as count from clash")
 def q_conflicting_names(spark, sf_dir):
     return conflicting_names(tagged_names(fx.staged_vertices(spark, sf_dir)))
 
 
-@register("conflict_edge_count", "select count(*) as cnt from conflicts a join use_wifi_e b on a.name = b.end_name")
+@register("conflict_edge_count", "select count(*) as cnt from named where label = 'USE_WIFI' and end_name in (select name from clash)")
 def q_conflict_edge_count(spark, sf_dir):
     conf = conflicting_names(tagged_names(fx.staged_vertices(spark, sf_dir)))
     return count_edges_on(conf, fx.use_wifi(spark, sf_dir), "end_name")
 
 
 @register("conflict_report", """
-select c.name, c.n_labels, c.labels, coalesce(e.n, 0) as n_edge_ends
-from (select name, count(*) as n_labels, string_agg(type, ',' order by type) as labels
-      from tagged group by name having count(*) > 1) c
-left join (select name, count(*) as n from (
-    select start_name as name from call_e union all select end_name from call_e
-    union all select start_name from has_e union all select end_name from has_e
-    union all select start_name from use_e union all select end_name from use_e
-    union all select start_name from use_wifi_e union all select end_name from use_wifi_e) x
-  group by name) e on e.name = c.name
+select name, labels as n_labels,
+  (select string_agg(distinct lower(left(label, 1)), ',' order by lower(left(label, 1))) from vertex v where v.name = c.name) as labels,
+  (select count(*) from named n where n.start_name = c.name) + (select count(*) from named n where n.end_name = c.name) as n_edge_ends
+from clash c
 """)
 def q_conflict_report(spark, sf_dir):
     return conflict_report(fx.staged_vertices(spark, sf_dir), fx.staged_edges(spark, sf_dir))
 
 
-@register("remove_conflicting", "select name, is_exception, is_white from wifi")
+@register("remove_conflicting", "select name, is_exception, is_white from vwide where label = 'WIFI'")
 def q_remove_conflicting(spark, sf_dir):
     sv = fx.staged_vertices(spark, sf_dir)
     return remove_conflicting(sv[WIFI], conflicting_names(tagged_names(sv)))
 
 
-@register("dense_ids", "select id, name from idmap")
+@register("dense_ids", "select distinct id, name from vwide")
 def q_dense_ids(spark, sf_dir):
     return graph(spark, sf_dir).ids
 
@@ -171,47 +160,44 @@ def q_number_rows_sample(spark, sf_dir):
     return number_rows(fx.device(spark, sf_dir), 100)
 
 
-@register("attach_ids_mobile", f"select id, {MOBILE_COLS_SQL} from mobile_id")
+@register("attach_ids_mobile", f"select id, {MOBILE_COLS_SQL} from vwide where label = 'MOBILE'")
 def q_attach_ids_mobile(spark, sf_dir):
     return graph(spark, sf_dir).vertices[MOBILE]
 
 
-@register("attach_ids_device", "select id, name, is_exception, is_white from device_id")
+@register("attach_ids_device", "select id, name, is_exception, is_white from vwide where label = 'DEVICE'")
 def q_attach_ids_device(spark, sf_dir):
     return graph(spark, sf_dir).vertices[DEVICE]
 
 
-@register("attach_ids_wifi", "select id, name, is_exception, is_white from wifi_id")
+@register("attach_ids_wifi", "select id, name, is_exception, is_white from vwide where label = 'WIFI'")
 def q_attach_ids_wifi(spark, sf_dir):
     return graph(spark, sf_dir).vertices[WIFI]
 
 
-@register("resolve_call", "select start_id, end_id, mgm from call_id")
+@register("resolve_call", "select start_id, end_id, mgm from edges where label = 'CALL'")
 def q_resolve_call(spark, sf_dir):
     return graph(spark, sf_dir).resolved["CALL"]
 
 
-@register("resolve_has", "select start_id, end_id from has_id")
+@register("resolve_has", "select start_id, end_id from edges where label = 'HAS'")
 def q_resolve_has(spark, sf_dir):
     return graph(spark, sf_dir).resolved["HAS"]
 
 
-@register("resolve_use", "select start_id, end_id from use_id")
+@register("resolve_use", "select start_id, end_id from edges where label = 'USE'")
 def q_resolve_use(spark, sf_dir):
     return graph(spark, sf_dir).resolved["USE"]
 
 
-@register("resolve_use_wifi", "select start_id, end_id from use_wifi_id")
+@register("resolve_use_wifi", "select start_id, end_id from edges where label = 'USE_WIFI'")
 def q_resolve_use_wifi(spark, sf_dir):
     return graph(spark, sf_dir).resolved["USE_WIFI"]
 
 
 @register("unresolved_call", """
-select start_name, end_name,
-  case when not exists (select 1 from mobile_id m where m.name = c.start_name) then 'start' else 'end' end as missing
-from call_e c
-where not exists (select 1 from mobile_id m where m.name = c.start_name)
-   or not exists (select 1 from mobile_id m where m.name = c.end_name)
+select start_name, end_name, case when start_name in (select name from mobile) then 'end' else 'start' end as missing
+from call_e where start_name not in (select name from mobile) or end_name not in (select name from mobile)
 """)
 def q_unresolved_call(spark, sf_dir):
     g = graph(spark, sf_dir)
@@ -219,15 +205,11 @@ def q_unresolved_call(spark, sf_dir):
 
 
 @register("uniqueness_report", """
-select label, cast(sum(c) as bigint) as n_rows, count(name) as n_distinct_names,
-  count(case when c > 1 and name is not null then 1 end) as n_repeated_names,
-  cast(coalesce(sum(case when name is null then c end), 0) as bigint) as n_null_names
-from by_name group by label
-""", extra_ctes="""
-all_v AS (select 'MOBILE' as label, name from mobile union all select 'DEVICE', name from device
-          union all select 'WIFI', name from wifi_raw),
-by_name AS (select label, name, count(*) as c from
-            (select label, name from all_v union all select 'ALL', name from all_v) t group by label, name)
+select coalesce(label, 'ALL') as label, count(*) as n_rows, count(distinct name) as n_distinct_names,
+  (select count(*) from (select name from vertex v where t.label is null or v.label = t.label group by name
+                         having count(*) > 1 and name is not null)) as n_repeated_names,
+  count(*) - count(name) as n_null_names, 0::bigint as n_repeated_ids
+from vertex t group by grouping sets ((label), ())
 """)
 def q_uniqueness_report(spark, sf_dir):
     return uniqueness_report(fx.staged_vertices(spark, sf_dir))
@@ -273,7 +255,7 @@ def q_stage_all_edges(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- headers and export text
-_MOBILE_TYPES = {"status": "Int", "suspect_risk": "Int", "overdue_status": "Int"}
+_MOBILE_TYPES = dict.fromkeys(MOBILE_INT_COLUMNS, "Int")
 
 
 @register("bulk_header", "select " + ", ".join(
@@ -292,9 +274,7 @@ def _json_sql(cols, ints=()) -> str:
 
 
 @register("export_vertices", f"""
-select 'mobile[11.' || cast(k as varchar) || ']' || {_json_sql(
-    ['name', 'is_register', 'is_risk', 'is_internal', 'is_service', 'merchant_name', 'status', 'suspect_risk',
-     'overdue_status'], ints=('status', 'suspect_risk', 'overdue_status'))} as line from mobile
+select 'mobile[11.' || cast(k as varchar) || ']' || {_json_sql(MOBILE_EXPORT_COLUMNS, ints=MOBILE_INT_COLUMNS)} as line from mobile
 union all
 select 'device[10.' || cast(k as varchar) || ']' || {_json_sql(['name', 'is_exception', 'is_white'])} from device
 union all
@@ -307,9 +287,7 @@ def q_export_vertices(spark, sf_dir):
 @register("export_edges", r"""
 select '"' || start_name || '","CALL","' || end_name || '",' || coalesce(cast(mgm as varchar), '\N') as line
 from call_e
-union all select '"' || start_name || '","HAS","' || end_name || '"' from has_e
-union all select '"' || start_name || '","USE","' || end_name || '"' from use_e
-union all select '"' || start_name || '","USE_WIFI","' || end_name || '"' from use_wifi_e
+union all select '"' || start_name || '","' || label || '","' || end_name || '"' from named where label <> 'CALL'
 """)
 def q_export_edges(spark, sf_dir):
     lines = edge_lines(spark, sf_dir)

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from ..functions.predicates import has_eq, has_label, has_neq, has_within, or_
 from ..functions.projections import list_map_text, map_text, select_as, value_map, value_map_unfolded
 from ..operators.quality import degree_report
-from ..operators.traverse import (both, count_other_v, hub, match_pattern, neighbours_filtered, other_v, out_e,
+from ..operators.traverse import (both, both_from, count_other_v, hub, match_pattern, neighbours_filtered, other_v, out_e,
                                   pairs_report, start_by_names)
 from ..schema import MOBILE
+from ..sources.tables import base_table
 from .catalog import register
 from .q_load import graph
 
@@ -129,6 +130,33 @@ def q_count_other_v_all(spark, sf_dir):
     return count_other_v(v, e, start, "CALL", NEQ_NAME, per_start=True)
 
 
+def region_orders(spark, sf_dir):
+    """Hubs the size of the reference profile: a region and its orders, through nation and customer.
+
+    Vertices (id, label, name): orders and regions (ids below 0); edges (PLACED) from region to order.
+    """
+    o, c = base_table(spark, sf_dir, "orders"), base_table(spark, sf_dir, "customer")
+    n, r = base_table(spark, sf_dir, "nation"), base_table(spark, sf_dir, "region")
+    region = (-1 - F.col("r_regionkey")).cast("bigint")
+    vertices = o.select(F.col("o_orderkey").alias("id"), F.lit("ORDER").alias("label"), F.col("o_orderpriority").alias("name"))
+    vertices = vertices.unionByName(r.select(region.alias("id"), F.lit("REGION").alias("label"), F.col("r_name").alias("name")))
+    edges = (o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+             .select(F.lit("PLACED").alias("label"), (-1 - F.col("n_regionkey")).cast("bigint").alias("start_id"),
+                     F.col("o_orderkey").alias("end_id"), F.lit(None).cast("int").alias("mgm")))
+    return vertices, edges
+
+
+@register("count_other_v_region", """
+select -1 - n_regionkey::bigint as start_id, count(*) as cnt
+from orders join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey
+where o_orderpriority <> '1-URGENT' group by n_regionkey
+""")
+def q_count_other_v_region(spark, sf_dir):
+    v, e = region_orders(spark, sf_dir)
+    start = v.where(F.col("label") == "REGION").select("id")
+    return count_other_v(v, e, start, "PLACED", "1-URGENT", per_start=True)
+
+
 @register("pairs_report", """
 select coalesce(m1.name, 'null') as c_name, coalesce(m2.name, 'null') as mobile,
   coalesce(m2.is_risk, 'null') as is_risk, coalesce(m2.is_service, 'null') as is_service
@@ -148,11 +176,10 @@ def _m2_sql(fmt):
 
 
 def _pairs(v, e):
-    nb = both(e, start_by_names(v, _service_names(v), MOBILE), "CALL")
-    m1 = v.select(F.col("id").alias("start_id"), F.col("name").alias("m1_name"))
+    start = start_by_names(v, _service_names(v), MOBILE).select(F.col("id").alias("start_id"), F.col("name").alias("m1_name"))
     m2 = v.select(F.col("id").alias("nbr_id"), *[F.col(c) for c in ("name", "is_risk", "status", "is_service",
                                                                       "overdue_status")])
-    return nb.join(m1, "start_id").join(m2, "nbr_id")
+    return both_from(e, start, "CALL").join(m2, "nbr_id")
 
 
 @register("value_map", f"""

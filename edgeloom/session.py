@@ -8,8 +8,6 @@ and keeps the web UI off.
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,23 +42,16 @@ def build_session(master: str | None = None, app: str = "edgeloom",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Read from the session (``spark.checkpoint.dir`` or the context's
-    directory). Only a local-mode session without one (tests, the bench)
-    gets a fresh scratch folder; on a cluster a missing setting is an error,
-    because a machine-local folder does not survive the loss of an executor.
+    Read from the session (the context's directory or ``spark.checkpoint.dir``). A session that names none
+    gets a folder below its warehouse, which all executors share as well; never a machine-local one.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                f"{CHECKPOINT_CONF} is not set: name a shared folder (HDFS/S3) for lineage cuts")
-        configured = tempfile.mkdtemp(prefix="edgeloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    sc.setCheckpointDir(configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
+    return sc.getCheckpointDir()
 
 
 def freeze(df: DataFrame, name: str = "frozen") -> DataFrame:
@@ -70,9 +61,15 @@ def freeze(df: DataFrame, name: str = "frozen") -> DataFrame:
     after an executor loss, e.g. numbered names, is read from storage, not
     recomputed) and gives the optimizer real size statistics, so a small
     frozen table can be broadcast from the plan's start. The folder comes
-    from ``checkpoint_dir``: shared storage on a cluster.
+    from ``checkpoint_dir``: shared storage on a cluster. Spark makes one
+    folder per application there; its tables are of no use after the job,
+    and the operator of the cluster removes them with the folder.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = fresh_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A folder name below the checkpoint folder that nobody has used."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

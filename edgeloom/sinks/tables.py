@@ -1,10 +1,11 @@
 """Table sinks (K1-K3) and graph snapshots.
 
-A graph snapshot is two parquet folders, ``vertices`` (wide: id, label,
-properties) and ``edges`` (label, start_id, end_id, mgm). Edge files are
-sorted by (label, start_id) when written, so a lookup of a few start
-vertices (a pushed-down ``IN`` filter) skips most row groups by their
-min/max statistics.
+A graph snapshot is three parquet folders: ``vertices`` (wide: id, label,
+properties) in id order, ``edges`` (label, start_id, end_id, mgm) partitioned
+by label in start_id order, and ``edges_in``, the same edges in end_id order.
+Orders are global (range-partitioned), so a lookup of a few vertices reads
+one label's folder, and skips files and row groups by their min/max
+statistics on either side of an edge. ``versions`` publishes snapshots.
 """
 
 from __future__ import annotations
@@ -40,25 +41,29 @@ def insert_overwrite(df: DataFrame, name: str) -> None:
     freeze(df).write.mode("overwrite").insertInto(name, overwrite=True)
 
 
-def write_snapshot(vertices: DataFrame, edges: DataFrame, path: str, partitions: int | None = None,
-                   range_partition_edges: bool = False) -> None:
-    """Write a graph snapshot: vertex files sorted by id, edge files by (label, start_id).
+def write_snapshot(vertices: DataFrame, edges: DataFrame, path: str) -> None:
+    """Write a graph snapshot below ``path`` (a fresh folder)."""
+    (vertices.repartitionByRange("id").sortWithinPartitions("id").write.parquet(f"{path}/vertices"))
+    for name, key in (("edges", "start_id"), ("edges_in", "end_id")):
+        (edges.repartitionByRange("label", key).sortWithinPartitions("label", key)
+         .write.partitionBy("label").parquet(f"{path}/{name}"))
+
+
+_EDGES = "start_id bigint, end_id bigint, mgm int, label string"
 
-    Sorting inside each file (no shuffle) already gives every parquet row
-    group a narrow start_id range, so a lookup of a few start vertices skips
-    most row groups. ``range_partition_edges`` adds a global range layout
-    (whole files skipped too) at the price of one more shuffle of all edges.
-    """
-    vertices.sortWithinPartitions("id").write.mode("overwrite").parquet(f"{path}/vertices")
-    if range_partition_edges:
-        n = partitions or int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        edges = edges.repartitionByRange(n, "label", "start_id")
-    edges.sortWithinPartitions("label", "start_id").write.mode("overwrite").parquet(f"{path}/edges")
+
+def _edges(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_EDGES).parquet(path).select("label", "start_id", "end_id", "mgm")
 
 
 def read_snapshot(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(vertices, edges) of a snapshot written by ``write_snapshot``."""
-    return spark.read.parquet(f"{path}/vertices"), spark.read.parquet(f"{path}/edges")
+    return spark.read.parquet(f"{path}/vertices"), _edges(spark, f"{path}/edges")
+
+
+def read_in_edges(spark: SparkSession, path: str) -> DataFrame:
+    """The snapshot's edges as laid out by end_id, for lookups of in-edges."""
+    return _edges(spark, f"{path}/edges_in")
 
 
 def next_version(base: str) -> str:

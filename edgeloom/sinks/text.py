@@ -2,7 +2,7 @@
 
 Renderers return DataFrames of one ``line`` column so they can be checked
 or fed straight back into the readers; ``write_lines`` writes them. Writes
-are distributed (one file per task) unless a single file is asked for.
+are distributed (one file per task).
 """
 
 from __future__ import annotations
@@ -26,18 +26,14 @@ def write_adjacency_text(adj_lines: DataFrame, path: str, mode: str = "overwrite
     write_lines(adj_lines, path, mode)
 
 
-def write_csv_single(df: DataFrame, path: str, max_rows: int = 5_000_000) -> None:
-    """K5: one CSV file with a header, overwriting.
+def write_csv(df: DataFrame, path: str) -> None:
+    """K5: CSV with a header, overwriting: a folder of part files, each with the header.
 
-    A single file is written by a single task, so the row count is checked
-    first; larger outputs should use ``df.write.csv`` (one file per task).
-    Empty strings are written as "" and nulls as empty fields (the default
+    Every task writes its own part, so there is no limit on the rows. Empty
+    strings are written as "" and nulls as empty fields (the default
     ``emptyValue``), so the two stay distinguishable.
     """
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"{n} rows is too many for one CSV file (limit {max_rows}); write a folder instead")
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def _json_of(cols) -> F.Column:

@@ -15,7 +15,7 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.table(name_or_path)
 
 
-def rows_to_df(spark: SparkSession, rows: Iterable, schema: T.StructType) -> DataFrame:
+def rows_to_df(spark: SparkSession, rows: Iterable, schema: T.StructType | str) -> DataFrame:
     """Small in-memory rows with an explicit schema (samples, tests)."""
     return spark.createDataFrame(list(rows), schema)
 

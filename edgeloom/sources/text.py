@@ -3,8 +3,9 @@
 Vertex lines look like ``label[gid]{json}``; edge lines like
 ``"start","LABEL","end"[,mgm]`` with ``\\N`` for null. Every reader is a
 plain projection over ``spark.read.text`` (no shuffle, splittable, column
-pruned); bad lines are not thrown away silently: each parser keeps an
-``error`` column and ``*_errors`` returns the rejected lines.
+pruned); bad lines are not thrown away silently: each reader is a parse
+with an ``error`` column, whose rows without an error are the reader's
+output and whose other rows are its rejects, so the two never disagree.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ def _line_col(lines: DataFrame) -> Column:
 
 
 # --------------------------------------------------------------------------- vertices
-def parse_vertex_lines(lines: DataFrame) -> DataFrame:
+def parse_vertex_lines(lines: DataFrame, *carried: str) -> DataFrame:
     """Parse vertex lines into (line, label, gid, attrs, error), one row per line.
 
     label = text before the first ``[``, upper-cased; gid = text inside the
@@ -50,6 +51,7 @@ def parse_vertex_lines(lines: DataFrame) -> DataFrame:
         F.when(has_bracket, gid).alias("gid"),
         attrs.alias("attrs"),
         error.alias("error"),
+        *carried,
     )
 
 
@@ -70,9 +72,21 @@ def vertex_line_errors(lines: DataFrame) -> DataFrame:
     return parse_vertex_lines(lines).where(F.col("error").isNotNull()).select("line", "error")
 
 
+def with_load_errors(parsed: DataFrame, labels) -> DataFrame:
+    """Parsed vertex lines, with the reasons that only a load has to refuse a line for.
+
+    A blank label is skipped by the reader, a label outside ``labels`` has no staged table, and a vertex
+    without a name can have no id: all three become rejects instead of vanishing.
+    """
+    extra = (F.when(~drop_blank_label("label"), F.lit("blank label"))
+             .when(~F.col("label").isin(*labels), F.lit("unknown label"))
+             .when(F.col("attrs").getItem("name").isNull(), F.lit("no name")))
+    return parsed.withColumn("error", F.coalesce("error", extra))
+
+
 # --------------------------------------------------------------------------- edges
-def parse_edge_lines(lines: DataFrame) -> DataFrame:
-    """Parse edge lines into (line, fields, n_fields, quoted_comma).
+def parse_edge_lines(lines: DataFrame, *carried: str) -> DataFrame:
+    """Parse edge lines into (line, fields, n_fields, quoted_comma), with the ``carried`` columns.
 
     All double quotes are stripped and the text split naively on commas,
     counting fields the JVM way (trailing empty fields dropped). A comma
@@ -84,7 +98,7 @@ def parse_edge_lines(lines: DataFrame) -> DataFrame:
     quoted = F.regexp_extract_all(line, F.lit('"([^"]*)"'), 1)
     quoted_comma = (F.instr(line, '"') > 0) & F.exists(quoted, lambda x: F.instr(x, ",") > 0)
     return lines.select(line.alias("line"), fields.alias("fields"), F.size(fields).alias("n_fields"),
-                        quoted_comma.alias("quoted_comma"))
+                        quoted_comma.alias("quoted_comma"), *carried)
 
 
 def only_label(edge_lines: DataFrame, label: str) -> DataFrame:
@@ -103,36 +117,38 @@ def _mgm_text() -> Column:
     return F.when((raw != NULL_MARK) & (F.length(raw) > 0), raw)
 
 
-def ingest_edges(lines: DataFrame) -> DataFrame:
-    """S3: (start_name, label, end_name) from fields 0, 1 and 2."""
-    p = parse_edge_lines(lines).where((F.col("n_fields") >= 3) & ~F.col("quoted_comma"))
-    return p.select(field("fields", 0).alias("start_name"), F.upper(field("fields", 1)).alias("label"),
-                    field("fields", 2).alias("end_name"))
+def parse_edge_rows(lines: DataFrame, reader: str = "plain", *carried: str) -> DataFrame:
+    """(line, start_name, label, end_name, mgm, error) as one of the three readers sees the lines.
 
-
-def _call_rows(lines: DataFrame) -> DataFrame:
-    p = parse_edge_lines(lines)
-    mgm_text = _mgm_text()
-    mgm = parse_int(mgm_text)
+    ``plain`` (S3) has no mgm. ``call`` (S4) reads the fourth field of every line. ``labelled`` (S5) reads it
+    only if the line has exactly four fields and the label is CALL. A reader refuses a line for an mgm
+    that is no integer only if it reads that mgm.
+    """
+    p = parse_edge_lines(lines, *carried)
+    label = F.upper(field("fields", 1))
+    reads = {"plain": F.lit(False), "call": F.lit(True),
+             "labelled": (F.col("n_fields") == 4) & F.coalesce(label == CALL, F.lit(False))}[reader]
+    text = F.when(reads, _mgm_text())
+    mgm = parse_int(text)
     error = (F.when(F.col("quoted_comma"), F.lit("comma inside quotes"))
              .when(F.col("n_fields") < 3, F.lit("too few fields"))
-             .when(mgm_text.isNotNull() & mgm.isNull(), F.lit("bad mgm")))
-    return p.select(
-        "line",
-        field("fields", 0).alias("start_name"),
-        F.upper(field("fields", 1)).alias("label"),
-        field("fields", 2).alias("end_name"),
-        mgm.alias("mgm"),
-        error.alias("error"),
-    )
+             .when(text.isNotNull() & mgm.isNull(), F.lit("bad mgm")))
+    return p.select("line", field("fields", 0).alias("start_name"), label.alias("label"),
+                    field("fields", 2).alias("end_name"), mgm.alias("mgm"), error.alias("error"), *carried)
 
 
-def ingest_call_edges(lines: DataFrame) -> DataFrame:
-    """(start_name, end_name, mgm); ``\\N``, empty or missing mgm is null.
+def _good(lines: DataFrame, reader: str) -> DataFrame:
+    return parse_edge_rows(lines, reader).where(F.col("error").isNull())
 
-    A non-integer mgm makes the line a bad record (see ``edge_line_errors``).
-    """
-    return _call_rows(lines).where(F.col("error").isNull()).select("start_name", "end_name", "mgm")
+
+def ingest_edges(lines: DataFrame) -> DataFrame:
+    """S3: (start_name, label, end_name) from fields 0, 1 and 2."""
+    return _good(lines, "plain").select("start_name", "label", "end_name")
+
+
+def ingest_call_edges(lines: DataFrame) -> DataFrame:
+    """(start_name, end_name, mgm); ``\\N``, empty or missing mgm is null, a non-integer is a bad record."""
+    return _good(lines, "call").select("start_name", "end_name", "mgm")
 
 
 def ingest_labelled_edges(lines: DataFrame) -> DataFrame:
@@ -141,17 +157,9 @@ def ingest_labelled_edges(lines: DataFrame) -> DataFrame:
     mgm is kept only when the line has exactly four fields, the label is
     CALL and the fourth field is not ``\\N``.
     """
-    p = parse_edge_lines(lines).where((F.col("n_fields") >= 3) & ~F.col("quoted_comma"))
-    label = F.upper(field("fields", 1))
-    keep = (F.col("n_fields") == 4) & (label == CALL)
-    return p.select(
-        field("fields", 0).alias("start_name"),
-        label.alias("label"),
-        field("fields", 2).alias("end_name"),
-        F.when(keep, parse_int(_mgm_text())).alias("mgm"),
-    )
+    return _good(lines, "labelled").select("start_name", "label", "end_name", "mgm")
 
 
-def edge_line_errors(lines: DataFrame) -> DataFrame:
-    """Rejected edge lines with the reason."""
-    return _call_rows(lines).where(F.col("error").isNotNull()).select("line", "error")
+def edge_line_errors(lines: DataFrame, reader: str = "call") -> DataFrame:
+    """The lines that the reader refuses, with the reason."""
+    return parse_edge_rows(lines, reader).where(F.col("error").isNotNull()).select("line", "error")

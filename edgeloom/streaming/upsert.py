@@ -2,114 +2,173 @@
 
 The increment jobs are batch upserts rerun on new files. Here new exported
 vertex or edge text arriving in a folder is read with ``readStream.text``
-and each micro-batch is folded into the current snapshot with the same
-``merge_vertices`` / ``merge_vertex_attrs`` / ``merge_edges`` used in batch, writing a new snapshot
-version per batch (the one being read is never overwritten). The stream's
-checkpoint gives exactly-once batches; ``trigger(availableNow=True)`` runs
-it as a catch-up job.
+and each micro-batch is folded into the current version of a state with the
+operators used in batch. Every batch writes a new version folder and then
+publishes it (``sinks.versions``): a crash in between leaves the state as it
+was, and the batch runs again. Upserts are idempotent, so a batch that
+is repeated after it was published changes nothing.
+``trigger(availableNow=True)`` runs a stream as a catch-up job.
+
+A version holds ``state`` (or the graph snapshot) and ``rejects``: the lines
+and keys the batch could not take, with the reason.
+
+"The last value wins" needs an order of lines: batch, then file, then the
+place in the file (block, position of the row in its block).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import merge_edges, merge_vertex_attrs, merge_vertices
-from ..sinks.tables import next_version
-from ..sources.text import ingest_labelled_edges, ingest_vertices
+from ..operators.increment import increment_edges, increment_vertices, vertex_rejects
+from ..operators.merge import dangling_edges, merge_edges, merge_vertex_attrs, merge_vertices
+from ..schema import VERTEX_LABELS
+from ..session import freeze
+from ..sinks.tables import next_version, read_snapshot, write_snapshot
+from ..sinks.versions import current_version, publish
+from ..sources.text import parse_edge_rows, parse_vertex_lines, with_load_errors
 
-POINTER = "_current"
+_PLACE = ["_file", "_block"]
 
 
-def current_version(spark: SparkSession, base: str) -> str | None:
-    """Folder of the current snapshot version under ``base`` (from its pointer), or None."""
-    try:
-        rows = spark.read.text(f"{base}/{POINTER}").collect()  # one tiny line
-    except Exception:  # no pointer yet
-        return None
-    return rows[0].value if rows else None
+def lines_of_files(reader, path: str) -> DataFrame:
+    """Text lines with their place, from ``spark.read`` or ``spark.readStream``."""
+    return reader.text(path).select("value", F.col("_metadata.file_path").alias("_file"),
+                                    F.col("_metadata.file_block_start").alias("_block"))
 
 
-def _publish(spark: SparkSession, base: str, version: str) -> None:
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/{POINTER}")
+def with_order(lines: DataFrame, batch_id: int) -> DataFrame:
+    """Adds ``ord``: (batch, file, block, position), which sorts as the lines do."""
+    place = [F.col(c) if c in lines.columns else F.lit(None) for c in _PLACE]
+    return lines.withColumn("ord", F.struct(
+        F.lit(batch_id).cast("bigint").alias("batch"), place[0].cast("string").alias("file"),
+        place[1].cast("bigint").alias("block"), F.monotonically_increasing_id().alias("position")))
 
 
-def vertex_delta(lines: DataFrame, columns: list[str], batch_id: int = 0) -> DataFrame:
-    """Vertex lines -> (label, name, columns..., ord). ``ord`` orders lines: batch, then position."""
-    v = ingest_vertices(lines)
-    ord_ = F.lit(batch_id).cast("bigint") * F.lit(1 << 40) + F.monotonically_increasing_id()
-    return v.select("label", F.col("attrs")["name"].alias("name"),
-                    *[F.col("attrs")[c].alias(c) for c in columns], ord_.alias("ord"))
+def _parsed_vertices(lines: DataFrame, batch_id: int) -> DataFrame:
+    """(label, attrs, ord, line, error), stored: each line is parsed once."""
+    ordered = with_order(lines, batch_id)
+    parsed = parse_vertex_lines(ordered.select("value", "ord"), "ord")
+    return freeze(with_load_errors(parsed, VERTEX_LABELS), "vertex-batch")
+
+
+def _parsed_edges(lines: DataFrame, batch_id: int) -> DataFrame:
+    ordered = with_order(lines, batch_id)
+    return freeze(parse_edge_rows(ordered.select("value", "ord"), "labelled", "ord"), "edge-batch")
+
+
+def _refused(parsed: DataFrame) -> DataFrame:
+    return parsed.where(F.col("error").isNotNull()).select("line", "error")
+
+
+def _dangling(delta: DataFrame, vertices: DataFrame) -> DataFrame:
+    return dangling_edges(delta, vertices).select(
+        F.to_json(F.struct("start_name", "label", "end_name")).alias("line"),
+        F.concat(F.lit("missing: "), "missing").alias("error"))
+
+
+def _good(parsed: DataFrame) -> DataFrame:
+    return parsed.where(F.col("error").isNull())
+
+
+def _publish(spark: SparkSession, base: str, state: DataFrame, rejects: DataFrame) -> None:
+    out = next_version(base)
+    state.write.parquet(f"{out}/state")
+    rejects.write.parquet(f"{out}/rejects")
+    publish(spark, base, out)
+
+
+def read_state(spark: SparkSession, base: str) -> DataFrame | None:
+    """The current state below ``base``, or None where nothing was ever published."""
+    current = current_version(spark, base)
+    return spark.read.parquet(f"{current}/state") if current else None
+
+
+def _columns_delta(parsed: DataFrame, columns: list[str], casts: dict[str, str]) -> DataFrame:
+    value = lambda c: F.col("attrs")[c].try_cast(casts[c]) if c in casts else F.col("attrs")[c]
+    return _good(parsed).select("label", F.col("attrs")["name"].alias("name"),
+                                *[value(c).alias(c) for c in columns], "ord")
 
 
 def upsert_vertices_batch(spark: SparkSession, base: str, columns: list[str],
                           casts: dict[str, str] | None = None) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function folding vertex lines into the snapshot at ``base``."""
-    casts = casts or {}
-
+    """A ``foreachBatch`` function folding vertex lines into the state at ``base``."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        delta = vertex_delta(batch, columns, batch_id)
-        for c, t in casts.items():
-            delta = delta.withColumn(c, F.col(c).try_cast(t))
-        cur = current_version(spark, base)
-        if cur is None:
+        parsed = _parsed_vertices(batch, batch_id)
+        delta = _columns_delta(parsed, columns, casts or {})
+        state = read_state(spark, base)
+        if state is None:
             state = spark.createDataFrame([], delta.drop("ord").schema)
-        else:
-            state = spark.read.parquet(cur)
-        out = next_version(base)
-        merge_vertices(state, delta).write.parquet(out)
-        _publish(spark, base, out)
+        _publish(spark, base, merge_vertices(state, delta), _refused(parsed))
 
     return apply
 
 
 def upsert_open_vertices_batch(spark: SparkSession, base: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function folding vertex lines, with all their JSON
-    properties, into an open-schema snapshot (label, name, attrs) at ``base``."""
-
+    properties, into an open-schema state (label, name, attrs) at ``base``."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        v = ingest_vertices(batch)
-        ord_ = F.lit(batch_id).cast("bigint") * F.lit(1 << 40) + F.monotonically_increasing_id()
-        delta = v.select("label", F.col("attrs")["name"].alias("name"), "attrs", ord_.alias("ord"))
-        cur = current_version(spark, base)
-        if cur is None:
+        parsed = _parsed_vertices(batch, batch_id)
+        delta = _good(parsed).select("label", F.col("attrs")["name"].alias("name"), "attrs", "ord")
+        state = read_state(spark, base)
+        if state is None:
             state = spark.createDataFrame([], "label string, name string, attrs map<string,string>")
-        else:
-            state = spark.read.parquet(cur)
-        out = next_version(base)
-        merge_vertex_attrs(state, delta).write.parquet(out)
-        _publish(spark, base, out)
+        _publish(spark, base, merge_vertex_attrs(state, delta), _refused(parsed))
 
     return apply
 
 
-def upsert_edges_batch(spark: SparkSession, base: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function folding labelled edge lines into the edge snapshot at ``base``."""
+def upsert_edges_batch(spark: SparkSession, base: str,
+                       vertices: Callable[[], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function folding labelled edge lines into the edge state at ``base``.
+
+    ``vertices()`` gives the vertices (name) known when the batch runs; edges with an unknown end are refused.
+    """
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        parsed = _parsed_edges(batch, batch_id)
+        delta = _good(parsed).select("start_name", "label", "end_name", "mgm", "ord")
+        state, known = read_state(spark, base), vertices()
+        if state is None:
+            state = spark.createDataFrame([], "start_name string, label string, end_name string, mgm int")
+        _publish(spark, base, merge_edges(state, delta, known, state_folded=True),
+                 _refused(parsed).unionByName(_dangling(delta, known)))
+
+    return apply
+
+
+def increment_graph_batch(spark: SparkSession, base: str, columns: list[str],
+                          casts: dict[str, str] | None = None) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function folding vertex and edge lines into the graph snapshot at ``base``.
 
+    Lines that begin with a quote are edges, others are vertices. New vertices get ids, edges are resolved
+    against old and new ones, and vertices and edges are published together, so traversals over the current
+    snapshot see the increment as a whole or not at all.
+    """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        e = ingest_labelled_edges(batch)
-        ord_ = F.lit(batch_id).cast("bigint") * F.lit(1 << 40) + F.monotonically_increasing_id()
-        delta = e.select("start_name", "label", "end_name", "mgm", ord_.alias("ord"))
-        cur = current_version(spark, base)
-        if cur is None:
-            state = spark.createDataFrame([], "start_name string, label string, end_name string, mgm int, ord bigint")
-        else:
-            state = spark.read.parquet(cur).withColumn("ord", F.lit(-1).cast("bigint"))
-        out = next_version(base)
-        # the state is a previous merge's output, one row per key: a small batch is
-        # broadcast and the state only streamed
-        merge_edges(state, delta, state_folded=True).write.parquet(out)
-        _publish(spark, base, out)
+        is_edge = F.coalesce(F.ltrim("value").startswith('"'), F.lit(False))
+        v_lines = _parsed_vertices(batch.where(~is_edge), batch_id)
+        e_lines = _parsed_edges(batch.where(is_edge), batch_id)
+        vertices, edges = read_snapshot(spark, current_version(spark, base))
+        v_delta = _columns_delta(v_lines, columns, casts or {})
+        e_delta = _good(e_lines).select("start_name", "label", "end_name", "mgm", "ord")
+        new = freeze(increment_vertices(vertices, v_delta), "next-vertices")
+        path = next_version(base)
+        write_snapshot(new, increment_edges(edges, new, e_delta), path)
+        keyed = vertex_rejects(vertices, v_delta).select(F.to_json(F.struct("label", "name")).alias("line"), "error")
+        rejects = [_refused(v_lines), _refused(e_lines), keyed, _dangling(e_delta, new)]
+        reduce(DataFrame.unionByName, rejects).write.parquet(f"{path}/rejects")
+        publish(spark, base, path)
 
     return apply
 
 
-def start_upsert_stream(spark: SparkSession, source_dir: str, base: str, checkpoint: str,
+def start_upsert_stream(spark: SparkSession, source_dir: str, checkpoint: str,
                         apply: Callable[[DataFrame, int], None], available_now: bool = True):
     """Watch ``source_dir`` for new text files and run ``apply`` per micro-batch."""
-    stream = spark.readStream.text(source_dir)
-    w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    w = lines_of_files(spark.readStream, source_dir).writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

@@ -1,8 +1,8 @@
-"""A hub holding over a third of all edges: its record is built from many chunks and is exact."""
+"""A hub holding over a third of all edges: its record is built from many parts and is exact."""
 
 from pyspark.sql import functions as F
 
-from edgeloom.operators.adjacency import build_adjacency, encode_adjacency
+from edgeloom.operators.adjacency import build_adjacency, encode_adjacency, hub_ids
 
 
 def test_hub_line_is_exact(spark):
@@ -15,7 +15,7 @@ def test_hub_line_is_exact(spark):
     copies = spark.range(0, 5).select(F.lit("CALL").alias("label"), F.lit(1).cast("bigint").alias("start_id"),
                                       F.lit(7).cast("bigint").alias("end_id"), F.lit(1).cast("int").alias("mgm"))
     edges = hub.unionByName(ring).unionByName(copies)
-    lines = encode_adjacency(build_adjacency(v, edges, chunk=1024))
+    lines = encode_adjacency(build_adjacency(v, edges, hub_degree=1024))
     got = lines.where("id = 1").first().line
     out_entries = []
     for other in range(2, n + 1):
@@ -24,3 +24,6 @@ def test_hub_line_is_exact(spark):
             out_entries += ["CALL,7,1"] * 5  # the five copies sort right after CALL,7,1
     assert got == "1,MOBILE,m1\t\t" + "|".join(sorted(out_entries, key=lambda s: (int(s.split(",")[1]), s)))
     assert lines.count() == n
+    assert [r.id for r in hub_ids(edges, 1024).collect()] == [1]
+    whole = encode_adjacency(build_adjacency(v, edges))  # the hub is an ordinary vertex at the default degree
+    assert sorted(r.line for r in lines.collect()) == sorted(r.line for r in whole.collect())

@@ -1,8 +1,8 @@
 """Upsert semantics: overwrite when given, status only rises, idempotence, edge get-or-create."""
 
 
-from edgeloom.operators.merge import (append_edges, append_vertices, edge_between, merge_edges, merge_vertices,
-                                      status_changes, vertex_exists)
+from edgeloom.operators.merge import (append_edges, append_vertices, dangling_edges, edge_between, merge_edges,
+                                      merge_vertices, nameless, status_changes, vertex_exists)
 
 STATE = "label string, name string, merchant_name string, status int"
 DELTA = "label string, name string, merchant_name string, status int, ord bigint"
@@ -17,7 +17,7 @@ def _delta(spark):
         ("MOBILE", "a", "shop2", 1, 1),     # lower status: kept at 2; name overwritten
         ("MOBILE", "b", None, 0, 2),        # zero status: ignored
         ("MOBILE", "b", "late", 3, 3),      # raises from missing
-        ("MOBILE", "b", None, 2, 4),        # later but lower: max positive wins (3)
+        ("MOBILE", "b", None, 2, 4),        # later but lower: the largest positive stays
         ("MOBILE", "c", None, -1, 5),       # negative: ignored, merchant kept
         ("MOBILE", "d", "new", None, 6),    # new vertex without status
     ], DELTA)
@@ -79,18 +79,32 @@ def test_append_edges_and_exists(spark):
     assert [r.name for r in vertex_exists(names, v).collect()] == ["a"]
 
 
-def test_broadcast_and_shuffle_paths_agree(spark):
-    for small in (0, 10):
-        got = {r.name: (r.merchant_name, r.status)
-               for r in merge_vertices(_state(spark), _delta(spark), broadcast_rows=small).collect()}
-        assert got == {"a": ("shop2", 2), "b": ("late", 3), "c": ("x", 5), "d": ("new", None)}
+def test_folded_and_plain_edge_states_agree(spark):
     schema = "start_name string, label string, end_name string, mgm int, ord bigint"
     state = spark.createDataFrame([("a", "CALL", "b", 1, 1), ("a", "HAS", "c", None, 3)], schema)
     delta = spark.createDataFrame([("a", "CALL", "b", 0, 10), ("x", "CALL", "y", None, 12)], schema)
-    outs = [sorted(map(tuple, merge_edges(state, delta, state_folded=f, broadcast_rows=b).collect()), key=repr)
-            for f in (False, True) for b in (0, 10)]
-    assert all(o == outs[0] for o in outs)
-    assert outs[0] == sorted([("a", "CALL", "b", 0), ("a", "HAS", "c", None), ("x", "CALL", "y", None)], key=repr)
+    outs = [sorted(map(tuple, merge_edges(state, delta, state_folded=f).collect()), key=repr) for f in (False, True)]
+    assert outs[0] == outs[1] == sorted([("a", "CALL", "b", 0), ("a", "HAS", "c", None), ("x", "CALL", "y", None)], key=repr)
+
+
+def test_edges_without_their_ends_are_refused(spark):
+    schema = "start_name string, label string, end_name string, mgm int, ord bigint"
+    delta = spark.createDataFrame([("a", "CALL", "b", 1, 1), ("a", "CALL", "no", 1, 2), ("no", "HAS", "b", 1, 3),
+                                   ("no", "USE", "nor", 1, 4), (None, "USE", "b", 1, 5)], schema)
+    names = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "name string")
+    got = merge_edges(spark.createDataFrame([], schema), delta, names)
+    assert [tuple(r) for r in got.collect()] == [("a", "CALL", "b", 1)]
+    lost = {(r.start_name, r.label, r.end_name): r.missing for r in dangling_edges(delta, names).collect()}
+    assert lost == {("a", "CALL", "no"): "end", ("no", "HAS", "b"): "start", ("no", "USE", "nor"): "both",
+                    (None, "USE", "b"): "start"}
+
+
+def test_nameless_rows_change_nothing(spark):
+    delta = spark.createDataFrame([("MOBILE", None, "x", 1, 1), (None, "b", "x", 1, 2), ("MOBILE", "z", None, None, 3)], DELTA)
+    once = merge_vertices(_state(spark), delta)
+    twice = merge_vertices(once, delta)
+    assert sorted(r.name for r in twice.collect()) == ["a", "b", "c", "z"]
+    assert nameless(delta).count() == 2
 
 
 def test_merge_vertex_attrs(spark):
@@ -109,3 +123,32 @@ def test_merge_vertex_attrs(spark):
     assert got["a"] == {"name": "a", "nm_pass": "a", "nm_sha1": sha_a, "status": "2", "shop": "s3", "x": "1"}
     assert got["n"]["name"] == "n" and "status" not in got["n"] and got["n"]["nm_pass"] == "n"
     assert got["d"] == {"name": "d", "status": "5", "is_white": "true"}
+
+
+def test_open_vertices_refuse_nameless_lines(spark):
+    from edgeloom.operators.merge import merge_vertex_attrs
+    empty = spark.createDataFrame([], "label string, name string, attrs map<string,string>")
+    delta = spark.createDataFrame([("DEVICE", None, {"x": "1"}, 1), ("DEVICE", "d", {}, 2)],
+                                  "label string, name string, attrs map<string,string>, ord bigint")
+    once = merge_vertex_attrs(empty, delta)
+    twice = merge_vertex_attrs(once, delta)
+    assert [(r.name, dict(r.attrs)) for r in twice.collect()] == [("d", {"name": "d"})]
+
+
+def test_increment_gives_ids_to_new_names_only(spark):
+    from edgeloom.operators.increment import extend_ids, increment_edges, increment_vertices, vertex_rejects
+    v = spark.createDataFrame([(1, "MOBILE", "b", None, 1), (7, "DEVICE", "d", "m", None)],
+                              "id bigint, label string, name string, merchant_name string, status int")
+    delta = spark.createDataFrame([("MOBILE", "b", "shop", 4, 1), ("MOBILE", "a", None, None, 2), ("WIFI", "d", "x", 1, 3),
+                                   ("WIFI", "two", None, 1, 4), ("MOBILE", "two", None, 1, 5), ("MOBILE", None, "y", 1, 6)], DELTA)
+    new = increment_vertices(v, delta)
+    assert sorted((r.id, r.label, r.name, r.merchant_name, r.status) for r in new.collect()) == [
+        (1, "MOBILE", "b", "shop", 4), (7, "DEVICE", "d", "m", None), (8, "MOBILE", "a", None, None)]
+    assert {(r.label, r.name): r.error for r in vertex_rejects(v, delta).collect()} == {
+        ("WIFI", "d"): "name of another label", ("WIFI", "two"): "several labels", ("MOBILE", "two"): "several labels",
+        ("MOBILE", None): "no name"}
+    assert [tuple(r) for r in extend_ids(v, spark.createDataFrame([("d",), (None,)], "name string")).collect()] == []
+    edges = spark.createDataFrame([("CALL", 1, 7, 2), ("CALL", 1, 7, None)], "label string, start_id bigint, end_id bigint, mgm int")
+    calls = spark.createDataFrame([("a", "CALL", "b", 5, 1), ("b", "CALL", "d", None, 2), ("a", "CALL", "gone", 1, 3)],
+                                  "start_name string, label string, end_name string, mgm int, ord bigint")
+    assert sorted(map(tuple, increment_edges(edges, new, calls).collect())) == [("CALL", 1, 7, 2), ("CALL", 8, 1, 5)]

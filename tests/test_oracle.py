@@ -7,7 +7,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from edgeloom.plans.catalog import oracle_sql, queries
 from oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"

@@ -1,11 +1,12 @@
-"""Quality reports, strict decoding and the separator check."""
+"""Quality reports and strict decoding."""
 
 import pytest
 
 from edgeloom.functions.predicates import within_frame
-from edgeloom.operators.adjacency import decode_vertices, unsafe_vertices
+from edgeloom.operators.adjacency import decode_vertices
 from edgeloom.operators.quality import (conflict_report, conflicting_names, conflicts_by_name, count_edges_on,
-                                        degree_report, remove_conflicting, tagged_names, uniqueness_report)
+                                        degree_report, duplicate_edges, duplicate_names, remove_conflicting, tagged_names,
+                                        uniqueness_report)
 
 
 def _vertices(spark):
@@ -27,9 +28,9 @@ def test_conflicts_and_reports(spark):
     rep = [tuple(r) for r in conflict_report(v, edges).collect()]
     assert rep == [("x", 2, "d,w", 2)]
     u = {r.label: tuple(r)[1:] for r in uniqueness_report(v).collect()}
-    assert u["DEVICE"] == (3, 2, 1, 0)
-    assert u["MOBILE"] == (2, 1, 0, 1)
-    assert u["ALL"] == (7, 4, 2, 1)
+    assert u["DEVICE"] == (3, 2, 1, 0, 0)
+    assert u["MOBILE"] == (2, 1, 0, 1, 0)
+    assert u["ALL"] == (7, 4, 2, 1, 0)
 
 
 def test_degree_report(spark):
@@ -52,10 +53,16 @@ def test_decode_unknown_label(spark):
     assert [r.id for r in decode_vertices(lines, strict=False).collect()] == [1]
 
 
-def test_unsafe_vertices(spark):
-    d = spark.createDataFrame([(1, "ok", None, None), (2, "bad,name", None, None), (3, "t", "a|b", None)],
-                              "id bigint, name string, is_exception string, is_white string")
-    assert sorted(r.id for r in unsafe_vertices({"DEVICE": d}).collect()) == [2, 3]
+def test_repeated_ids_and_append_duplicates(spark):
+    v = {"DEVICE": spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id bigint, name string"),
+         "WIFI": spark.createDataFrame([(2, "d")], "id bigint, name string")}
+    got = {r.label: r.n_repeated_ids for r in uniqueness_report(v).collect()}
+    assert got == {"DEVICE": 1, "WIFI": 0, "ALL": 2}
+    open_v = spark.createDataFrame([("WIFI", {"name": "a"}), ("WIFI", {"name": "a"}), ("DEVICE", {"name": "a"}), ("WIFI", {})],
+                                   "label string, attrs map<string,string>")
+    assert [tuple(r) for r in duplicate_names(open_v).collect()] == [("WIFI", "a", 2)]
+    e = spark.createDataFrame([("CALL", 1, 2), ("CALL", 1, 2), ("HAS", 1, 2)], "label string, start_id bigint, end_id bigint")
+    assert [tuple(r) for r in duplicate_edges(e).collect()] == [("CALL", 1, 2, 2)]
 
 
 def test_unresolved_edges(spark):

@@ -5,9 +5,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from edgeloom.sinks.tables import (create_table_as, insert_overwrite, read_snapshot, replace_table, write_snapshot)
+from edgeloom.sinks.tables import (create_table_as, insert_overwrite, read_in_edges, read_snapshot, replace_table,
+                                   write_snapshot)
 from edgeloom.sinks.text import (export_edges, export_edges_csv, export_vertices, write_adjacency_text,
-                                 write_csv_single, write_lines)
+                                 write_csv, write_lines)
 from edgeloom.sources.tables import read_table, rows_to_df
 from edgeloom.sources.text import ingest_call_edges, ingest_vertices, read_lines
 from edgeloom.operators.stage import stage_device
@@ -52,16 +53,13 @@ def test_text_round_trips(spark, scratch_dir):
     assert sorted(map(tuple, ingest_call_edges(read_lines(spark, p3)).collect())) == sorted(map(tuple, calls.collect()))
 
 
-def test_csv_single_and_adjacency_text(spark, scratch_dir):
-    df = spark.createDataFrame([("a", ""), ("b", None)], "k string, v string")
+def test_csv_and_adjacency_text(spark, scratch_dir):
+    df = spark.createDataFrame([("a", ""), ("b", None)], "k string, v string").repartition(2)
     p = os.path.join(scratch_dir, "csv")
-    write_csv_single(df, p)
-    files = [f for f in os.listdir(p) if f.endswith(".csv")]
-    assert len(files) == 1
-    text = open(os.path.join(p, files[0])).read().splitlines()
-    assert text == ["k,v", 'a,""', "b,"]
-    with pytest.raises(ValueError):
-        write_csv_single(df, p, max_rows=1)
+    write_csv(df, p)
+    parts = [open(os.path.join(p, f)).read().splitlines() for f in os.listdir(p) if f.endswith(".csv")]
+    assert all(part[0] == "k,v" for part in parts)
+    assert sorted(line for part in parts for line in part[1:]) == ['a,""', "b,"]
     adj = spark.createDataFrame([(1, "MOBILE", "1,MOBILE,x\t\t")], "id bigint, label string, line string")
     pa = os.path.join(scratch_dir, "adj")
     write_adjacency_text(adj, pa)
@@ -71,6 +69,7 @@ def test_csv_single_and_adjacency_text(spark, scratch_dir):
 def test_snapshot(spark, scratch_dir):
     v = spark.createDataFrame([(2, "MOBILE", "b"), (1, "MOBILE", "a")], "id bigint, label string, name string")
     e = spark.createDataFrame([("CALL", 2, 1, None)], "label string, start_id bigint, end_id bigint, mgm int")
-    write_snapshot(v, e, os.path.join(scratch_dir, "snap"), partitions=2)
+    write_snapshot(v, e, os.path.join(scratch_dir, "snap"))
     v2, e2 = read_snapshot(spark, os.path.join(scratch_dir, "snap"))
     assert v2.count() == 2 and e2.collect()[0].start_id == 2
+    assert read_in_edges(spark, os.path.join(scratch_dir, "snap")).collect() == e.collect()

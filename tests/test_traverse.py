@@ -25,43 +25,45 @@ def test_both_bag_semantics(spark):
 
 def test_out_e_other_v_and_match(spark):
     v, e = _g(spark)
-    got = sorted((r.end_id, r.other_name) for r in other_v(out_e(e, [11], "HAS"), v).collect())
-    assert got == [(1, "13908125867"), (2, "13908125868"), (3, "13908125869")]
+    got = sorted((r.end_id, r.other_name) for r in other_v(out_e(e, [40], "HAS"), v).collect())
+    assert got == [(1, "anna"), (2, "bert"), (3, "cleo")]
     m = {(r.a_name, r.b_name, r.mgm) for r in match_pattern(v, e, "MOBILE", "CALL", "MOBILE").collect()}
-    assert m == {("13908125867", "13908125868", None), ("13908125868", "13908125867", 1)}
+    assert m == {("anna", "bert", 6), ("bert", "anna", None)}
 
 
 def test_count_other_v_and_hub(spark):
     v, e = _g(spark)
-    assert count_other_v(v, e, [11], "HAS", "13908125868").collect()[0].cnt == 2
+    assert count_other_v(v, e, [40], "HAS", "bert").collect()[0].cnt == 2
     per = {r.start_id: r.cnt for r in count_other_v(v, e, v.select("id"), "USE_WIFI", "x", per_start=True).collect()}
-    assert per == {1: 2, 2: 2, 3: 1}
+    assert per == {1: 1, 2: 1, 3: 1}
     h = hub(e, "HAS").collect()[0]
-    assert (h.id, h.degree) == (11, 3)
+    assert (h.id, h.degree) == (40, 3)
 
 
 def test_neighbours_filtered_and_pairs(spark):
     v, e = _g(spark)
-    names = ["13908125867"]
-    pred = or_(has_eq("status", 1), has_eq("is_risk", "true"))
+    names = ["anna"]
+    pred = or_(has_eq("status", 2), has_eq("is_risk", "true"))
     got = sorted((r.start_id, r.nbr_id) for r in neighbours_filtered(v, e, names, "CALL", pred, "MOBILE").collect())
     assert got == [(1, 2), (1, 2)]
     cols = {"c_name": "m1.name", "mobile": "m2.name", "is_risk": "m2.is_risk", "status": "m2.status"}
     rows = {tuple(r) for r in pairs_report(v, e, names, "CALL", cols, "MOBILE").collect()}
-    assert rows == {("13908125867", "13908125868", "", "1")}  # present but empty is not "null"
+    assert rows == {("anna", "bert", "null", "2")}
+    cols = {"service": "m2.is_service"}
+    assert {tuple(r) for r in pairs_report(v, e, names, "CALL", cols, "MOBILE").collect()} == {("",)}  # empty is not "null"
 
 
 def test_value_maps(spark):
     v, _ = _g(spark)
     one = v.where("id = 2")
     vm = one.select(list_map_text(value_map(["name", "status", "suspect_risk", "overdue_status"])).alias("t")).first().t
-    assert vm == "name=[13908125868],overdue_status=[0],status=[1]"
+    assert vm == "name=[bert],overdue_status=[0],status=[2]"
     vu = one.select(map_text(value_map_unfolded(["name", "suspect_risk", "status"])).alias("t")).first().t
-    assert vu == "name=13908125868,status=1"
+    assert vu == "name=bert,status=2"
 
 
 def test_has_neq_drops_missing(spark):
     v, _ = _g(spark)
     got = sorted(r.id for r in v.where(has_neq("overdue_status", 1)).collect())
     assert got == [2]
-    assert start_by_names(v, ["bssid13682956455"], "WIFI").count() == 1
+    assert start_by_names(v, ["cafe"], "WIFI").count() == 1
