@@ -42,7 +42,12 @@ def insert_overwrite(df: DataFrame, name: str) -> None:
 
 
 def write_snapshot(vertices: DataFrame, edges: DataFrame, path: str) -> None:
-    """Write a graph snapshot below ``path`` (a fresh folder)."""
+    """Write a graph snapshot below ``path`` (a fresh folder).
+
+    A range layout reads its input twice (to find the ranges, then to write), and edges have two layouts:
+    so both inputs are stored once, and what they are made of runs once.
+    """
+    vertices, edges = freeze(vertices, "snapshot-vertices"), freeze(edges, "snapshot-edges")
     (vertices.repartitionByRange("id").sortWithinPartitions("id").write.parquet(f"{path}/vertices"))
     for name, key in (("edges", "start_id"), ("edges_in", "end_id")):
         (edges.repartitionByRange("label", key).sortWithinPartitions("label", key)
