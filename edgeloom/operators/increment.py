@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import freeze
 from .ids import assign_dense_ids
 from .merge import merge_edges, merge_vertices
 
@@ -49,6 +50,7 @@ def increment_vertices(vertices: DataFrame, delta: DataFrame, ord_col: str = "or
     """
     bad = vertex_rejects(vertices, delta).select("label", "name")
     good = delta.join(bad, ["label", "name"], "left_anti").dropna("any", subset=["label", "name"])
+    good = freeze(good, "accepted-delta")  # read for the new names and for the merge
     merged = merge_vertices(vertices, good, ord_col=ord_col)
     ids = extend_ids(vertices, good).withColumnRenamed("id", "_new_id")
     out = merged.join(ids, "name", "left").withColumn("id", F.coalesce("id", "_new_id"))

@@ -30,7 +30,7 @@ WIDE_SQL = ", ".join(("id", "label", *WIDE_VERTEX_COLUMNS))
 
 def graph(spark: SparkSession, sf_dir: str):
     """The loaded fixture graph (ids assigned, edges resolved)."""
-    return load_graph(fx.staged_vertices(spark, sf_dir), fx.staged_edges(spark, sf_dir))
+    return load_graph(fx.staged_vertices(spark, sf_dir), fx.staged_edges(spark, sf_dir), materialize=True)
 
 
 def vertex_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

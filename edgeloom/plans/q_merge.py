@@ -242,7 +242,7 @@ def _loaded(spark, sf_dir):
 
 def _increment(spark, sf_dir):
     vertices, edges = _loaded(spark, sf_dir)
-    _, delta = _merge_inputs(spark, sf_dir)
+    delta = freeze(_merge_inputs(spark, sf_dir)[1], "vertex-delta")  # parsed once
     new = freeze(increment_vertices(vertices, delta), "next-vertices")
     calls = fx.call_keyed(spark, sf_dir).where((F.col("ord") % 3 == 0) | (F.col("ord") % 4 == 0))
     return vertices, delta, new, calls, increment_edges(edges, new, calls)
