@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .frames import written
 from .words import row_groups, text_buffers
 
-CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
+CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 4 << 20
 CHUNK_DDL = "chunk long, raw_bytes long, ids binary, known binary, lengths binary, texts binary"
 _CHUNK = pa.schema([("chunk", pa.int64()), ("raw_bytes", pa.int64()), ("ids", pa.binary()), ("known", pa.binary()),
                     ("lengths", pa.binary()), ("texts", pa.binary())])

@@ -19,6 +19,8 @@ SPACES = bytes([0x20, *range(0x09, 0x0E)])
 #: bytes that are not in [0-9A-Za-z] and below 0x80
 NOT_ALNUM = bytes(b for b in range(128) if not chr(b).isalnum())
 GROUP_BYTES = 1 << 21
+#: bytes hashed at a time: the working arrays take about 40 times as much
+HASH_BYTES = 1 << 18
 _P, _Q = U(0x9E3779B97F4A7C15), U(0xD1342543DE82EF95)
 
 
@@ -97,7 +99,7 @@ class Splitter:
             yield at, cut
             at = cut
 
-    def split(self, data: np.ndarray, offsets: np.ndarray, limit: int = GROUP_BYTES) -> Words:
+    def split(self, data: np.ndarray, offsets: np.ndarray, limit: int = HASH_BYTES) -> Words:
         """``data``: bytes of the rows; ``offsets``: n_rows + 1 positions in it."""
         parts = []
         for a, z in self._cuts(data, offsets, limit):
@@ -125,15 +127,18 @@ class Splitter:
         return Words(h, row, s, e, len(offsets) - 1)
 
 
-def windows(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(position of the first word, hash) of each run of ``n`` words inside one row."""
+def windows(words: Words, n: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(position of the first word, hash) of each run of ``n`` words inside one row.
+
+    Hashes with different ``salt`` are independent of each other.
+    """
     size = len(words.hash)
     if size < n:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=U)
     at = np.flatnonzero(words.row[: size - n + 1] == words.row[n - 1:])
     up, down = _WORD_POWERS.get(size + 1)
     total = np.zeros(size + 1, dtype=U)
-    np.cumsum(words.hash * up[:-1], out=total[1:])
+    np.cumsum((mix(words.hash ^ U(salt)) if salt else words.hash) * up[:-1], out=total[1:])
     return at, mix((total[at + n] - total[at]) * down[at] + U(n))
 
 
