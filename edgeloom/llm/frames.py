@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -47,10 +46,6 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(parts)
 
 
-def fold_of(doc_id: int, parts: int) -> int:
-    return zlib.crc32(str(doc_id).encode()) % parts
-
-
 def add_columns(df: DataFrame, ddl: str, text: str,
                 fn: Callable[[pa.Array], dict[str, object]]) -> DataFrame:
     """All columns of ``df`` and those of ``ddl``, which ``fn`` computes from whole batches of column ``text``."""

@@ -229,38 +229,33 @@ class _Search:
         self.firsts = [p[0] for p in index.parts]
         self.part = self.block = None
 
-    def _block(self, part: int, block: int) -> list:
+    def _open_part(self, part: int) -> None:
         if self.part != part:
             _, name, offset, length = self.index.parts[part]
             self.directory = json.loads(zlib.decompress(self.reader.read(name, offset, length)))
             self.starts = [_order(d[0], d[1]) for d in self.directory]
             self.part, self.block = part, None
-        if block < 0:
-            return []
+
+    def _open_block(self, block: int) -> None:
         if self.block != block:
             _, _, offset, length = self.directory[block]
-            raw = zlib.decompress(self.reader.read(self.index.parts[part][1], offset, length)).decode()
+            raw = zlib.decompress(self.reader.read(self.index.parts[self.part][1], offset, length)).decode()
             self.lines = [json.loads(x) for x in raw.split("\n")]
             self.keys = [_order(x[0], x[1]) for x in self.lines]
             self.block = block
-        return self.lines
 
     def find(self, want: tuple) -> Iterator[list]:
         """Every capture with exactly this key; equal keys may run over blocks and files."""
         part = max(bisect_left(self.firsts, want) - 1, 0)
         while part < len(self.firsts) and self.firsts[part] <= want:
-            self._block(part, -1)
+            self._open_part(part)
             block = max(bisect_left(self.starts, want) - 1, 0)
-            while block < len(self.directory) and self.directory and self._starts_by(part, block, want):
-                self._block(part, block)
+            while block < len(self.starts) and self.starts[block] <= want:
+                self._open_block(block)
                 yield from self.lines[bisect_left(self.keys, want):bisect_right(self.keys, want)]
                 block += 1
             part += 1
 
-    def _starts_by(self, part: int, block: int, want: tuple) -> bool:
-        self._block(part, -1)
-        return self.starts[block] <= want
-
 
 def lookup(queries: DataFrame, index: Index, archives: str) -> DataFrame:
     """Records of the captures of each (url, page_id) of ``queries``, read back from the archives.

@@ -2,8 +2,6 @@
 
 import random
 
-from pyspark.sql.types import StructType
-
 WORDS = ("the of and to in that river stone winter garden letter market window silver thunder copper meadow "
          "lantern harbor orchard candle shadow velvet timber hollow anchor bridge feather marble").split()
 GERMAN = "der die das und nicht über schön straße wälder häuser können größe müde grün fließt jahr zeit".split()
@@ -13,7 +11,7 @@ def prose(seed: int, n: int, vocabulary=WORDS) -> str:
     r = random.Random(seed)
     out = []
     for i in range(n):
-        w = r.choice(vocabulary) + (str(r.randrange(30)) if r.random() < 0.0 else "")
+        w = r.choice(vocabulary)
         out.append(w + (".\n" if i % 12 == 11 else ""))
     return " ".join(out)
 
