@@ -4,14 +4,15 @@ Any 50 consecutive words hold a whole block of 25 words of the other copy, if
 blocks are cut at every 25th word of it. So the index holds the
 non-overlapping 25-word blocks of every document, each rolling 25-word window
 of every document probes it, and 50-word windows are looked at only around
-hits. Those are compared by their own 64-bit hash: the smallest doc_id with
+hits. Those are compared by 96 bits of hash: the smallest doc_id with
 each window is found, every later window is marked, and marked windows that
 overlap or touch make up the maximal repeats that are cut.
 
 Both questions go through ``chunks.exchange``: first which windows of 25 have
 a counterpart (an answer may hold false hits, which the second one discards),
-then which windows of 50 start in a document with a smaller id. Two different
-windows count as equal only if their 64-bit hashes agree.
+then which windows of 50 start in a document with a smaller id. Windows of
+different chunks count as equal if 96 bits agree, windows of one chunk (under a
+million) if 64 bits do.
 
 Edge cases: a null or empty text has no words, nothing removed and kept text
 "". Texts under 50 words keep all. Repeated rows with one doc_id never remove
@@ -37,11 +38,12 @@ from .words import SPACES, Splitter, Words, windows
 WINDOW = 50
 _SPLIT = Splitter(SPACES)
 _KEY = np.uint64((1 << 30) - 1)
+_SECOND = 0x2545F4914F6CDD1D  # salt of the second hash
 
 
-def _known_windows(chunk: Chunk, words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _known_windows(chunk: Chunk, words: Words, n: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Windows of ``n`` words of the rows with an id."""
-    at, key = windows(words, n)
+    at, key = windows(words, n, salt)
     ok = chunk.known[words.row[at]] if len(at) else np.zeros(0, dtype=bool)
     return (at, key) if ok.all() else (at[ok], key[ok])
 
@@ -90,13 +92,11 @@ def answer_blocks(asked: list[tuple[bytes, bytes]]) -> list[tuple[bytes, bytes]]
     return out
 
 
-def _near_hits(chunk: Chunk, words: Words, replies: list[dict] | None, buckets: int, block: int,
-               window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(position, row, hash) of the windows that hold a hit of ``block`` words."""
-    none = np.zeros(0, dtype=np.int64)
-    at, key = _known_windows(chunk, words, window)
+def _near_hits(chunk: Chunk, words: Words, at: np.ndarray, replies: list[dict] | None, buckets: int, block: int,
+               window: int) -> np.ndarray:
+    """Which of the windows that begin at ``at`` hold a hit of ``block`` words."""
     if not replies or not len(at):
-        return none, none, none.astype(np.uint64)
+        return np.zeros(len(at), dtype=bool)
     hits = np.sort(np.concatenate([unplanes(r["a"], np.uint32).astype(np.uint64) | np.uint64(r["bucket"]) << np.uint64(30)
                                    for r in replies]))
     block_at, block_key = _known_windows(chunk, words, block)
@@ -106,35 +106,39 @@ def _near_hits(chunk: Chunk, words: Words, replies: list[dict] | None, buckets:
     found = np.zeros(len(words.hash) + 1, dtype=np.int64)
     found[block_at[hits[place] == code] + 1] = 1
     found = np.cumsum(found)  # hits that begin before a position
-    near = found[at + window - block + 1] > found[at]
-    return at[near], words.row[at[near]], key[near]
+    return found[at + window - block + 1] > found[at]
 
 
 def ask_windows(chunk: Chunk, replies: list[dict] | None, buckets: int, block: int,
                 window: int) -> Iterator[tuple[int, bytes, bytes]]:
-    """Each distinct window near a hit: its hash and the smallest id of the chunk that holds it."""
+    """Each distinct window near a hit: its hash, the smallest id of the chunk that holds it, 32 bits of a second hash."""
     words = _SPLIT.split(chunk.data, chunk.offsets)
-    _, row, key = _near_hits(chunk, words, replies, buckets, block, window)
-    if not len(key):
+    at, key = _known_windows(chunk, words, window)
+    near = _near_hits(chunk, words, at, replies, buckets, block, window)
+    if not near.any():
         return
+    key, doc = key[near], chunk.ids[words.row[at[near]]]
+    second = (_known_windows(chunk, words, window, _SECOND)[1][near] >> np.uint64(32)).astype(np.uint32)
     order = np.argsort(key, kind="stable")
-    key, doc = key[order], chunk.ids[row][order]
-    starts = _runs(key)
-    key, doc = key[starts], np.minimum.reduceat(doc, starts)
+    starts = _runs(key[order])
+    key, doc, second = key[order][starts], np.minimum.reduceat(doc[order], starts), second[order][starts]
     for bucket, some in by_bucket(bucket_of(key, buckets)):
-        yield bucket, planes(key[some]), planes(doc[some])
+        yield bucket, planes(key[some]), planes(doc[some]) + planes(second[some])
 
 
 def answer_windows(asked: list[tuple[bytes, bytes]]) -> list[tuple[bytes, bytes]]:
-    """For each chunk the windows that a smaller id of another chunk holds."""
+    """For each chunk the windows that a smaller id of another chunk holds; both hashes have to agree."""
     keys = [unplanes(a, np.uint64) for a, _ in asked]
-    docs = [unplanes(b, np.int64) for _, b in asked]
+    docs = [unplanes(b[:len(a)], np.int64) for a, b in asked]
     key, doc = np.concatenate(keys), np.concatenate(docs)
-    order = np.argsort(key, kind="stable")
-    starts = _runs(key[order])
-    least = np.minimum.reduceat(doc[order], starts)
-    known = key[order][starts]
-    return [(planes(k[least[np.searchsorted(known, k)] < d]), b"") for k, d in zip(keys, docs, strict=True)]
+    second = np.concatenate([unplanes(b[len(a):], np.uint32) for a, b in asked])
+    order = np.lexsort((second, key))
+    k, s = key[order], second[order]
+    starts = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (s[1:] != s[:-1])]))
+    least = np.empty(len(key), dtype=np.int64)
+    least[order] = np.repeat(np.minimum.reduceat(doc[order], starts), np.diff(np.append(starts, len(k))))
+    late = np.split(least < doc, np.cumsum([len(x) for x in keys])[:-1])
+    return [(planes(x[m]), b"") for x, m in zip(keys, late, strict=True)]
 
 
 def covered(chunk: Chunk, words: Words, replies: list[dict] | None, window: int) -> np.ndarray:
