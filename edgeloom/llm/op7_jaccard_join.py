@@ -282,9 +282,11 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
 def drop_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group of near duplicates the document with the smallest id stays.
 
+    As a stage it takes shingles of five words and a similarity of 0.8 or more.
+
     Rows that repeat one id are one document, and stay or go together; a null id always stays.
     """
-    found = jaccard_components(docs).where("component_id <> doc_id").select("doc_id").distinct()
+    found = jaccard_components(docs, size=5, percent=80).where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti").select(*columns(docs))
 
 

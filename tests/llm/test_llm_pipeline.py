@@ -39,6 +39,17 @@ def test_near_duplicates_leave_one(spark, edge_dir):
     assert set(d for d, _, _, _ in EDGE_DOCS) - set(left) == {1, 2, 3}
 
 
+def test_near_duplicates_take_five_words_and_four_fifths(spark, scratch_dir):
+    base = [f"w{i}" for i in range(49)]  # 45 shingles of five words; one changed word inside leaves 40 of 50
+    near, far = base[:], base[:]
+    near[20] = "x"
+    far[20], far[30] = "x", "y"
+    docs = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(far))], "doc_id long, text string")
+    assert sorted(r.doc_id for r in stage("near_duplicates")(spark, docs, scratch_dir).collect()) == [1]
+    docs = docs.where("doc_id <> 2")
+    assert sorted(r.doc_id for r in stage("near_duplicates")(spark, docs, scratch_dir).collect()) == [1, 3]
+
+
 def test_decontamination_drops_contaminated_only(spark, edge_dir):
     docs = spark.read.parquet(f"{edge_dir}/documents.parquet")
     flags = queries()["op2_decontaminate"](spark, edge_dir).collect()
