@@ -200,8 +200,8 @@ def q_remaining_conflicts(spark, sf_dir):
     return load_graph({**v, DEVICE: v[DEVICE].unionByName(shared)}, e).remaining
 
 
-@register("edge_line_order", "select count(*) as n from named")
-def q_edge_line_order(spark, sf_dir):
+@register("round_trip_edge_text", "select count(*) as n from named")
+def q_round_trip_edge_text(spark, sf_dir):
     """S1 over several files by a glob: every exported edge line is read once."""
     path = fresh_folder(spark, "edges")
     for label, lines in edge_lines(spark, sf_dir).items():
