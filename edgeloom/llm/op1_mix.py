@@ -86,7 +86,7 @@ def schedule(spark: SparkSession, allotment: DataFrame, block_words: int = BLOCK
     ``allotment`` is a stored table with one row per source. Slots find their source by the cell of the
     unit interval their point lies in, so the lookup is an equality join however many sources there are.
     """
-    share = F.sum("words").over(Window.partitionBy())
+    share = F.nullif(F.sum("words").over(Window.partitionBy()), F.lit(0))  # without words no source has a span
     until = F.sum("words").over(Window.orderBy(*_KEY))
     edge = lambda words: F.round(words.cast("double") / share * _TURN).cast("long")
     spans = (allotment.select(*_KEY, "words", share.alias("total"), edge(until).alias("high"),

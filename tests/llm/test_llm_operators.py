@@ -77,6 +77,24 @@ def test_mix(spark, edge_dir):
         assert t - 1 < got <= t
 
 
+def test_mix_without_words(spark):
+    docs = spark.createDataFrame([(1, None, "a"), (2, " ", None), (2, " ", None)], "doc_id long, text string, source string")
+    assert multiset(op1_mix.mix(docs).collect()) == multiset([(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)])
+
+
+def test_schedule_interleaves_sources(spark):
+    docs = spark.createDataFrame([(i, "w " * 10, f"s{i % 3}") for i in range(300)], "doc_id long, text string, source string")
+    sources = docs.selectExpr("false as is_null", "source as source_key").groupBy("is_null", "source_key").count()
+    allotment = op1_mix.allot(sources.selectExpr("is_null", "source_key", "count * 10 as source_size"), share=1.0)
+    slots = op1_mix.schedule(spark, allotment, 10).orderBy("slot").collect()
+    want = {r.source_key: r.words for r in allotment.collect()}
+    for n in (30, 60, 150):  # every prefix of the schedule is close to the weights
+        seen = Counter(r.source_key for r in slots[:n])
+        assert all(abs(seen[s] - n * w / sum(want.values())) <= 3 for s, w in want.items())
+    for s in want:
+        assert sorted(r.block for r in slots if r.source_key == s) == list(range(-(-want[s] // 10)))
+
+
 def test_mix_takes_blocks_in_schedule_order(spark):
     docs = spark.createDataFrame([(i, "w " * (i % 7 + 1), f"s{i % 4}") for i in range(400)], "doc_id long, text string, source string")
     rows = op1_mix.mix(docs, weights=(5, 1), share=1.0, block_words=4).collect()
