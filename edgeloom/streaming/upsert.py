@@ -10,7 +10,9 @@ is repeated after it was published changes nothing.
 ``trigger(availableNow=True)`` runs a stream as a catch-up job.
 
 A version holds ``state`` (or the graph snapshot) and ``rejects``: the lines
-and keys the batch could not take, with the reason.
+and keys the batch could not take, with the reason. A vertex or edge state is
+cut into ``PARTS`` parts by the hash of its key; a batch reads and writes only
+the parts that its keys fall into, the others stay where they are.
 
 "The last value wins" needs an order of lines: batch, then file, then the
 place in the file (block, position of the row in its block).
@@ -29,10 +31,12 @@ from ..operators.merge import dangling_edges, merge_edges, merge_vertex_attrs, m
 from ..schema import VERTEX_LABELS
 from ..session import freeze
 from ..sinks.tables import next_version, read_snapshot, write_snapshot
-from ..sinks.versions import current_version, publish
+from ..sinks.versions import current_commit, current_version, publish
 from ..sources.text import parse_edge_rows, parse_vertex_lines, with_load_errors
 
 _PLACE = ["_file", "_block"]
+#: parts of a state: fixed, as the parts of all versions of a base have to agree
+PARTS = 256
 
 
 def lines_of_files(reader, path: str) -> DataFrame:
@@ -75,17 +79,29 @@ def _good(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("error").isNull())
 
 
-def _publish(spark: SparkSession, base: str, state: DataFrame, rejects: DataFrame) -> None:
-    out = next_version(base)
-    state.write.parquet(f"{out}/state")
-    rejects.write.parquet(f"{out}/rejects")
-    publish(spark, base, out)
+def _part(keys: list[str]):
+    return F.pmod(F.xxhash64(*keys), F.lit(PARTS)).cast("int")
+
 
+def read_state(spark: SparkSession, base: str, parts: list[str] | None = None) -> DataFrame | None:
+    """The current state below ``base`` (of the given parts only), or None where there is none."""
+    commit = current_commit(spark, base)
+    folders = [f for p, f in commit.parts.items() if parts is None or p in parts] if commit else []
+    return spark.read.parquet(*folders) if folders else None
 
-def read_state(spark: SparkSession, base: str) -> DataFrame | None:
-    """The current state below ``base``, or None where nothing was ever published."""
-    current = current_version(spark, base)
-    return spark.read.parquet(f"{current}/state") if current else None
+
+def _upsert(spark: SparkSession, base: str, keys: list[str], delta: DataFrame, empty,
+            merge: Callable[[DataFrame, DataFrame], DataFrame], rejects: DataFrame) -> None:
+    """Merge ``delta`` into the parts of the state that its keys touch, and publish the result."""
+    touched = [str(r[0]) for r in delta.dropna("any", subset=keys).select(_part(keys)).distinct().collect()]  # PARTS at most
+    state = read_state(spark, base, touched)
+    new = merge(spark.createDataFrame([], empty) if state is None else state, delta).withColumn("part", _part(keys))
+    out = next_version(base)
+    new.repartition("part").write.partitionBy("part").parquet(f"{out}/state")
+    rejects.write.parquet(f"{out}/rejects")
+    written = [str(r[0]) for r in spark.read.schema(new.schema).parquet(f"{out}/state").select("part").distinct().collect()]
+    last = current_commit(spark, base)
+    publish(spark, base, out, (last.parts if last else {}) | {p: f"{out}/state/part={p}" for p in written})
 
 
 def _columns_delta(parsed: DataFrame, columns: list[str], casts: dict[str, str]) -> DataFrame:
@@ -100,10 +116,7 @@ def upsert_vertices_batch(spark: SparkSession, base: str, columns: list[str],
     def apply(batch: DataFrame, batch_id: int) -> None:
         parsed = _parsed_vertices(batch, batch_id)
         delta = _columns_delta(parsed, columns, casts or {})
-        state = read_state(spark, base)
-        if state is None:
-            state = spark.createDataFrame([], delta.drop("ord").schema)
-        _publish(spark, base, merge_vertices(state, delta), _refused(parsed))
+        _upsert(spark, base, ["label", "name"], delta, delta.drop("ord").schema, merge_vertices, _refused(parsed))
 
     return apply
 
@@ -114,10 +127,8 @@ def upsert_open_vertices_batch(spark: SparkSession, base: str) -> Callable[[Data
     def apply(batch: DataFrame, batch_id: int) -> None:
         parsed = _parsed_vertices(batch, batch_id)
         delta = _good(parsed).select("label", F.col("attrs")["name"].alias("name"), "attrs", "ord")
-        state = read_state(spark, base)
-        if state is None:
-            state = spark.createDataFrame([], "label string, name string, attrs map<string,string>")
-        _publish(spark, base, merge_vertex_attrs(state, delta), _refused(parsed))
+        _upsert(spark, base, ["label", "name"], delta, "label string, name string, attrs map<string,string>",
+                merge_vertex_attrs, _refused(parsed))
 
     return apply
 
@@ -131,11 +142,11 @@ def upsert_edges_batch(spark: SparkSession, base: str,
     def apply(batch: DataFrame, batch_id: int) -> None:
         parsed = _parsed_edges(batch, batch_id)
         delta = _good(parsed).select("start_name", "label", "end_name", "mgm", "ord")
-        state, known = read_state(spark, base), vertices()
-        if state is None:
-            state = spark.createDataFrame([], "start_name string, label string, end_name string, mgm int")
-        _publish(spark, base, merge_edges(state, delta, known, state_folded=True),
-                 _refused(parsed).unionByName(_dangling(delta, known)))
+        known = vertices()
+        _upsert(spark, base, ["start_name", "label", "end_name"], delta,
+                "start_name string, label string, end_name string, mgm int",
+                lambda state, d: merge_edges(state, d, known, state_folded=True),
+                _refused(parsed).unionByName(_dangling(delta, known)))
 
     return apply
 

@@ -7,7 +7,7 @@ import pytest
 from edgeloom.operators.traverse import count_other_v
 from edgeloom.sinks import versions
 from edgeloom.sinks.tables import read_snapshot
-from edgeloom.sinks.versions import UnreadableVersion, current_version, publish, publish_snapshot
+from edgeloom.sinks.versions import UnreadableVersion, current_commit, current_version, publish, publish_snapshot
 from edgeloom.streaming import upsert
 from edgeloom.streaming.upsert import (increment_graph_batch, read_state, start_upsert_stream, upsert_edges_batch,
                                        upsert_open_vertices_batch, upsert_vertices_batch)
@@ -41,6 +41,20 @@ def test_vertex_upsert_stream(spark, scratch_dir):
     assert got == {"a": ("m3", 2), "b": (None, 4)}  # the last line of a file wins
 
 
+def test_a_batch_writes_only_the_parts_it_touches(spark, scratch_dir):
+    src, base, ck = _paths(scratch_dir)
+    apply = upsert_vertices_batch(spark, base, ["status"], casts={"status": "int"})
+    _write(src, "a.txt", [f'mobile[11.{i}]{{"name": "n{i}", "status": 1}}' for i in range(40)])
+    start_upsert_stream(spark, src, ck, apply).awaitTermination(120)
+    first = current_commit(spark, base).parts
+    _write(src, "b.txt", ['mobile[11.1]{"name": "n1", "status": 5}', 'mobile[11.1]{"name": "new", "status": 2}'])
+    start_upsert_stream(spark, src, ck, apply).awaitTermination(120)
+    second = current_commit(spark, base).parts
+    changed = {p for p in second if second[p] != first.get(p)}
+    assert 1 <= len(changed) <= 2 and set(first) <= set(second)
+    assert _state_of(spark, base) == sorted([(f"n{i}", 5 if i == 1 else 1) for i in range(40)] + [("new", 2)])
+
+
 def test_edge_upsert_stream(spark, scratch_dir):
     src, base, ck = _paths(scratch_dir)
     names = spark.createDataFrame([(n,) for n in "abcxy"], "name string")
