@@ -330,6 +330,49 @@ def test_jaccard_join_on_drifting_copies(spark, seed, percent):
     assert {r.doc_id: r.component_id for r in got} == brute_components(docs, 2, percent)
 
 
+def drifting(seed, n):
+    r = random.Random(seed)
+    docs, base = [], []
+    for i in range(n):
+        if not base or r.random() < 0.05:
+            base = r.choices(WORDS + GERMAN, k=r.randrange(20, 60))
+        else:
+            for _ in range(r.randrange(0, 3)):
+                base = list(base)
+                base[r.randrange(len(base))] = r.choice(WORDS)
+        docs.append((i * 7 % n, " ".join(base)))
+    return docs
+
+
+@pytest.mark.parametrize("seed,percent,group", [(1, 85, 256), (2, 70, 5), (3, 60, 2), (4, 50, 3)])
+def test_jaccard_join_counts_every_link(spark, seed, percent, group):
+    docs = drifting(seed, 240) + [(1000, None), (1001, "a b c"), (1002, "A  b\nc"), (None, "a b c")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    sets = {d: frozenset(brute_sets(t, 2)) for d, t in docs if d is not None}
+    rep = {}
+    for d in sorted(sets):
+        rep.setdefault(sets[d], d)
+    linked = {(a, b) for a in sets for b in sets if a != b and sets[a] and sets[b]
+              and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+    got = op7_jaccard_join.jaccard_join(frame, size=2, percent=percent, group=group).collect()
+    part = brute_components(docs, 2, percent)
+    degree = Counter(a for a, _ in linked)
+    assert multiset((r.doc_id, r.n_links, r.component_id) for r in got) == multiset(
+        (d, degree[d], part.get(d)) for d, _ in docs)
+    links = op7_jaccard_join.jaccard_links(frame, size=2, percent=percent, group=group).collect()
+    pairs = {(rep[sets[a]], rep[sets[b]]) for a, b in linked if rep[sets[a]] < rep[sets[b]]}
+    by_rep = {d: s for s, d in rep.items()}
+    assert multiset(links) == Counter((a, b, len(by_rep[a] & by_rep[b]), len(by_rep[a] | by_rep[b])) for a, b in pairs)
+
+
+def test_jaccard_join_links_documents_of_one_pivot(spark):
+    base = prose(41, 120).split()
+    near = [" ".join([*base[:k], "zebra", *base[k + 1:]]) for k in (20, 90)]
+    docs = spark.createDataFrame([(1, " ".join(base)), (2, near[0]), (3, near[1]), (4, near[1])], "doc_id long, text string")
+    got = op7_jaccard_join.jaccard_join(docs)
+    assert sorted((r.doc_id, r.n_links) for r in got.collect()) == [(1, 3), (2, 3), (3, 3), (4, 3)]
+
+
 def brute_removed(docs, n):
     first = {}
     for d, t in docs:
