@@ -10,7 +10,8 @@
    slots is the block it takes. Slots beyond a target are cut, the last one is
    cut to length, and a source whose slots fall short of its target by the
    sequence's discrepancy gets the missing blocks at the end.
-4. The pieces of documents join the blocks on (source, r).
+4. The pieces of documents join the blocks on (source, r): ``mixed_pieces`` is
+   the mix itself, in schedule order; ``mix`` adds its words up per document.
 
 No running total runs over a whole source: totals are made per (source,
 bucket) with the buckets' offsets from a small table, for documents (buckets
@@ -115,9 +116,8 @@ def schedule(spark: SparkSession, allotment: DataFrame, block_words: int = BLOCK
     return ranked.unionByName(short).withColumn("take", take.cast("long")).where("take > 0").drop("words")
 
 
-def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, cap: float = CAP,
-        block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every document; see the module's text."""
+def _parts(docs: DataFrame, weights: tuple, share: float, cap: float, block_words: int) -> DataFrame:
+    """Every (document, lap, block) with its slot, first word and words taken; also those that no slot takes."""
     spark = docs.sparkSession
     rows = written(sized(docs), "mix-sizes")
     buckets = rows.groupBy(*_KEY, "bucket").agg(F.sum("size").alias("words_in"))
@@ -137,11 +137,34 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, cap: fl
     pieces = pieces.withColumn("block", F.explode_outer(F.sequence(
         F.expr(f"at div {block_words}"), F.expr(f"(at + size - 1) div {block_words}"))))
     slots = schedule(spark, allotment, block_words)
-    joined = pieces.join(slots.select(*_KEY, "block", "take"), [*_KEY, "block"], "left")
+    joined = pieces.join(slots.select("slot", *_KEY, "block", "take"), [*_KEY, "block"], "left")
     first = F.col("block") * block_words
-    words = F.greatest(F.lit(0), F.least(F.col("at") + F.col("size"), first + F.coalesce("take", F.lit(0))) - F.greatest(F.col("at"), first))
-    return (joined.groupBy(*_KEY, "bucket", "nth", "doc_id", "size", "source_size", "target")
-            .agg(F.coalesce(F.sum(words), F.lit(0)).cast("long").alias("taken"))
+    begin = F.greatest(F.col("at"), first)
+    words = F.greatest(F.lit(0), F.least(F.col("at") + F.col("size"), first + F.coalesce("take", F.lit(0))) - begin)
+    return joined.withColumn("first_word", begin - F.col("at")).withColumn("words", words.cast("long"))
+
+
+def mixed_pieces(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, cap: float = CAP,
+                 block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(slot, source, block, at, doc_id, first_word, words): the mix, one row per piece of a document.
+
+    In the order of (slot, source, block, at) the pieces are the mix: ``words`` words of the document from
+    ``first_word`` (0 is its first) on; ``at`` is the piece's first word in its block. Blocks that make up
+    for the schedule's discrepancy share the slot after the last one. Rows come in that order.
+    """
+    parts = _parts(docs, weights, share, cap, block_words).where("words > 0")
+    at = F.col("at") + F.col("first_word") - F.col("block") * block_words
+    source = F.when(~F.col("is_null"), F.col("source_key"))
+    return (parts.select("slot", source.alias("source"), "block", at.alias("at"), "doc_id", "first_word", "words")
+            .orderBy("slot", F.col("source").asc_nulls_last(), "block", "at"))
+
+
+def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, cap: float = CAP,
+        block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(doc_id, size, source_size, target, taken) of every document: the pieces of the mix, added up."""
+    return (_parts(docs, weights, share, cap, block_words)
+            .groupBy(*_KEY, "bucket", "nth", "doc_id", "size", "source_size", "target")
+            .agg(F.coalesce(F.sum("words"), F.lit(0)).cast("long").alias("taken"))
             .select("doc_id", "size", "source_size", "target", "taken"))
 
 

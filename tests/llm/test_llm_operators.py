@@ -102,6 +102,37 @@ def test_mix_takes_blocks_in_schedule_order(spark):
         assert sum(r.taken for r in rows if r.target == t) == sum({r.source_size: int(t) for r in rows if r.target == t}.values())
 
 
+def test_mix_pieces_follow_the_schedule(spark):
+    docs = [(i, " ".join(f"d{i}w{k}" for k in range(i % 7 + 1)), (None, "a", "b")[i % 3]) for i in range(120)] + [(500, "", "a"), (501, None, "b")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    args = {"weights": (5, 1), "share": 1.2, "block_words": 4}
+    rows = op1_mix.mixed_pieces(frame, **args).collect()
+    target = {}
+    for r in op1_mix.mix(frame, **args).collect():
+        assert r.taken == sum(p.words for p in rows if p.doc_id == r.doc_id)
+        target[dict((d, s) for d, _, s in docs)[r.doc_id]] = int(r.target)
+    order = sorted(docs, key=lambda d: hashlib.md5(str(d[0]).encode()).hexdigest())
+    text, got, blocks = {d: space_words(t) for d, t, _ in docs}, defaultdict(list), defaultdict(list)
+    assert [p.slot for p in rows] == sorted(p.slot for p in rows)
+    for p in rows:
+        assert p["at"] == sum(q.words for q in rows if (q.slot, q.source, q.block) == (p.slot, p.source, p.block) and q["at"] < p["at"])
+        got[p.source] += text[p.doc_id][p.first_word:p.first_word + p.words]
+        blocks[p.source].append((p.slot, p.block))
+    for s, words in target.items():  # a source's pieces, slot after slot, are its repeated stream up to the target
+        stream = [w for d, _, source in order if source == s for w in text[d]]
+        assert got[s] == (stream * 3)[:words] and len(got[s]) == words
+        assert blocks[s] == sorted(blocks[s])
+    spans, total, point = [], sum(target.values()), 0
+    for s in ("a", "b", None):
+        spans.append((s, point / total, (point + target[s]) / total))
+        point += target[s]
+    last = -(-total // 4)
+    for p in rows:  # the golden-ratio point of a slot lies in its source's span
+        if p.slot < last:
+            at = p.slot * 2654435769 % 2 ** 32 / 2 ** 32
+            assert any(s == p.source and low - 1e-6 <= at <= high + 1e-6 for s, low, high in spans)
+
+
 def brute_windows(words, items):
     hit, found = set(), set()
     for item, text in items:
