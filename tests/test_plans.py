@@ -11,6 +11,7 @@ from edgeloom.operators.adjacency import build_adjacency, hub_ids
 from edgeloom.operators.merge import merge_vertices
 from edgeloom.operators.traverse import both, count_other_v, pairs_report
 from edgeloom.plans import fixtures as fx
+from edgeloom.plans import q_round_trip
 from edgeloom.plans.graph import wide_vertices
 from edgeloom.plans.pipeline import load_graph
 from edgeloom.sinks.tables import read_in_edges, read_snapshot, write_snapshot
@@ -118,3 +119,11 @@ def test_both_restricts_each_side_before_the_union(spark, scratch_dir):
     assert re.search(r"PushedFilters: \[.*EqualTo\(start_id,1\)", p) and re.search(r"PushedFilters: \[.*EqualTo\(end_id,1\)", p), p
     assert "Generate" not in p
     assert sorted(map(tuple, q.collect())) == sorted(map(tuple, both(edges, [1], "CALL").collect())) == [(1, 2), (1, 2)]
+
+
+def test_edge_text_round_trip_sees_changed_lines(spark, monkeypatch):
+    write, true = q_round_trip.write_lines, q_round_trip.q_round_trip_edge_text(spark, SF).first().n
+    assert true == sum(e.count() for e in fx.staged_edges(spark, SF).values())
+    for change in (F.concat("line", F.lit("x")), F.expr("substring(line, 1, 12)"), F.lit("")):  # as many lines as before
+        monkeypatch.setattr(q_round_trip, "write_lines", lambda lines, path, c=change: write(lines.withColumn("line", c), path))
+        assert q_round_trip.q_round_trip_edge_text(spark, SF).first().n != true
