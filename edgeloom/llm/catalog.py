@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import op1_mix, op2_decontaminate, op3_quality_rules, op4_pii, op5_warc, op6_license_scan, op7_jaccard_join, op8_substring_dedup, \
-    op9_quality_classifier, op10_language_id
+    op9_quality_classifier, op10_language_id, op11_shard, op12_collocations, op13_conversation_repair
 
 _MODULES = {
     "op1_mix": op1_mix,
@@ -20,6 +20,9 @@ _MODULES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_language_id": op10_language_id,
+    "op11_shard": op11_shard,
+    "op12_collocations": op12_collocations,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 

@@ -98,7 +98,7 @@ def by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, positions) for each bucket that occurs."""
     order = np.argsort(bucket, kind="stable")
     edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-    for a, z in zip(edges, [*edges[1:], len(order)], strict=True):
+    for a, z in zip(edges, [*edges[1:], len(order)], strict=False):  # no edges if nothing is given
         yield int(bucket[order[a]]), order[a:z]
 
 

@@ -37,6 +37,19 @@ EDGE_DOCS = [
     (200 + i, prose(700 + i, 80, GERMAN), "de", "h") for i in range(30)]
 
 
+_LONG_TALK = [(7, k, ("user", "assistant", "system", "tool")[k * k % 4], f"row {k % 5}" + ("." if k % 3 else "")) for k in range(40)]
+# (conv_id, turn, role, text)
+EDGE_TALKS = [
+    (1, 0, "system", "Be kind."), (1, 1, "user", "Hi."), (1, 2, "assistant", "Hello!"), (1, 3, "user", "Bye?"), (1, 4, "assistant", "Bye."),
+    (2, 0, "user", None), (2, 1, None, "No role."), (2, None, "assistant", "No turn"), (2, None, None, None), (2, 9, "user", "Far."),
+    (3, 0, "User", "Upper."), (3, 0, "user", "A tie."), (3, 0, "user", "Another tie."), (3, 0, "", "No name."), (3, 5, "user", " \n\t"),
+    (4, 1, "user", "Same."), (4, 1, "user", "Same."), (4, 1, "user", "Same."), (4, 2, "user", "Same."), (4, 2, "assistant", "Same."),
+    (None, 0, "user", "No id."), (None, 1, "assistant", "None at all."), (None, None, "system", "Nothing"),
+    (5, 0, "assistant", LONG), (5, 1, "user", "日本語。"), (5, 2, "assistant", "Ends in a dash -  \n"), (6, 3, "system", "Alone."),
+] + [(5, 2 ** 62, "user", "Late."), (5, -2 ** 62, "user", "Early.")] + _LONG_TALK + [(100 + c, t, r, f"{c % 3} says {t % 2}" + "?" * (c % 2))
+     for c in range(40) for t, r in enumerate(("user", "assistant") * (c % 4))]
+
+
 def write_tables(spark, folder: str, docs, empty: bool = False) -> str:
     rows = [(d, t, lang, s, None if t is None else len(t), 0.5, 7, "x", True, 1, "t", "c") for d, t, lang, s in docs]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score double, "
@@ -56,4 +69,7 @@ def write_tables(spark, folder: str, docs, empty: bool = False) -> str:
         (11, "http://d.org/n", big), (12, "http://e.org", "a\r\n\r\nWARC/1.1\r\n" * 100)]
     spark.createDataFrame([(*p, 1, "z") for p in pages], "page_id long, url string, html string, file int, urlkey string"
                           ).coalesce(2).write.parquet(f"{folder}/pages.parquet")
+    talks = [] if empty else [(*t, "x", True, 1) for t in EDGE_TALKS]
+    spark.createDataFrame(talks, "conv_id long, turn long, role string, text string, symbols string, whole boolean, copies int"
+                          ).coalesce(2).write.parquet(f"{folder}/conversations.parquet")
     return folder
