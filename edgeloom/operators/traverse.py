@@ -21,12 +21,18 @@ from ..functions.predicates import has_neq
 from ..functions.projections import project_or_constant
 
 
-def start_by_names(vertices: DataFrame, names, label: str | None = None) -> DataFrame:
+def start_by_names(vertices: DataFrame, names, label: str | None = None, index=None) -> DataFrame:
     """``V().has([label,] 'name', within(names))`` -> the start vertices.
 
-    ``names`` is a list (literal IN) or a DataFrame of names (semi-join).
+    ``names`` is a list (literal IN) or a DataFrame of names (semi-join). With a name index
+    (``sinks.names.NameIndex``) the names' ids come from their buckets, and the vertices are read by id: for
+    listed names a pushed-down filter, that of a snapshot in id order skips files and row groups by.
     """
     v = vertices if label is None else vertices.where(F.col("label") == label)
+    if index is not None:
+        if isinstance(names, DataFrame):
+            return v.join(index.find(names.select(F.col(names.columns[0]).alias("name")), label).select("id"), "id", "left_semi")
+        return v.where(F.col("id").isin(index.ids(list(names), label)))
     if isinstance(names, DataFrame):
         return v.join(names.select(F.col(names.columns[0]).alias("name")), "name", "left_semi")
     return v.where(F.col("name").isin(list(names)))
@@ -91,14 +97,21 @@ def match_pattern(vertices: DataFrame, edges: DataFrame, a_label: str, edge_labe
 
 
 def neighbours_filtered(vertices: DataFrame, edges: DataFrame, names, label: str, pred: Column,
-                        start_label: str | None = None, props: Sequence[str] = ("name",)) -> DataFrame:
+                        start_label: str | None = None, props: Sequence[str] = ("name",),
+                        edges_in: DataFrame | None = None, index=None) -> DataFrame:
     """``V().has('name', within(names)).both(label).<pred>``.
 
     Output: start_id, nbr_id and the neighbour's ``props`` (bag: a
-    neighbour reached twice appears twice).
+    neighbour reached twice appears twice). ``edges_in``: the edges as laid out by end_id, which the in side
+    then reads. ``index``: a name index; listed names then become ids that both edge layouts are filtered by.
     """
-    start = start_by_names(vertices, names, start_label)
-    nb = both(edges, start, label)
+    if index is not None and not isinstance(names, DataFrame):
+        start = index.ids(list(names), start_label)
+    elif index is not None:
+        start = index.find(names.select(F.col(names.columns[0]).alias("name")), start_label)
+    else:
+        start = start_by_names(vertices, names, start_label)
+    nb = both(edges, start, label, edges_in)
     v = vertices.where(pred).select(F.col("id").alias("nbr_id"), *[F.col(p).alias(f"nbr_{p}") for p in props])
     return nb.join(v, "nbr_id")
 
@@ -129,15 +142,20 @@ def hub(edges: DataFrame, label: str, direction: str = "out") -> DataFrame:
 
 
 def pairs_report(vertices: DataFrame, edges: DataFrame, names, label: str, columns: dict[str, str],
-                 start_label: str | None = None, default: str = "null") -> DataFrame:
+                 start_label: str | None = None, default: str = "null", edges_in: DataFrame | None = None,
+                 index=None) -> DataFrame:
     """start/neighbour pairs as flat rows, missing properties as ``default``.
 
     ``columns`` maps output name -> ``m1.<prop>`` (start) or ``m2.<prop>``
-    (neighbour).
+    (neighbour). ``edges_in`` and ``index`` as in ``neighbours_filtered``.
     """
     props = sorted({src.split(".", 1)[1] for src in columns.values()})
-    start = start_by_names(vertices, names, start_label).select(
-        F.col("id").alias("start_id"), *[F.col(p).alias(f"m1.{p}") for p in props])
+    start = start_by_names(vertices, names, start_label, index)
+    if index is not None and not isinstance(names, DataFrame):
+        ids = index.ids(list(names), start_label)  # the edges are filtered by the same ids as the vertices
+        edges_in = (edges if edges_in is None else edges_in).where(F.col("end_id").isin(ids))
+        edges = edges.where(F.col("start_id").isin(ids))
+    start = start.select(F.col("id").alias("start_id"), *[F.col(p).alias(f"m1.{p}") for p in props])
     m2 = vertices.select(F.col("id").alias("nbr_id"), *[F.col(p).alias(f"m2.{p}") for p in props])
-    j = both_from(edges, start, label).join(m2, "nbr_id")
+    j = both_from(edges, start, label, edges_in).join(m2, "nbr_id")
     return project_or_constant(j, {out: f"`{src}`" for out, src in columns.items()}, default)

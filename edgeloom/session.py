@@ -42,15 +42,19 @@ def build_session(master: str | None = None, app: str = "edgeloom",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Read from the session (the context's directory or ``spark.checkpoint.dir``). A session that names none
-    gets a folder below its warehouse, which all executors share as well; never a machine-local one.
+    Read from the session (the context's directory or ``spark.checkpoint.dir``). A session that names none gets
+    a folder below its warehouse, if executors share that too: all of them in a local session, else a warehouse
+    in shared storage. On a cluster a warehouse that is a path of each machine is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
-    sc.setCheckpointDir(configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not configured and not sc.master.startswith("local") and (":" not in warehouse or warehouse.startswith("file:")):
+        raise ValueError(f"{CHECKPOINT_CONF} is not set, and executors may not share {warehouse}: name a shared folder")
+    sc.setCheckpointDir(configured or f"{warehouse}/_checkpoints")
     return sc.getCheckpointDir()
 
 

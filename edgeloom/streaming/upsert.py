@@ -9,10 +9,13 @@ was, and the batch runs again. Upserts are idempotent, so a batch that
 is repeated after it was published changes nothing.
 ``trigger(availableNow=True)`` runs a stream as a catch-up job.
 
-A version holds ``state`` (or the graph snapshot) and ``rejects``: the lines
+A version holds ``state`` (or a layer of the graph) and ``rejects``: the lines
 and keys the batch could not take, with the reason. A vertex or edge state is
-cut into ``PARTS`` parts by the hash of its key; a batch reads and writes only
-the parts that its keys fall into, the others stay where they are.
+cut into parts by extendible hashing (``sinks.parts``): a part is a prefix of
+the key's hash, the directory of parts is in the commit, and a part that would
+outgrow its bound is written as its children. A batch reads and writes only
+the parts that its keys fall into, the others stay where they are; two
+streams that write one base both get in, one after the other.
 
 "The last value wins" needs an order of lines: batch, then file, then the
 place in the file (block, position of the row in its block).
@@ -21,22 +24,20 @@ place in the file (block, position of the row in its block).
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.increment import increment_edges, increment_vertices, vertex_rejects
 from ..operators.merge import dangling_edges, merge_edges, merge_vertex_attrs, merge_vertices
 from ..schema import VERTEX_LABELS
 from ..session import freeze
-from ..sinks.tables import next_version, read_snapshot, write_snapshot
-from ..sinks.versions import current_commit, current_version, publish
+from ..sinks import layers
+from ..sinks.parts import PART_ROWS, merge_into_parts, read_parts
+from ..sinks.tables import next_version
+from ..sinks.versions import Commit, current_commit, publish_retrying
 from ..sources.text import parse_edge_rows, parse_vertex_lines, with_load_errors
 
 _PLACE = ["_file", "_block"]
-#: parts of a state: fixed, as the parts of all versions of a base have to agree
-PARTS = 256
 
 
 def lines_of_files(reader, path: str) -> DataFrame:
@@ -79,29 +80,22 @@ def _good(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("error").isNull())
 
 
-def _part(keys: list[str]):
-    return F.pmod(F.xxhash64(*keys), F.lit(PARTS)).cast("int")
-
-
-def read_state(spark: SparkSession, base: str, parts: list[str] | None = None) -> DataFrame | None:
-    """The current state below ``base`` (of the given parts only), or None where there is none."""
+def read_state(spark: SparkSession, base: str) -> DataFrame | None:
+    """The current state below ``base``, or None where there is none."""
     commit = current_commit(spark, base)
-    folders = [f for p, f in commit.parts.items() if parts is None or p in parts] if commit else []
-    return spark.read.parquet(*folders) if folders else None
+    return read_parts(spark, commit.parts) if commit else None
 
 
 def _upsert(spark: SparkSession, base: str, keys: list[str], delta: DataFrame, empty,
-            merge: Callable[[DataFrame, DataFrame], DataFrame], rejects: DataFrame) -> None:
+            merge: Callable[[DataFrame, DataFrame], DataFrame], rejects: DataFrame, part_rows: int) -> None:
     """Merge ``delta`` into the parts of the state that its keys touch, and publish the result."""
-    touched = [str(r[0]) for r in delta.dropna("any", subset=keys).select(_part(keys)).distinct().collect()]  # PARTS at most
-    state = read_state(spark, base, touched)
-    new = merge(spark.createDataFrame([], empty) if state is None else state, delta).withColumn("part", _part(keys))
-    out = next_version(base)
-    new.repartition("part").write.partitionBy("part").parquet(f"{out}/state")
-    rejects.write.parquet(f"{out}/rejects")
-    written = [str(r[0]) for r in spark.read.schema(new.schema).parquet(f"{out}/state").select("part").distinct().collect()]
-    last = current_commit(spark, base)
-    publish(spark, base, out, (last.parts if last else {}) | {p: f"{out}/state/part={p}" for p in written})
+    def make(last: Commit) -> dict:
+        out = next_version(base)
+        change = merge_into_parts(spark, last.parts, keys, delta, empty, merge, f"{out}/state", part_rows)
+        rejects.write.parquet(f"{out}/rejects")
+        return {"path": out} | change
+
+    publish_retrying(spark, base, make)
 
 
 def _columns_delta(parsed: DataFrame, columns: list[str], casts: dict[str, str]) -> DataFrame:
@@ -110,31 +104,32 @@ def _columns_delta(parsed: DataFrame, columns: list[str], casts: dict[str, str])
                                 *[value(c).alias(c) for c in columns], "ord")
 
 
-def upsert_vertices_batch(spark: SparkSession, base: str, columns: list[str],
-                          casts: dict[str, str] | None = None) -> Callable[[DataFrame, int], None]:
+def upsert_vertices_batch(spark: SparkSession, base: str, columns: list[str], casts: dict[str, str] | None = None,
+                          part_rows: int = PART_ROWS) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function folding vertex lines into the state at ``base``."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         parsed = _parsed_vertices(batch, batch_id)
         delta = _columns_delta(parsed, columns, casts or {})
-        _upsert(spark, base, ["label", "name"], delta, delta.drop("ord").schema, merge_vertices, _refused(parsed))
+        _upsert(spark, base, ["label", "name"], delta, delta.drop("ord").schema, merge_vertices, _refused(parsed), part_rows)
 
     return apply
 
 
-def upsert_open_vertices_batch(spark: SparkSession, base: str) -> Callable[[DataFrame, int], None]:
+def upsert_open_vertices_batch(spark: SparkSession, base: str,
+                               part_rows: int = PART_ROWS) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function folding vertex lines, with all their JSON
     properties, into an open-schema state (label, name, attrs) at ``base``."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         parsed = _parsed_vertices(batch, batch_id)
         delta = _good(parsed).select("label", F.col("attrs")["name"].alias("name"), "attrs", "ord")
         _upsert(spark, base, ["label", "name"], delta, "label string, name string, attrs map<string,string>",
-                merge_vertex_attrs, _refused(parsed))
+                merge_vertex_attrs, _refused(parsed), part_rows)
 
     return apply
 
 
-def upsert_edges_batch(spark: SparkSession, base: str,
-                       vertices: Callable[[], DataFrame]) -> Callable[[DataFrame, int], None]:
+def upsert_edges_batch(spark: SparkSession, base: str, vertices: Callable[[], DataFrame],
+                       part_rows: int = PART_ROWS) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function folding labelled edge lines into the edge state at ``base``.
 
     ``vertices()`` gives the vertices (name) known when the batch runs; edges with an unknown end are refused.
@@ -146,33 +141,29 @@ def upsert_edges_batch(spark: SparkSession, base: str,
         _upsert(spark, base, ["start_name", "label", "end_name"], delta,
                 "start_name string, label string, end_name string, mgm int",
                 lambda state, d: merge_edges(state, d, known, state_folded=True),
-                _refused(parsed).unionByName(_dangling(delta, known)))
+                _refused(parsed).unionByName(_dangling(delta, known)), part_rows)
 
     return apply
 
 
-def increment_graph_batch(spark: SparkSession, base: str, columns: list[str],
-                          casts: dict[str, str] | None = None) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function folding vertex and edge lines into the graph snapshot at ``base``.
+def increment_graph_batch(spark: SparkSession, base: str, columns: list[str], casts: dict[str, str] | None = None,
+                          fold_after: int = 8) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function folding vertex and edge lines into the layered graph at ``base`` (``sinks.layers``).
 
     Lines that begin with a quote are edges, others are vertices. New vertices get ids, edges are resolved
-    against old and new ones, and vertices and edges are published together, so traversals over the current
-    snapshot see the increment as a whole or not at all.
+    against old and new ones, and both are published together as one layer, so traversals over the current
+    version see the increment as a whole or not at all. After ``fold_after`` layers they are folded into the
+    parts they touch.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
         is_edge = F.coalesce(F.ltrim("value").startswith('"'), F.lit(False))
         v_lines = _parsed_vertices(batch.where(~is_edge), batch_id)
         e_lines = _parsed_edges(batch.where(is_edge), batch_id)
-        vertices, edges = read_snapshot(spark, current_version(spark, base))
-        v_delta = _columns_delta(v_lines, columns, casts or {})
+        refused = _refused(v_lines).unionByName(_refused(e_lines))
         e_delta = _good(e_lines).select("start_name", "label", "end_name", "mgm", "ord")
-        new = freeze(increment_vertices(vertices, v_delta), "next-vertices")
-        path = next_version(base)
-        write_snapshot(new, increment_edges(edges, new, e_delta), path)
-        keyed = vertex_rejects(vertices, v_delta).select(F.to_json(F.struct("label", "name")).alias("line"), "error")
-        rejects = [_refused(v_lines), _refused(e_lines), keyed, _dangling(e_delta, new)]
-        reduce(DataFrame.unionByName, rejects).write.parquet(f"{path}/rejects")
-        publish(spark, base, path)
+        done = layers.increment(spark, base, _columns_delta(v_lines, columns, casts or {}), e_delta, refused)
+        if len(layers.layers_of(done)) >= fold_after:
+            layers.fold_layers(spark, base)
 
     return apply
 
