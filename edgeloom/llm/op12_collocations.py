@@ -114,30 +114,31 @@ def summarise(chunk: Chunk, lang: str, buckets: int, max_words: int) -> Iterator
         yield bucket, planes(low[order]), planes(count[some][order].astype(np.uint32))
 
 
-def merge(key: np.ndarray, count: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Misra-Gries summaries, one after the other, as one of at most ``capacity`` entries."""
+def merge(key: np.ndarray, count: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Misra-Gries summaries, one after the other, as one of at most ``capacity`` entries, and what was taken off."""
     key, where = np.unique(key, return_inverse=True)
-    count = np.bincount(where, count, minlength=len(key)).astype(np.int64)
+    count, off = np.bincount(where, count, minlength=len(key)).astype(np.int64), 0
     if len(key) > capacity:
-        count = count - np.partition(count, len(count) - capacity - 1)[len(count) - capacity - 1]
-        key, count = key[count > 0], count[count > 0]
-    return key, count
+        off = int(np.partition(count, len(count) - capacity - 1)[len(count) - capacity - 1])
+        key, count = key[count > off], count[count > off] - off
+    return key, count, off
 
 
 def survivors(asked: list[tuple[bytes, bytes]], threshold: int) -> list[tuple[bytes, bytes]]:
-    """For each summary of a hash partition its keys that the merged summary still holds."""
+    """For each summary of a hash partition its keys that, by the merged summary, may reach the threshold."""
     counts = [unplanes(b, np.uint32) for _, b in asked]
     capacity = sum(int(c.sum(dtype=np.int64)) for c in counts) // threshold + 1
-    key, count = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
+    key, count, taken = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64), 0
     held_key, held_count, held = [], [], 0
     for (a, _), c in zip(asked, counts, strict=True):
         held_key.append(unplanes(a, np.uint32))
         held_count.append(c)
         held += len(c)
         if held > capacity:  # several small summaries are merged at a time
-            key, count = merge(np.concatenate([key, *held_key]), np.concatenate([count, *held_count]), capacity)
-            held_key, held_count, held = [], [], 0
-    key, _ = merge(np.concatenate([key, *held_key]), np.concatenate([count, *held_count]), capacity)
+            key, count, off = merge(np.concatenate([key, *held_key]), np.concatenate([count, *held_count]), capacity)
+            held_key, held_count, held, taken = [], [], 0, taken + off
+    key, count, off = merge(np.concatenate([key, *held_key]), np.concatenate([count, *held_count]), capacity)
+    key = key[count + taken + off >= threshold]
     out = []
     for a, _ in asked:
         mine = np.unique(unplanes(a, np.uint32))
