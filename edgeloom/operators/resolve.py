@@ -34,6 +34,32 @@ def resolve_edges(edges: DataFrame, start_vertices: DataFrame, end_vertices: Dat
     return j.select("start_id", "end_id", *extra)
 
 
+def frequent_names(edges: DataFrame, col: str, share: float = 0.01) -> list[str]:
+    """Names that may be on more than ``share`` of the edges at one end: a sketch of at most 1 / share entries, one pass."""
+    found = edges.where(F.col(col).isNotNull()).stat.freqItems([col], share).first()
+    return sorted(found[0] or []) if found else []
+
+
+def resolve_edges_split(edges: DataFrame, start_vertices: DataFrame, end_vertices: DataFrame, share: float = 0.01,
+                        salts: int = 64) -> DataFrame:
+    """J2 where names repeat on the id side too: the same rows as ``resolve_edges``.
+
+    The edges of heavy names (``frequent_names``, a bounded list) are dealt out over ``salts`` keys, and the id
+    rows of these names are there once for each, so neither many edges nor many vertices of one name meet in
+    one task. All other names have one key.
+    """
+    extra = [c for c in edges.columns if c not in ("start_name", "end_name", "label")]
+    out = edges.withColumn("_task", F.spark_partition_id())  # copies of an edge are dealt out by where they are read
+    for end, vertices in (("start", start_vertices), ("end", end_vertices)):
+        heavy = frequent_names(edges, f"{end}_name", share)
+        is_heavy = F.col(f"{end}_name").isin(heavy)
+        salt = F.pmod(F.xxhash64("start_name", "end_name", "_task"), F.lit(salts)).cast("int")
+        ids = _ids(vertices, end).withColumn("_salt", F.explode(F.when(is_heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
+            F.array(F.lit(0)))))
+        out = out.withColumn("_salt", F.when(is_heavy, salt).otherwise(F.lit(0))).join(ids, [f"{end}_name", "_salt"]).drop("_salt")
+    return out.select("start_id", "end_id", *extra)
+
+
 def unresolved_edges(edges: DataFrame, start_vertices: DataFrame, end_vertices: DataFrame) -> DataFrame:
     """The edges ``resolve_edges`` drops, each once: (start_name, end_name, missing).
 

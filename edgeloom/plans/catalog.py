@@ -32,7 +32,7 @@ def register(name: str, select: str | None = None, extra_ctes: str = ""):
 
 def _load_all():
     # importing the modules registers their queries
-    from . import q_layers, q_load, q_merge, q_query, q_round_trip  # noqa: F401
+    from . import q_layers, q_load, q_merge, q_query, q_records, q_round_trip  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

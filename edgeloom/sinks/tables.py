@@ -13,6 +13,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import freeze
 
@@ -31,14 +32,53 @@ def replace_table(df: DataFrame, name: str, bucket_by: tuple[str, ...] = (), buc
     w.saveAsTable(name)
 
 
+def create_swapped(df: DataFrame, name: str) -> None:
+    """K2 for tables that readers see whole at any time: the rows go to a table of their own, ``name`` is a view of it."""
+    stage = f"{name}__{uuid.uuid4().hex}"
+    df.write.mode("error").saveAsTable(stage)
+    _point(df.sparkSession, name, stage)
+
+
+def _point(spark: SparkSession, name: str, stage: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {stage}")
+
+
+def _stage_of(spark: SparkSession, name: str) -> str:
+    """The table that the view ``name`` of ``create_swapped`` points to."""
+    text = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'View Text'").first()["data_type"]
+    return text.split(" FROM ")[1].strip()
+
+
 def insert_overwrite(df: DataFrame, name: str) -> None:
     """K3: replace a table's contents, also when ``df`` reads that same table.
 
-    Spark refuses to overwrite a table its own query reads. The result is
-    first frozen in the checkpoint folder (which cuts the plan's link to the
-    table), then written over it.
+    For a view made by ``create_swapped`` the rows are written once, to a new table, and then the view is
+    pointed at it: a reader or a crash sees the old rows or the new ones. The old table stays, for
+    readers that still scan it, until ``drop_old_stages``.
+
+    A plain table has no such pointer: Spark refuses to overwrite a table its own query reads, so the result is
+    first frozen in the checkpoint folder (which cuts the plan's link to the table), then written over it.
     """
-    freeze(df).write.mode("overwrite").insertInto(name, overwrite=True)
+    spark = df.sparkSession
+    if spark.catalog.getTable(name).tableType != "VIEW":
+        freeze(df).write.mode("overwrite").insertInto(name, overwrite=True)
+        return
+    fields = spark.table(name).schema.fields
+    stage = f"{name}__{uuid.uuid4().hex}"
+    rows = df.toDF(*[f"c{i}" for i in range(len(fields))])  # by position, as an insert takes its columns
+    rows.select(*[F.col(f"c{i}").cast(f.dataType).alias(f.name) for i, f in enumerate(fields)]).write.mode("error").saveAsTable(stage)
+    _point(spark, name, stage)
+
+
+def drop_old_stages(spark: SparkSession, name: str) -> list[str]:
+    """Drop the tables that the view ``name`` no longer points to (no reader and no writer of it may be at work)."""
+    database, _, short = name.rpartition(".")
+    now = _stage_of(spark, name).rpartition(".")[2].strip("`").lower()
+    old = [t.name for t in spark.catalog.listTables(database or None)
+           if t.tableType != "VIEW" and t.name.lower().startswith(f"{short.lower()}__") and t.name.lower() != now]
+    for t in old:
+        spark.sql(f"DROP TABLE {f'{database}.{t}' if database else t}")
+    return old
 
 
 def write_snapshot(vertices: DataFrame, edges: DataFrame, path: str) -> None:
