@@ -12,6 +12,12 @@ adds a span.
 
 The potentials are trained piecewise (counts of labels by shape, of label
 pairs on chain edges and on skip edges), from the base spans of all documents.
+The patterns do not label everything: a token without a label that repeats or
+resembles a labelled one is hidden from the counts, not counted as "none". So
+skip potentials say how labels agree where they are known. And as the marks by
+which a pattern knows its entity may be what another form of it lacks, a share of
+the "none" counts of every shape (``doubt``) goes to the other labels, as common as they are: too little for
+an entity by itself, enough for one that a linked token is.
 
 Offsets are code points, ends exclusive. Edge cases: a null text counts as
 empty and has no spans (``base_sha256`` of the empty string). Repeated rows
@@ -104,6 +110,15 @@ def _shape(token: str, digits: str) -> str:
     return f"{size}|{dots}|{token.count('@') > 0:d}|{token[0] == '+':d}|{any(map(str.isalpha, token)):d}|{bool(good):d}|{ip:d}"
 
 
+def hidden(t: Tokens) -> np.ndarray:
+    """Tokens without a label that a skip edge links to a labelled one: what they are is not known."""
+    out = np.zeros(len(t.span), dtype=bool)
+    for a, b in t.skip:
+        out[a] |= not t.label[a] and t.label[b] > 0
+        out[b] |= not t.label[b] and t.label[a] > 0
+    return out
+
+
 def tokens_of(text: str, spans: list[tuple[int, int, int]]) -> Tokens:
     t = Tokens([], [], [], np.zeros(0, dtype=int), [], [])
     last, keys_at = 0, {}
@@ -203,8 +218,11 @@ def find(text: str, crf: Crf, threshold: float = 0.6) -> tuple[list, list]:
     return base, sorted([*base, *added], key=lambda s: (s[0], s[2]))
 
 
-def train(docs: DataFrame, text: str = "text") -> Crf:
-    """Potentials from counts over all documents; the counts are few (shapes and label pairs)."""
+def train(docs: DataFrame, text: str = "text", doubt: float = 0.05) -> Crf:
+    """Potentials from counts over all documents; the counts are few (shapes and label pairs).
+
+    ``doubt``: share of the tokens no pattern labels that may be personal data all the same.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter = Counter()
         for b in batches:
@@ -212,9 +230,10 @@ def train(docs: DataFrame, text: str = "text") -> Crf:
                 doc = value.as_py()
                 if doc and _HINT.search(doc):
                     t = tokens_of(doc, base_spans(doc))
-                    n.update(("unary", s, int(y)) for s, y in zip(t.shape, t.label, strict=True))
+                    unknown = hidden(t)
+                    n.update(("unary", s, int(y)) for s, y, skip in zip(t.shape, t.label, unknown, strict=True) if not skip)
                     for name, edges in (("chain", t.chain), ("skip", t.skip)):
-                        n.update((name, str(t.label[i]), int(t.label[j])) for i, j in edges)
+                        n.update((name, str(t.label[i]), int(t.label[j])) for i, j in edges if not (unknown[i] or unknown[j]))
         yield pa.RecordBatch.from_pydict(
             {"part": [k[0] for k in n], "key": [k[1] for k in n], "label": [k[2] for k in n], "n": list(n.values())},
             pa.schema([("part", pa.string()), ("key", pa.string()), ("label", pa.int64()), ("n", pa.int64())]))
@@ -224,21 +243,23 @@ def train(docs: DataFrame, text: str = "text") -> Crf:
     width = len(LABELS)
     unary: dict[str, np.ndarray] = {}
     pairs = {"chain": np.full((width, width), 0.5), "skip": np.full((width, width), 0.5)}
-    pairs["skip"] += np.eye(width) * 5  # prior: repeated tokens agree
     for r in got:
         if r["part"] == "unary":
             unary.setdefault(r["key"], np.full(width, 0.1))[r["label"]] += r["n"]
         else:
             pairs[r["part"]][int(r["key"]), r["label"]] += r["n"]
-    total = np.log(sum(unary.values(), np.full(width, 0.1)))
+    kinds = sum(unary.values(), np.full(width, 0.1))[1:]
+    doubted = np.concatenate([[1 - doubt], doubt * kinds / kinds.sum()])  # of a token that no pattern labels
+    for v in unary.values():
+        v += v[0] * (doubted - np.eye(width)[0])
 
-    def association(c: np.ndarray) -> np.ndarray:
+    def association(c: np.ndarray, most: float) -> np.ndarray:
         """Log of observed over expected under independence: 0 where a pair says nothing."""
         c = (c + c.T) / 2
-        return np.clip(np.log(c * c.sum() / np.outer(c.sum(1), c.sum(0))), -4, 4)
+        return np.clip(np.log(c * c.sum() / np.outer(c.sum(1), c.sum(0))), -most, most)
 
-    return Crf({k: np.log(v / v.sum()) for k, v in unary.items()}, total - np.logaddexp.reduce(total),
-               association(pairs["chain"]), association(pairs["skip"]))
+    return Crf({k: np.log(v / v.sum()) for k, v in unary.items()}, np.log(doubted),
+               association(pairs["chain"], 4), association(pairs["skip"], 6))
 
 
 RESULT_DDL = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
