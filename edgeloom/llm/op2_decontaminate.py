@@ -5,7 +5,8 @@ items (an item of fewer words is one pattern). Patterns of one length form a
 matcher: a shift table over blocks of two words says how far the search may
 jump, patterns that end with the block are bucketed by it and by their first
 words, and a direct comparison of all words confirms an occurrence. One-word
-patterns have no block of two; they use blocks of one.
+patterns have no block of two; they use blocks of one. Words are numbers, all
+tables are flat arrays: some 40 bytes a benchmark word, and its vocabulary once.
 
 The patterns are the stated query set, and go to the executors in blocks of
 at most ``block_words`` words, so a broadcast never exceeds that size however
@@ -22,14 +23,17 @@ each. Other columns of either table are not read, except that
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .frames import columns, free_name, map_batches, table, written
+from .words import mix
 
 WINDOW = 13
 #: ASCII separators become spaces, A-Z become a-z; all other bytes stay
@@ -42,54 +46,99 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class WuManber:
-    """Finds all patterns of one length in a list of words."""
-
-    def __init__(self, length: int, patterns: dict[tuple[bytes, ...], list[int]]):
-        self.length, self.block = length, min(2, length)
-        self.shift: dict[tuple[bytes, ...], int] = {}
-        self.bucket: dict[tuple[bytes, ...], dict[tuple[bytes, ...], list]] = {}
-        for p, items in patterns.items():
-            for end in range(self.block, length + 1):
-                key = p[end - self.block:end]
-                self.shift[key] = min(self.shift.get(key, length), length - end)
-            self.bucket.setdefault(p[-self.block:], {}).setdefault(p[:self.block], []).append((p, items))
-
-    def find(self, words: list[bytes]) -> Iterator[tuple[int, list[int]]]:
+    """Finds all patterns of one length, the windows of some items, in a sequence of word numbers."""
+
+    def __init__(self, length: int, vocabulary: dict[bytes, int], flat: np.ndarray, first: np.ndarray, size: np.ndarray,
+                 items: list[int | None]):
+        """``flat``: the words of all items; ``first``, ``size``: where the items of this length are in it, and how many
+        words they have; ``items``: their ids."""
+        self.length, self.block, self.vocabulary, self.flat, self.items = length, min(2, length), vocabulary, flat, items
+        owner = np.repeat(np.arange(len(first)), size)
+        offset = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+        keys = self._keys(flat)
+        # shift of a block: how far the nearest end of a pattern after it is, in any item
+        inside = offset + self.block <= size[owner]
+        at, step = (first[owner] + offset)[inside], np.maximum(0, length - self.block - offset[inside])
+        order = np.lexsort((step, keys[at]))
+        key = keys[at][order]
+        new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, dtype=bool)
+        self.shift_key, self.shift = key[new], step[order][new].astype(np.int32)
+        # patterns, bucketed by their last and first block
+        window = offset + length <= size[owner]
+        start, item = (first[owner] + offset)[window], owner[window].astype(np.int32)
+        bucket = self._bucket(keys[start + length - self.block], keys[start])
+        order = np.argsort(bucket, kind="stable")
+        self.bucket, self.start, self.item = bucket[order], start[order], item[order]
+
+    def _keys(self, words: np.ndarray) -> np.ndarray:
+        """The block that begins at each word, as a number; -1 if a word is unknown (or the block would not end)."""
+        if self.block == 1:
+            return words.astype(np.int64)
+        out = np.full(len(words), -1, dtype=np.int64)
+        if len(words) > 1:
+            a, b = words[:-1].astype(np.int64), words[1:].astype(np.int64)
+            out[:-1] = np.where((a < 0) | (b < 0), -1, a * len(self.vocabulary) + b)
+        return out
+
+    @staticmethod
+    def _bucket(last: np.ndarray, first: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix(last.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ first.astype(np.uint64))
+
+    def find(self, words: np.ndarray) -> Iterator[tuple[int, list[int]]]:
         """(start, items) of each occurrence, by start."""
         m, b, n = self.length, self.block, len(words)
-        get, far = self.shift.get, self.length - self.block + 1
-        end = m
+        if n < m or not len(self.start):
+            return
+        keys = self._keys(words)
+        place = np.minimum(np.searchsorted(self.shift_key, keys), len(self.shift_key) - 1)
+        steps = np.where(self.shift_key[place] == keys, self.shift[place], m - b + 1).tolist()
+        ends, end = [], m
         while end <= n:
-            block = tuple(words[end - b:end])
-            step = get(block, far)
+            step = steps[end - b]
             if step:
                 end += step
-                continue
-            start = end - m
-            for pattern, items in self.bucket[block].get(tuple(words[start:start + b]), ()):
-                if tuple(words[start:end]) == pattern:
-                    yield start, items
-            end += 1
+            else:
+                ends.append(end)
+                end += 1
+        if not ends:
+            return
+        start = np.array(ends) - m
+        bucket = self._bucket(keys[start + m - b], keys[start])
+        low, high = np.searchsorted(self.bucket, bucket, "left"), np.searchsorted(self.bucket, bucket, "right")
+        for at, i, j in zip(start.tolist(), low.tolist(), high.tolist(), strict=True):
+            hits = [k for k in range(i, j) if np.array_equal(self.flat[self.start[k]:self.start[k] + m], words[at:at + m])]
+            if hits:
+                ids = {self.items[self.item[k]] for k in hits}
+                yield at, sorted(i for i in ids if i is not None)
 
 
 def matchers(items: Iterable[tuple[int | None, str | None]], window: int = WINDOW) -> list[WuManber]:
-    by_length: dict[int, dict[tuple[bytes, ...], list[int]]] = {}
+    """A matcher for each pattern length: the windows of items, and whole items of fewer words."""
+    vocabulary: dict[bytes, int] = {}
+    flat, sizes, ids = array("i"), [], []
     for item, text in items:
         words = words_of(text)
-        size = min(window, len(words))
-        for i in range(len(words) - size + 1 if size else 0):
-            ids = by_length.setdefault(size, {}).setdefault(tuple(words[i:i + size]), [])
-            if item is not None and item not in ids:
-                ids.append(item)
-    return [WuManber(n, p) for n, p in sorted(by_length.items())]
+        flat.extend(vocabulary.setdefault(w, len(vocabulary)) for w in words)
+        sizes.append(len(words))
+        ids.append(item)
+    flat, size = np.frombuffer(flat, dtype=np.int32) if flat else np.zeros(0, dtype=np.int32), np.array(sizes, dtype=np.int64)
+    first, out = np.cumsum(size) - size, []
+    for length in np.unique(np.minimum(size, window)).tolist():
+        if length:
+            mine = np.flatnonzero(np.minimum(size, window) == length)
+            out.append(WuManber(length, vocabulary, flat, first[mine], size[mine], [ids[k] for k in mine]))
+    return out
 
 
 def search(text: str | None, found: list[WuManber]) -> tuple[int, list[tuple[int, int]], set[int]]:
     """(words, merged hit spans in words, items with occurrences) of one whole text."""
     words = words_of(text)
     spans, items = [], set()
+    known = found[0].vocabulary.get if found else None
+    numbers = np.array([known(w, -1) for w in words], dtype=np.int32) if found else None
     for matcher in found:
-        for start, ids in matcher.find(words):
+        for start, ids in matcher.find(numbers):
             spans.append((start, start + matcher.length))
             items.update(ids)
     return len(words), merge_spans(spans), items

@@ -161,6 +161,7 @@ class Index:
 
     folder: str
     parts: list[tuple[tuple[bytes, bool, int], str, int, int]]  # first key, file, directory offset and length
+    records: int  # bytes of all records in the archives
 
 
 def write_index(captures: DataFrame, folder: str, block_lines: int = 256) -> Index:
@@ -197,7 +198,8 @@ def write_index(captures: DataFrame, folder: str, block_lines: int = 256) -> Ind
     rows = captures.repartitionByRange("urlkey", "page_id").sortWithinPartitions("urlkey", "page_id")
     parts = written(rows.mapInArrow(run, _CAPTURE_DDL), "warc-index")
     got = parts.collect()  # one row per partition of the index
-    return Index(folder, sorted(((_order(r[0], r[1]), r[2], r[3], r[4]) for r in got)))
+    records = captures.agg(F.sum("length")).first()[0] or 0
+    return Index(folder, sorted(((_order(r[0], r[1]), r[2], r[3], r[4]) for r in got)), records)
 
 
 class _Reader:
@@ -257,10 +259,11 @@ class _Search:
             part += 1
 
 
-def lookup(queries: DataFrame, index: Index, archives: str) -> DataFrame:
+def lookup(queries: DataFrame, index: Index, archives: str, task_bytes: int = 8 << 20) -> DataFrame:
     """Records of the captures of each (url, page_id) of ``queries``, read back from the archives.
 
-    Returns page_id, payload_bytes, payload_digest, record_type, refers_to.
+    Returns page_id, payload_bytes, payload_digest, record_type, refers_to. The queries go to as many tasks as
+    the archives have ``task_bytes``: what is read is records, not the few bytes of a query.
     """
     keyed = add_columns(queries.select("page_id", "url"), "urlkey string", "url",
                         lambda col: {"urlkey": pa.array([url_key(u.as_py()) for u in col], pa.string())})
@@ -279,7 +282,7 @@ def lookup(queries: DataFrame, index: Index, archives: str) -> DataFrame:
         cdx.close()
         warc.close()
 
-    return (keyed.repartitionByRange("urlkey", "page_id").sortWithinPartitions("urlkey", "page_id")
+    return (keyed.repartitionByRange(max(1, -(-index.records // task_bytes)), "urlkey", "page_id").sortWithinPartitions("urlkey", "page_id")
             .mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"))
 
 

@@ -2,13 +2,13 @@
 
 Templates are word sequences with a mandatory key phrase. The inverse
 document frequency of every template word is counted over all documents; a
-template is indexed by the positions of its highest-IDF words, among them the
-rarest word of its key phrase. A document looks up its licence words in the
-postings; entries that agree on the relative position (word position in the
-document minus position in the template) make one alignment, which counts
-only if the key phrase stands there word for word. The score of an alignment
-is the IDF share of the template's words that stand in place. Every phrase
-occurrence holds an indexed word, so none is missed.
+template is indexed by the positions of the highest-IDF words of its key
+phrase. A document's words are looked up by the rarest word of a phrase; that
+word's relative positions (in the document minus in the template) are then
+intersected with those of the phrase's next rarest words, until none is left
+or all agree. An alignment that remains counts only if the key phrase stands there
+word for word. Its score is the IDF share of the template's words that stand in
+place. An occurrence of the phrase holds all of its words, so none is missed.
 
 The three base phrases are templates of their own. Edge cases: a null or
 empty text has no words, no labels, score 0 and null first and last word.
@@ -78,32 +78,44 @@ def document_frequency(docs: DataFrame, templates=TEMPLATES) -> tuple[int, dict[
 
 
 class Index:
-    """Postings of each template's rare words, and what verifies an alignment."""
+    """Positions of the rare words of each template's key phrase, and what verifies an alignment."""
 
-    def __init__(self, n_docs: int, frequency: dict[str, int], templates=TEMPLATES, base=BASE, rare_words: int = 4):
+    def __init__(self, n_docs: int, frequency: dict[str, int], templates=TEMPLATES, base=BASE, rare_words: int = 3):
         def idf(w: bytes) -> float:
             return math.log((1 + n_docs) / (1 + frequency.get(w.decode(), 0))) + 1e-3
 
-        self.postings: dict[bytes, list[tuple[int, int]]] = {}
-        self.templates = []
+        self.by_rarest: dict[bytes, list[int]] = {}
+        self.indexed: set[bytes] = set()
+        self.templates, self.rare = [], []
         base_labels = {label for label, _, _ in base}
         for k, (label, text, phrase) in enumerate(templates):
             words, key = words_of(text), words_of(phrase)
             at = next(i for i in range(len(words)) if words[i:i + len(key)] == key)
             self.templates.append((label, words, [idf(w) for w in words], at, key, label in base_labels))
-            ranked = sorted(set(words), key=lambda w: (-idf(w), w))
-            rare = {*ranked[:rare_words], min(key, key=lambda w: (-idf(w), w))}
-            for i, w in enumerate(words):
-                if w in rare:
-                    self.postings.setdefault(w, []).append((k, i))
+            ranked = sorted(range(at, at + len(key)), key=lambda i: (-idf(words[i]), words[i], i))[:rare_words]
+            self.rare.append([(i, words[i]) for i in ranked])
+            self.by_rarest.setdefault(words[ranked[0]], []).append(k)
+            self.indexed.update(words[i] for i in ranked)
+
+    def alignments(self, words: list[bytes]) -> Iterator[tuple[int, int]]:
+        """(template, shift) where all indexed words of the template's phrase stand in place."""
+        where: dict[bytes, list[int]] = {}
+        for at, w in enumerate(words):
+            if w in self.indexed:
+                where.setdefault(w, []).append(at)
+        for w in where.keys() & self.by_rarest.keys():
+            for k in self.by_rarest[w]:
+                (first, _), *others = self.rare[k]
+                shifts = {at - first for at in where[w]}
+                for i, other in others:
+                    shifts &= {at - i for at in where.get(other, ())} if shifts else shifts
+                yield from ((k, shift) for shift in shifts)
 
     def scan(self, text: str | None) -> tuple[int, list[tuple[int, int]], dict[str, float]]:
         """(words, (template, key phrase start) of base templates, best score of each label)."""
         words = words_of(text)
-        postings = self.postings
-        aligned = {(k, at - i) for at, w in enumerate(words) if w in postings for k, i in postings[w]}
         places, labels = [], {}
-        for k, shift in aligned:
+        for k, shift in self.alignments(words):
             label, template, weight, at, key, is_base = self.templates[k]
             start = shift + at
             if start < 0 or words[start:start + len(key)] != key:
