@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from .frames import written
 from .words import row_groups, text_buffers
 
-CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 4 << 20
+#: a chunk is what a Python worker holds at a time, some 40 times its bytes at the peak
+CHUNK_BYTES, BUCKET_BYTES = 2 << 20, 4 << 20
 CHUNK_DDL = "chunk long, raw_bytes long, ids binary, known binary, lengths binary, texts binary"
 _CHUNK = pa.schema([("chunk", pa.int64()), ("raw_bytes", pa.int64()), ("ids", pa.binary()), ("known", pa.binary()),
                     ("lengths", pa.binary()), ("texts", pa.binary())])
@@ -102,12 +103,13 @@ def by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(bucket[order[a]]), order[a:z]
 
 
-def exchange(chunks: DataFrame, ask: Callable[[Chunk, dict], Iterator[tuple[int, bytes, bytes]]],
+def exchange(chunks: DataFrame, buckets: int, ask: Callable[[Chunk, dict], Iterator[tuple[int, bytes, bytes]]],
              answer: Callable[[list[tuple[bytes, bytes]]], list[tuple[bytes, bytes]]]) -> DataFrame:
     """Stored answers, one row per chunk: (chunk, replies array<struct<bucket, a, b>>).
 
     ``ask(chunk, row)`` yields (bucket, keys, values) of a chunk; ``answer`` gets the (keys, values) of all chunks
-    for one bucket, and returns one (keys, values) for each, in order; empty keys mean no answer.
+    for one bucket, and returns one (keys, values) for each, in order; empty keys mean no answer. The answers are
+    written by a task a bucket at most.
     """
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -119,7 +121,8 @@ def exchange(chunks: DataFrame, ask: Callable[[Chunk, dict], Iterator[tuple[int,
                     names=["bucket", "chunk", "a", "b"])
 
     def gather(t: pa.Table) -> pa.Table:
-        got = answer(list(zip(t.column("a").to_pylist(), t.column("b").to_pylist(), strict=True)))
+        views = [[v.as_buffer() for v in t.column(c)] for c in ("a", "b")]  # of the batch's bytes, not copies
+        got = answer(list(zip(*views, strict=True)))
         keep = pa.array([k for k, (a, _) in enumerate(got) if a], pa.int64())
         return pa.Table.from_arrays([t.column("bucket").take(keep), t.column("chunk").take(keep),
                                      pa.array([a for a, _ in got if a], pa.binary()),
@@ -128,7 +131,7 @@ def exchange(chunks: DataFrame, ask: Callable[[Chunk, dict], Iterator[tuple[int,
 
     ddl = "bucket long, chunk long, a binary, b binary"
     replies = chunks.mapInArrow(send, ddl).groupBy("bucket").applyInArrow(gather, ddl)
-    return written(replies.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "a", "b")).alias("replies")), "replies")
+    return written(replies.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "a", "b")).alias("replies")), "replies", files=buckets)
 
 
 def with_replies(chunks: DataFrame, replies: DataFrame) -> DataFrame:

@@ -17,10 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
-    """``df`` as a Parquet table under the shared checkpoint folder: cuts lineage, gives real sizes."""
+def written(df: DataFrame, name: str, by: list[str] | None = None, files: int | None = None) -> DataFrame:
+    """``df`` as a Parquet table under the shared checkpoint folder: cuts lineage, gives real sizes.
+
+    ``files``: tasks that write it at most, for a table known to be small (a task for a few rows costs more than these).
+    """
     path = fresh_path(df.sparkSession, name)
-    writer = df.write
+    writer = (df.coalesce(files) if files else df).write
     (writer.partitionBy(*by) if by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

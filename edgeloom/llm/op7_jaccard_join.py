@@ -14,18 +14,22 @@ Set relations save the rest of the work:
 * Index lists then serve only pairs of different components: lists of one
   component are skipped, a pair whose sets were both compared with one
   pivot is derived from those answers (Jaccard distance is a metric: the pair
-  is too far if its distances differ by more than 1 - t), and lists are cut
-  into blocks by position that are skipped where the tokens left after the
-  position cannot make up the overlap. Only what remains is compared.
+  is too far if its distances differ by more than 1 - t). Lists are in order of
+  component and position and are cut into blocks of ``_BLOCK`` entries, rows of
+  their own, so a list of any length is many tasks' work; of two blocks of a
+  list those are skipped that hold one component, or where the tokens left after
+  the position cannot make up the overlap. Only what remains is compared.
 
 So components of copies of any size need one comparison a set, and pairs inside
 a component are not made for them; ``jaccard_components`` (and the pipeline's
 stage) stops there. The join goes on: every link lies inside a component, so
-the sets of each component are cut into blocks of similar ones, and all pairs
-of a block, and of two blocks whose index entries leave room for the overlap,
-are compared, a block pair as one product of 0/1 matrices. ``jaccard_links``
-gives those links between classes of equal sets, ``jaccard_join`` the number
-of links of each document. All comparisons are exact on the hashes.
+the sets of each component are cut into blocks of similar ones, and blocks
+whose index entries leave room for the overlap meet. There the answers of one set,
+the block's pivot, are computed against all sets of the other block, and those
+of the sets like it are derived from them: the pivot's overlap, less the tokens a
+set lacks, plus those it has more. ``jaccard_links`` gives the links between
+classes of equal sets, ``jaccard_join`` the number of links of each document. All
+comparisons are exact on the hashes.
 
 Edge cases: a null or empty text has the empty set, n_shingles 0 and links
 with nothing; fewer words than a shingle make one shingle of all of them.
@@ -54,8 +58,8 @@ from .frames import columns, table, written
 from .words import SPACES, Splitter, mix, windows
 
 _SPLIT = Splitter(SPACES, lower=True)
-_BLOCK = 64
-#: sets and tokens of a block of one component, and cells of a matrix of 0 and 1
+#: entries of a block of an index list; sets and tokens of a block of one component, and cells of a matrix of 0 and 1
+_BLOCK = 256
 _GROUP, _GROUP_TOKENS, _CELLS = 256, 1 << 17, 1 << 22
 _SAME = ["n", "d1", "d2"]
 
@@ -185,64 +189,89 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long, common long, total long")
 
 
-def _list_pairs(rep, n, pos, part, pivot, share, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Candidate pairs (a < b) of one index list, between different components only.
+_LIST_DDL = "block long, token long, low long, high long, room long, few long, most long, entries binary"
 
-    The sets outside the list's largest component meet the whole list, block by block of falling room
-    (tokens from the position on): a block without enough room for the smallest possible overlap is skipped.
+
+def list_blocks(lists: DataFrame) -> DataFrame:
+    """Blocks of at most ``_BLOCK`` entries of one list each, by component and falling room (tokens from the position on).
+
+    ``lists``: (token, rep, n, pos, part, pivot, share). ``entries``: rep, n, room, part, pivot as rows of longs, and share as
+    the bits of doubles. Range partitions cut a long list, so no task holds all of it.
     """
-    label, where, size = np.unique(part, return_inverse=True, return_counts=True)
-    if len(label) < 2:
-        return
-    room = n - pos
-    order = np.argsort(-room, kind="stable")
-    rep, n, pos, part, pivot, share, room = (x[order] for x in (rep, n, pos, part, pivot, share, room))
-    big = label[size.argmax()]
-    for i in np.flatnonzero(part != big):
-        for k in range(0, len(rep), _BLOCK):
-            if 100 * room[k] < percent * n[i]:  # the overlap must reach that share of the larger set
-                break
-            j = slice(k, k + _BLOCK)
-            least = -(-percent * (n[i] + n[j]) // (100 + percent))
-            ok = (part[j] != part[i]) & (np.minimum(room[i], room[j]) >= least)
-            ok &= (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
-            ok &= ((part[j] == big) | (rep[j] > rep[i]))  # pairs of two small components once
-            ok &= ~((pivot[j] == pivot[i]) & (np.abs(share[j] - share[i]) > 1 - percent / 100 + 1e-9))
-            hit = rep[j][ok]
-            if len(hit):
-                yield np.minimum(rep[i], hit), np.maximum(rep[i], hit)
-
-
-def candidates(lists: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) from postings (token, rep, n, pos, part, pivot, share), list after list."""
-    cols = ("rep", "n", "pos", "part", "pivot", "share")
+    order = ["token", "part", "back", "rep"]
+    rows = lists.select("token", "part", F.expr("pos - n").alias("back"), "rep", "n", "pivot", "share")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
+        held: list[np.ndarray] = []  # rows of (token, rep, n, room, part, pivot, share)
+
+        def blocks(entries: np.ndarray, last: bool) -> tuple[list, np.ndarray]:
+            """Rows of whole blocks, and the entries after them, as more of their list may come."""
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(entries[0])) + 1, [entries.shape[1]]]) if entries.shape[1] else [0]
+            out, a = [], 0
+            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                for a in range(x, y, _BLOCK):
+                    if not last and y == entries.shape[1] and y - a < _BLOCK:
+                        return out, entries[:, a:]
+                    e = entries[:, a:min(a + _BLOCK, y)]
+                    out.append((uuid.uuid4().int >> 65, e[0, 0], e[4].min(), e[4].max(), e[3].max(), e[2].min(), e[2].max(), e[1:].tobytes()))
+            return out, entries[:, :0]
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            whole = [np.concatenate([h[c] for h in held]) for c in cols]
-            for a, b in _list_pairs(*whole, percent):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-            held.clear()
+        for b in batches:
+            c = {n: b.column(n).to_numpy() for n in b.schema.names}
+            held.append(np.stack([c["token"], c["rep"], c["n"], -c["back"], c["part"], c["pivot"], c["share"].view(np.int64)]))
+            out, rest = blocks(np.concatenate(held, axis=1), False)
+            held = [rest]
+            if out:
+                yield _columns(out, _LIST_DDL)
+        if held and held[0].shape[1]:
+            yield _columns(blocks(np.concatenate(held, axis=1), True)[0], _LIST_DDL)
+
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, _LIST_DDL)
+
+
+def _columns(rows: list[tuple], ddl: str) -> pa.RecordBatch:
+    """Rows as a batch with the columns of ``ddl``, whose types are long and binary."""
+    fields = [f.strip().split(" ") for f in ddl.split(",")]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.binary() if t == "binary" else pa.int64())
+                                       for k, (_, t) in enumerate(fields)], names=[n for n, _ in fields])
+
+
+def _block_pairs(x: np.ndarray, y: np.ndarray, same: bool, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (a < b) of entries of two blocks (or inside one) that the components, bounds and pivots leave open."""
+    share_x, share_y = x[5].view(np.float64), y[5].view(np.float64)
+    for i in range(x.shape[1]):
+        j = slice(i + 1, None) if same else slice(None)
+        rep, n, room, part, pivot = y[:5, j]
+        least = -(-percent * (x[1, i] + n) // (100 + percent))
+        ok = (part != x[3, i]) & (np.minimum(x[2, i], room) >= least)
+        ok &= 100 * np.minimum(x[1, i], n) >= percent * np.maximum(x[1, i], n)
+        ok &= ~((pivot == x[4, i]) & (np.abs(share_y[j] - share_x[i]) > 1 - percent / 100 + 1e-9))
+        hit = rep[ok]
+        if len(hit):
+            yield np.minimum(x[0, i], hit), np.maximum(x[0, i], hit)
+
+
+def candidates(blocks: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) from the stored blocks of index lists: inside each block, and between blocks of a list."""
+    several = blocks.groupBy("token").count().where("count > 1").select("token")
+    head = blocks.join(several, "token", "left_semi")
+    x, y = (head.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("block", "low", "high", "room", "few", "most"))) for k in "xy")
+    near = x.join(y, "token").where(
+        f"block_x < block_y and (low_x < high_x or low_y < high_y or low_x <> low_y) "
+        f"and {100 + percent} * least(room_x, room_y) >= {percent} * (few_x + few_y) "
+        f"and 100 * most_x >= {percent} * few_y and 100 * most_y >= {percent} * few_x").select("block_x", "block_y")
+    one, two = (blocks.select(F.col("block").alias(f"block_{k}"), F.col("entries").alias(k)) for k in "xy")
+    pairs = near.join(one, "block_x").join(two, "block_y").select("x", "y")
+    inside = blocks.where("low < high").select(F.col("entries").alias("x"), F.lit(None).cast("binary").alias("y"))
 
-        token = None
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            t = b.column("token").to_numpy()
-            data = {c: b.column(c).to_numpy() for c in cols}
-            edges = np.flatnonzero(np.diff(t)) + 1
-            for x, y in zip([0, *edges], [*edges, len(t)], strict=True):
-                if x == y:
-                    continue
-                if held and t[x] != token:
-                    yield from flush()
-                token = t[x]
-                held.append({c: v[x:y] for c, v in data.items()})
-        if held:
-            yield from flush()
+            for x, y in zip(b.column("x"), b.column("y"), strict=True):
+                x, y = (None if v.as_buffer() is None else np.frombuffer(v.as_buffer(), dtype=np.int64).reshape(6, -1) for v in (x, y))
+                for a, z in _block_pairs(x, x if y is None else y, y is None, percent):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(z)], names=["a", "b"])
 
-    rows = lists.select("token", *cols).repartition("token").sortWithinPartitions("token", "rep")
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    return pairs.unionByName(inside).mapInArrow(run, "a long, b long").distinct()
 
 
 @dataclass
@@ -254,22 +283,23 @@ class Found:
     index: DataFrame  # (token, rep, n, pos)
     met: DataFrame    # (a, b, common, total): a set and its pivot
     parts: DataFrame  # (node, component) of every rep that has a link
+    files: int        # of a table, at most
 
 
 def find_components(docs: DataFrame, size: int, percent: int) -> Found:
     chunks = pack(docs)
-    buckets = buckets_for(chunks)
-    replies = exchange(chunks, lambda c, _: ask_frequency(c, buckets, size), answer_frequency)
+    buckets = files = buckets_for(chunks)  # tables after the chunks are no larger than the texts
+    replies = exchange(chunks, buckets, lambda c, _: ask_frequency(c, buckets, size), answer_frequency)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in rows_of(b):
                 yield ordered_sets(unpack(r), r["replies"], buckets, size, percent)
 
-    rows = written(with_replies(chunks, replies).mapInArrow(run, _SETS_DDL), "sets")
+    rows = written(with_replies(chunks, replies).mapInArrow(run, _SETS_DDL), "sets", files=files)
     sets = written(rows.where("tokens is not null").groupBy(*_SAME).agg(
-        F.min("doc_id").alias("rep"), F.first("alone").alias("alone"), F.first("tokens").alias("tokens")), "classes")
-    index = written(postings(sets, percent), "postings")
+        F.min("doc_id").alias("rep"), F.first("alone").alias("alone"), F.first("tokens").alias("tokens")), "classes", files=files)
+    index = written(postings(sets, percent), "postings", files=files)
 
     # each set meets its pivot
     lists = index.groupBy("token").agg(F.min(F.struct("rep", "n")).alias("first"), F.count("*").alias("size"))
@@ -277,21 +307,22 @@ def find_components(docs: DataFrame, size: int, percent: int) -> Found:
     pivots = (index.join(lists, "token").where("rep > b")
               .where(f"100 * least(n, m) >= {percent} * greatest(n, m)")
               .groupBy(F.col("rep").alias("a")).agg(F.min("b").alias("b")))
-    met = written(compare(written(pivots, "pivots"), sets), "met")
+    met = written(compare(written(pivots, "pivots", files=files), sets), "met", files=files)
     linked = f"100 * common >= {percent} * total"
     links = met.where(linked).select("a", "b")
-    parts = components(links)
+    parts = components(links, files)
 
     # pairs of different components that the answers so far leave open
     known = (index.select("rep").distinct().join(parts, F.col("rep") == F.col("node"), "left")
              .join(met, F.col("rep") == F.col("a"), "left")
              .select("rep", F.coalesce("component", "rep").alias("part"), F.coalesce("b", "rep").alias("pivot"),
                      F.when(F.col("b").isNull(), 1.0).otherwise(F.col("common") / F.col("total")).alias("share")))
-    placed = written(index.join(known, "rep"), "placed")
+    placed = written(index.join(known, "rep"), "placed", files=files)
     mixed = placed.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
     open_lists = placed.join(mixed.select("token"), "token", "left_semi")
-    more = compare(written(candidates(open_lists, percent), "candidates"), sets).where(linked).select("a", "b")
-    return Found(rows, sets, index, met, components(written(links.union(more), "links")))
+    blocks = written(list_blocks(open_lists), "list-blocks", files=files)
+    more = compare(written(candidates(blocks, percent), "candidates", files=files), sets).where(linked).select("a", "b")
+    return Found(rows, sets, index, met, components(written(links.union(more), "links", files=files), files), files)
 
 
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
@@ -338,7 +369,7 @@ def set_blocks(found: Found, weights: DataFrame, group: int) -> DataFrame:
         if held:
             yield block()
 
-    return written(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, _BLOCKS_DDL), "blocks")
+    return written(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, _BLOCKS_DDL), "blocks", files=found.files)
 
 
 def near_blocks(found: Found, blocks: DataFrame, percent: int) -> DataFrame:
@@ -354,16 +385,20 @@ def near_blocks(found: Found, blocks: DataFrame, percent: int) -> DataFrame:
     place = blocks.join(several, "component", "left_semi").select("component", "block", "classes").mapInArrow(
         run, "rep long, component long, block long")
     spots = written(found.index.join(place, "rep").groupBy("component", "token", "block").agg(
-        F.max(F.expr("n - pos")).alias("room"), F.min("n").alias("few"), F.max("n").alias("most")), "spots")
+        F.max(F.expr("n - pos")).alias("room"), F.min("n").alias("few"), F.max("n").alias("most")), "spots", files=found.files)
     x, y = (spots.select("component", "token", *(F.col(c).alias(f"{c}_{k}") for c in ("block", "room", "few", "most"))) for k in "xy")
     return written(x.join(y, ["component", "token"]).where(
         f"block_x < block_y and {100 + percent} * least(room_x, room_y) >= {percent} * (few_x + few_y) "
         f"and 100 * most_x >= {percent} * few_y and 100 * most_y >= {percent} * few_x"
-    ).select(F.col("block_x").alias("x"), F.col("block_y").alias("y")).distinct(), "near-blocks")
+    ).select(F.col("block_x").alias("x"), F.col("block_y").alias("y")).distinct(), "near-blocks", files=found.files)
 
 
 def overlaps(x: np.ndarray, x_n: np.ndarray, y: np.ndarray, y_n: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of each set of ``x`` with each of ``y``: tokens set after set, ``_n`` their numbers."""
+    """Sizes of the intersections of each set of ``x`` with each of ``y``: tokens set after set, ``_n`` their numbers.
+
+    The first set of ``x`` is the pivot: its overlaps are counted, and those of the others derived from them by
+    the tokens in which they differ from it. Tokens that all sets of ``x`` share take no further work.
+    """
     known = np.intersect1d(x, y)
     out = np.zeros((len(x_n), len(y_n)), dtype=np.int64)
     if not len(known):
@@ -382,7 +417,9 @@ def overlaps(x: np.ndarray, x_n: np.ndarray, y: np.ndarray, y_n: np.ndarray) ->
         for m, (_, col, row) in zip((one, two), sides, strict=True):
             i, j = np.searchsorted(col, [k, k + w])
             m[row[i:j], col[i:j] - k] = 1
-        out += np.rint(one @ two.T).astype(np.int64)
+        pivot, differ = one[0], one - one[0]  # 1: a token more than the pivot, -1: one it lacks
+        live = differ.any(axis=0)
+        out += np.rint(two @ pivot + differ[:, live] @ two[:, live].T).astype(np.int64)
     return out
 
 
@@ -414,7 +451,7 @@ def block_links(found: Found, blocks: DataFrame, percent: int, give, ddl: str) -
 def class_weights(found: Found) -> DataFrame:
     """(n, d1, d2, weight): how many documents hold each set."""
     return written(found.rows.where("tokens is not null").select("doc_id", *_SAME).distinct()
-                   .groupBy(*_SAME).agg(F.count("*").alias("weight")), "weights")
+                   .groupBy(*_SAME).agg(F.count("*").alias("weight")), "weights", files=found.files)
 
 
 def jaccard_links(docs: DataFrame, size: int = 4, percent: int = 85, group: int = _GROUP) -> DataFrame:
@@ -451,7 +488,7 @@ def jaccard_join(docs: DataFrame, size: int = 4, percent: int = 85, group: int =
     classes = written(weights.join(counts, _SAME, "left").join(found.sets.select(*_SAME, "rep"), _SAME)
                       .join(found.parts, F.col("rep") == F.col("node"), "left")
                       .select(*_SAME, F.coalesce("component", "rep").alias("component"),
-                              (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "class-links")
+                              (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "class-links", files=found.files)
     return found.rows.join(classes, _SAME, "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce("component", "doc_id").alias("component_id"))
@@ -469,8 +506,7 @@ def drop_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole join runs; its SQL has no column for ``n_links``."""
-    return jaccard_join(table(spark, sf_dir, "documents")).drop("n_links")
+    return jaccard_join(table(spark, sf_dir, "documents"))
 
 
 ORACLE = r"""
@@ -482,6 +518,6 @@ n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 l AS MATERIALIZED (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (h) GROUP BY ALL)
       JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
 r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
-SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce((SELECT min(b) FROM r WHERE r.a = d.doc_id), d.doc_id) AS component_id
-FROM d LEFT JOIN n ON n.doc_id = d.doc_id
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(k.n, 0) AS n_links, coalesce((SELECT min(b) FROM r WHERE r.a = d.doc_id), d.doc_id) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT a, count(*) AS n FROM l WHERE a <> b GROUP BY a) k ON k.a = d.doc_id
 """

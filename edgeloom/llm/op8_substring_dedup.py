@@ -199,8 +199,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     block = (window + 1) // 2
     chunks = pack(docs)
     buckets = buckets_for(chunks)
-    hits = exchange(chunks, lambda c, _: ask_blocks(c, buckets, block), answer_blocks)
-    late = exchange(with_replies(chunks, hits),
+    hits = exchange(chunks, buckets, lambda c, _: ask_blocks(c, buckets, block), answer_blocks)
+    late = exchange(with_replies(chunks, hits), buckets,
                     lambda c, row: ask_windows(c, row["replies"], buckets, block, window), answer_windows)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
