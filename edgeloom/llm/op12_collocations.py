@@ -49,6 +49,10 @@ _KIND = np.array([1 if b in _BLANKS else 2 if b in _STOPS else 0 for b in range(
 _WHOLE = Splitter(b"")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SALTS = 64
+#: bits of a hash inside its partition: with some 2**20 phrases there, few rare ones fall on a frequent one (and are just counted)
+_KEY = np.uint64((1 << 24) - 1)
+#: larger chunks send fewer rows, as a phrase is sent once a chunk
+_CHUNK = 2 * CHUNK_BYTES
 
 
 @dataclass
@@ -105,11 +109,11 @@ def phrases(chunk: Chunk, lang: str, max_words: int) -> tuple[pa.Array, list[Phr
 
 
 def summarise(chunk: Chunk, lang: str, buckets: int, max_words: int) -> Iterator[tuple[int, bytes, bytes]]:
-    """A chunk's summary for each hash partition: 32 bits of each phrase's hash, and its count."""
+    """A chunk's summary for each hash partition: 24 bits of each phrase's hash, and its count."""
     _, found, _ = phrases(chunk, lang, max_words)
     key, count = (np.concatenate([getattr(p, c) for p in found]) for c in ("hash", "count"))
     for bucket, some in by_bucket(bucket_of(key, buckets)):
-        low = (key[some] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        low = (key[some] & _KEY).astype(np.uint32)
         order = np.argsort(low, kind="stable")
         yield bucket, planes(low[order]), planes(count[some][order].astype(np.uint32))
 
@@ -155,7 +159,7 @@ def count_survivors(chunk: Chunk, lang: str, replies: list[dict] | None, buckets
         return
     alive = np.sort(np.concatenate([unplanes(r["a"], np.uint32).astype(np.uint64) | np.uint64(r["bucket"]) << np.uint64(32) for r in replies]))
     for p in found:
-        code = (p.hash & np.uint64(0xFFFFFFFF)) | bucket_of(p.hash, buckets).astype(np.uint64) << np.uint64(32)
+        code = (p.hash & _KEY) | bucket_of(p.hash, buckets).astype(np.uint64) << np.uint64(32)
         place = np.searchsorted(alive, code)
         place[place == len(alive)] = 0
         hit = alive[place] == code
@@ -167,7 +171,7 @@ def count_survivors(chunk: Chunk, lang: str, replies: list[dict] | None, buckets
                                           pa.array(p.count[hit])], names=names)
 
 
-def pack_by_lang(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def pack_by_lang(docs: DataFrame, chunk_bytes: int = _CHUNK) -> DataFrame:
     """Stored chunks of (lang, text), each of one language."""
     ddl = "chunk long, raw_bytes long, ids binary, known binary, lengths binary, texts binary, lang string"
 
@@ -194,7 +198,7 @@ def frequent_phrases(docs: DataFrame, max_words: int = MAX_WORDS, threshold: int
     """Stored (lang, phrase, words, a) of every phrase that occurs ``threshold`` times or more, and (lang, n) of all words."""
     chunks = pack_by_lang(docs)
     buckets = buckets_for(chunks)
-    replies = exchange(chunks, lambda c, row: summarise(c, row["lang"], buckets, max_words), lambda asked: survivors(asked, threshold))
+    replies = exchange(chunks, buckets, lambda c, row: summarise(c, row["lang"], buckets, max_words), lambda asked: survivors(asked, threshold))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -222,19 +226,19 @@ def collocations(docs: DataFrame, max_words: int = MAX_WORDS, threshold: int = T
     frequent, totals = frequent_phrases(docs, max_words, threshold)
     several = frequent.where("words > 1").withColumn("w", F.split("phrase", " "))
     part = "array_join(slice(w, {}, {}), ' ')".format
+    inner = several.where("words > 2").select("lang", "a", F.expr(
+        f"explode(flatten(transform(sequence(2, words - 1), m -> transform(sequence(1, words - m + 1), i -> {part('i', 'm')}))))").alias("phrase"))
+    inner = inner.groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
+    several = several.join(inner, ["lang", "phrase"], "left").where(f"longer is null or 100 * longer < {longer_percent} * a")
     cuts = several.select("lang", "phrase", "a", F.expr(
         f"explode(flatten(transform(sequence(1, words - 1), k -> array(struct(k, 'l' as side, {part(1, 'k')} as part), "
         f"struct(k, 'r' as side, {part('k + 1', 'words - k')} as part)))))").alias("cut")).select("lang", "phrase", "a", "cut.*")
     sizes = frequent.select("lang", F.col("phrase").alias("part"), F.col("a").alias("size"))
     side = lambda s: F.max(F.when(F.col("side") == s, F.col("size"))).alias(s)
-    scored = (cuts.join(sizes, ["lang", "part"]).repartition("lang", "phrase")
-              .groupBy("lang", "phrase", "a", "k").agg(side("l"), side("r"))
-              .withColumn("top", F.lit(1000000).cast("decimal(7,0)") * _exact("a") * _exact("a")).withColumn("low", _exact("l") * _exact("r"))
-              .groupBy("lang", "phrase", "a").agg(F.min(F.expr("struct(top div low as score, k, l, r)")).alias("cut")))
-    inner = several.where("words > 2").select("lang", "a", F.expr(
-        f"explode(flatten(transform(sequence(2, words - 1), m -> transform(sequence(1, words - m + 1), i -> {part('i', 'm')}))))").alias("phrase"))
-    inner = inner.groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
-    kept = (scored.join(inner, ["lang", "phrase"], "left").where(f"longer is null or 100 * longer < {longer_percent} * a")
+    kept = (cuts.join(sizes, ["lang", "part"]).repartition("lang", "phrase")
+            .groupBy("lang", "phrase", "a", "k").agg(side("l"), side("r"))
+            .withColumn("top", F.lit(1000000).cast("decimal(7,0)") * _exact("a") * _exact("a")).withColumn("low", _exact("l") * _exact("r"))
+            .groupBy("lang", "phrase", "a").agg(F.min(F.expr("struct(top div low as score, k, l, r)")).alias("cut"))
             .select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score"))
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     first = F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))
