@@ -40,6 +40,7 @@ def run(spark, sf_dir: str, out: str) -> dict[str, float]:
     from edgeloom.operators.increment import increment_edges, increment_vertices
     from edgeloom.operators.merge import merge_edges, merge_vertices
     from edgeloom.operators.quality import conflict_report
+    from edgeloom.operators.records import build_records, read_records, record_count_other_v, vertices_of, write_records
     from edgeloom.operators.traverse import count_other_v, hub, neighbours_filtered, pairs_report
     from edgeloom.plans import fixtures as fx
     from edgeloom.plans.graph import by_label
@@ -47,6 +48,7 @@ def run(spark, sf_dir: str, out: str) -> dict[str, float]:
     from edgeloom.plans.q_load import edge_lines, vertex_lines
     from edgeloom.plans.q_query import region_orders
     from edgeloom.schema import EDGE_LABELS
+    from edgeloom.sinks.layers import fold_layers, increment as layer_increment, read_graph, write_graph
     from edgeloom.sinks.tables import read_snapshot, write_snapshot
     from edgeloom.sinks.text import write_adjacency_text, write_lines
     from edgeloom.sources.text import read_lines
@@ -71,7 +73,7 @@ def run(spark, sf_dir: str, out: str) -> dict[str, float]:
     def load():
         g = stage_all(read_lines(spark, f"{out}/export/vertices"),
                       {label: read_lines(spark, f"{out}/export/{label}") for label in EDGE_LABELS})
-        write_snapshot(g.wide_vertices(), g.edges, f"{out}/snap")
+        write_snapshot(g.wide_vertices(), g.edges, f"{out}/snap", vertices_stored=True)
         loaded["g"] = g
     timed("load_snapshot", load)
     v, e = read_snapshot(spark, f"{out}/snap")
@@ -100,6 +102,24 @@ def run(spark, sf_dir: str, out: str) -> dict[str, float]:
         write_snapshot(new, increment_edges(e, new, e_delta), f"{out}/snap2")
     timed("increment_graph", increment)
 
+    # the same delta as a layer of a layered graph, and a delta of 1 % as a day's increment is
+    write_graph(spark, f"{out}/layers", v, e)
+    mobile_delta = delta.where(F.col("label") == "MOBILE")
+    few = F.pmod(F.xxhash64("ord"), F.lit(100)) == 0
+    timed("increment_layer", lambda: layer_increment(spark, f"{out}/layers", mobile_delta, e_delta))
+    small_v, small_e = stored(mobile_delta.where(few), "small-delta"), stored(e_delta.where(few), "small-edges")
+    timed("increment_layer_small", lambda: layer_increment(spark, f"{out}/layers", small_v, small_e))
+    timed("fold_layers", lambda: fold_layers(spark, f"{out}/layers"))
+    layered = read_graph(spark, f"{out}/layers")
+    some = [r["name"] for r in v.where("label = 'MOBILE' and id % 1500 = 1").select("name").collect()]  # ten names
+    timed("n1_from_name_index", lambda: _noop(neighbours_filtered(
+        layered.vertices, layered.edges, some, "CALL", or_(has_eq("is_register", "true"), has_eq("is_risk", "true")), "MOBILE",
+        edges_in=layered.edges_in, index=layered.names)))
+    write_records(build_records(v, e), f"{out}/records")
+    records = read_records(spark, f"{out}/records")
+    timed("n2_from_records", lambda: _noop(record_count_other_v(records, vertices_of(records).where("label = 'MOBILE'"), "CALL", NEQ_NAME,
+                                                                per_start=True)))
+
     rv, re_ = region_orders(spark, sf_dir)
     write_snapshot(rv, re_, f"{out}/regions")
     rv, re_ = read_snapshot(spark, f"{out}/regions")

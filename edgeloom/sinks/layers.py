@@ -4,7 +4,7 @@ The base of a layered graph are three tables cut into parts by id range:
 ``vertices`` by id, ``edges`` by start_id, ``edges_in`` (the same edges) by
 end_id, each in global key order, one row per key; and the name index
 (``sinks.names``). An increment adds a *layer*: the upserted rows of the
-vertices and edges it touches, whole, and the index entries of its new names.
+vertices and edges it touches, whole (edges in one layout), and the index entries of its new names.
 Readers lay the layers over the base: of a key the row of the last layer
 stands. ``fold_layers`` rewrites the parts that layers touch and drops those
 layers; other parts stay in the folders they are in.
@@ -136,7 +136,7 @@ class Graph:
         place, key = TABLES[table]
         frames = []
         for n, k in enumerate(layers_of(self.commit)):
-            rows = self._read(table, self.commit.parts[k], partitioned=False)
+            rows = self._read("edges" if table == "edges_in" else table, self.commit.parts[k], partitioned=False)  # small: one layout
             frames.append(rows if only is None else rows.where(F.floor(F.col(place) / self.width).isin(only)))
             frames[-1] = frames[-1].withColumn("_layer", F.lit(n))
         if not frames:
@@ -194,10 +194,8 @@ def increment(spark: SparkSession, base: str, vertex_delta: DataFrame, edge_delt
         resolved = freeze(resolve_delta(e_delta, known), "resolved-delta")
         keys = resolved.select(*_EDGE[:3]).distinct()
         old = g.rows("edges", g.parts_of("edges", keys)).join(keys, _EDGE[:3], "left_semi")
-        changed = freeze(upsert_resolved(old, resolved), "changed-edges")
-        for table in ("edges", "edges_in"):
-            order = ["label", TABLES[table][0]]
-            changed.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{path}/{table}")
+        changed = upsert_resolved(old, resolved)
+        changed.repartitionByRange("label", "start_id").sortWithinPartitions("label", "start_id").write.parquet(f"{path}/edges")
         refused = vertex_rejects(now, v_delta).select(F.to_json(F.struct("label", "name")).alias("line"), "error")
         lost = dangling_edges(e_delta, known).select(F.to_json(F.struct("start_name", "label", "end_name")).alias("line"),
                                                      F.concat(F.lit("missing: "), "missing").alias("error"))

@@ -238,6 +238,10 @@ def test_children():
 
 
 def test_a_part_is_written_by_several_tasks(spark, scratch_dir):
-    parts, _ = _grow(spark, f"{scratch_dir}/0", {}, spark.range(2000), 5000)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be one task's
+    try:
+        parts, _ = _grow(spark, f"{scratch_dir}/0", {}, spark.range(2000), 5000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     files = [f for f in os.listdir(parts["p"].rsplit("|", 1)[0]) if f.endswith(".parquet")]
     assert len(files) > 1
