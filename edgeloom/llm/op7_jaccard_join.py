@@ -11,6 +11,8 @@ Set relations save the rest of the work:
 * Equal sets are one set (their first document stands for the class).
 * Each remaining set is first compared with one similar set, its pivot: the
   smallest that shares a prefix token. The links found give first components.
+* A set that its pivot did not link is compared, for a few turns, with one set
+  of another component from its lists; while these link many, lists shrink.
 * Index lists then serve only pairs of different components: lists of one
   component are skipped, a pair whose sets were both compared with one
   pivot is derived from those answers (Jaccard distance is a metric: the pair
@@ -61,6 +63,8 @@ _SPLIT = Splitter(SPACES, lower=True)
 #: entries of a block of an index list; sets and tokens of a block of one component, and cells of a matrix of 0 and 1
 _BLOCK = 256
 _GROUP, _GROUP_TOKENS, _CELLS = 256, 1 << 17, 1 << 22
+#: turns in which a set meets one set of another component
+_TURNS = 6
 _SAME = ["n", "d1", "d2"]
 
 
@@ -286,6 +290,29 @@ class Found:
     files: int        # of a table, at most
 
 
+def _placed(index: DataFrame, parts: DataFrame, met: DataFrame, turn: int, files: int) -> tuple[DataFrame, DataFrame]:
+    """Stored index entries with component, pivot and share of it; and of each list with several components two entries of
+    different ones (by a hash of ``turn``, so that others come up the next time)."""
+    known = (index.select("rep").distinct().join(parts, F.col("rep") == F.col("node"), "left")
+             .join(met, F.col("rep") == F.col("a"), "left")
+             .select("rep", F.coalesce("component", "rep").alias("part"), F.coalesce("b", "rep").alias("pivot"),
+                     F.when(F.col("b").isNull(), 1.0).otherwise(F.col("common") / F.col("total")).alias("share")))
+    placed = written(index.join(known, "rep"), "placed", files=files)
+    entry = F.struct("part", F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "n", F.expr("n - pos").alias("room"))
+    mixed = placed.groupBy("token").agg(F.min(entry).alias("low"), F.max(entry).alias("high")).where("low.part < high.part")
+    return placed, written(mixed, "mixed", files=files)
+
+
+def _one_each(placed: DataFrame, mixed: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each set of a mixed list with one of another component that the sizes and positions allow."""
+    other = F.when(F.col("part") == F.col("low.part"), F.col("high")).otherwise(F.col("low"))
+    return (placed.join(mixed, "token").withColumn("o", other)
+            .where(f"100 * least(n, o.n) >= {percent} * greatest(n, o.n) "
+                   f"and {100 + percent} * least(n - pos, o.room) >= {percent} * (n + o.n)")
+            .groupBy("rep").agg(F.min(F.struct("o.h", "o.rep")).alias("o"))
+            .select(F.least("rep", "o.rep").alias("a"), F.greatest("rep", "o.rep").alias("b")).distinct())
+
+
 def find_components(docs: DataFrame, size: int, percent: int) -> Found:
     chunks = pack(docs)
     buckets = files = buckets_for(chunks)  # tables after the chunks are no larger than the texts
@@ -312,13 +339,21 @@ def find_components(docs: DataFrame, size: int, percent: int) -> Found:
     links = met.where(linked).select("a", "b")
     parts = components(links, files)
 
+    # a set that its pivot did not link meets, turn by turn, one of another component; most find theirs soon
+    turn = 0
+    while True:
+        placed, mixed = _placed(index, parts, met, turn, files)
+        if turn == _TURNS or mixed.isEmpty():
+            break
+        pairs = written(_one_each(placed, mixed, percent), "turn", files=files)
+        more = written(compare(pairs, sets).where(linked).select("a", "b"), "turn-links", files=files)
+        found = more.count()
+        if not found:
+            break
+        links = written(links.union(more), "links", files=files)
+        parts = components(links, files)
+        turn = turn + 1 if 10 * found >= pairs.count() else _TURNS  # few links: the lists settle the rest
     # pairs of different components that the answers so far leave open
-    known = (index.select("rep").distinct().join(parts, F.col("rep") == F.col("node"), "left")
-             .join(met, F.col("rep") == F.col("a"), "left")
-             .select("rep", F.coalesce("component", "rep").alias("part"), F.coalesce("b", "rep").alias("pivot"),
-                     F.when(F.col("b").isNull(), 1.0).otherwise(F.col("common") / F.col("total")).alias("share")))
-    placed = written(index.join(known, "rep"), "placed", files=files)
-    mixed = placed.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
     open_lists = placed.join(mixed.select("token"), "token", "left_semi")
     blocks = written(list_blocks(open_lists), "list-blocks", files=files)
     more = compare(written(candidates(blocks, percent), "candidates", files=files), sets).where(linked).select("a", "b")
