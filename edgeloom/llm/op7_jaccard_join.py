@@ -315,7 +315,8 @@ def _one_each(placed: DataFrame, mixed: DataFrame, percent: int) -> DataFrame:
 
 def find_components(docs: DataFrame, size: int, percent: int) -> Found:
     chunks = pack(docs)
-    buckets = files = buckets_for(chunks)  # tables after the chunks are no larger than the texts
+    buckets = buckets_for(chunks)
+    files = max(8, buckets // 4)  # tables after the chunks are smaller than the texts
     replies = exchange(chunks, buckets, lambda c, _: ask_frequency(c, buckets, size), answer_frequency)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,9 +341,10 @@ def find_components(docs: DataFrame, size: int, percent: int) -> Found:
     parts = components(links, files)
 
     # a set that its pivot did not link meets, turn by turn, one of another component; most find theirs soon
-    turn = 0
+    turn, lists = 0, index
     while True:
-        placed, mixed = _placed(index, parts, met, turn, files)
+        placed, mixed = _placed(lists, parts, met, turn, files)
+        lists = placed.join(mixed.select("token"), "token", "left_semi")  # only lists that are mixed may stay so
         if turn == _TURNS or mixed.isEmpty():
             break
         pairs = written(_one_each(placed, mixed, percent), "turn", files=files)
@@ -352,10 +354,10 @@ def find_components(docs: DataFrame, size: int, percent: int) -> Found:
             break
         links = written(links.union(more), "links", files=files)
         parts = components(links, files)
-        turn = turn + 1 if 10 * found >= pairs.count() else _TURNS  # few links: the lists settle the rest
+        turn = turn + 1 if 4 * found >= pairs.count() else _TURNS  # few links: the lists settle the rest
+        lists = lists.select(*index.columns)
     # pairs of different components that the answers so far leave open
-    open_lists = placed.join(mixed.select("token"), "token", "left_semi")
-    blocks = written(list_blocks(open_lists), "list-blocks", files=files)
+    blocks = written(list_blocks(lists), "list-blocks", files=files)
     more = compare(written(candidates(blocks, percent), "candidates", files=files), sets).where(linked).select("a", "b")
     return Found(rows, sets, index, met, components(written(links.union(more), "links", files=files), files), files)
 
