@@ -29,10 +29,11 @@ from ..operators.increment import increment_vertices, resolve_delta, upsert_reso
 from ..operators.merge import dangling_edges
 from ..session import freeze
 from .names import BUCKET_NAMES, NameIndex, buckets_for, write_names
+from .parts import part_size
 from .tables import next_version
 from .versions import Commit, current_commit, publish, publish_retrying
 
-#: ids of a part
+#: ids of a part; fewer only up to ``parts.FEW_PARTS`` parts
 PART_IDS = 1_000_000
 #: table -> (id that places a row, key)
 TABLES = {"vertices": ("id", ("id",)), "edges": ("start_id", ("label", "start_id", "end_id")),
@@ -52,17 +53,22 @@ def _write_table(df: DataFrame, table: str, folder: str, width: int) -> dict[str
 
 def write_graph(spark: SparkSession, base: str, vertices: DataFrame, edges: DataFrame, part_ids: int = PART_IDS,
                 bucket_names: int = BUCKET_NAMES) -> Commit:
-    """Publish a loaded graph as the base of layers. Copies of an edge are folded (largest mgm), once and for all."""
+    """Publish a loaded graph as the base of layers. Copies of an edge are folded (largest mgm), once and for all.
+
+    ``part_ids`` and ``bucket_names`` below the standard ones are raised where they make more than ``parts.FEW_PARTS``
+    parts or buckets: every one of them is a folder with files in each table.
+    """
     path = next_version(base)
     vertices = freeze(vertices, "graph-vertices")
     edges = freeze(edges.groupBy(*_EDGE[:3]).agg(F.max("mgm").alias("mgm")), "graph-edges")
     names, top = vertices.agg(F.count("name"), F.coalesce(F.max("id"), F.lit(0))).first()
     buckets = buckets_for(names, bucket_names)
-    write_names(vertices, f"{path}/names", buckets)
-    parts = {"width": str(part_ids), "top": str(top), "buckets": str(buckets), "bucket_names": str(bucket_names),
+    write_names(vertices, f"{path}/names", buckets, names)
+    width = part_size(top, part_ids, PART_IDS)
+    parts = {"width": str(width), "top": str(top), "buckets": str(buckets), "bucket_names": str(bucket_names),
              "increments": "0", "names/0": f"{path}/names", "columns": vertices.schema.json()}
     for table in TABLES:
-        parts |= _write_table(vertices if table == "vertices" else edges, table, path, part_ids)
+        parts |= _write_table(vertices if table == "vertices" else edges, table, path, width)
     last = current_commit(spark, base)
     return publish(spark, base, path, parts, drop=[k for k in (last.parts if last else {}) if k not in parts])
 
@@ -189,7 +195,7 @@ def increment(spark: SparkSession, base: str, vertex_delta: DataFrame, edge_delt
         new = spark.read.parquet(f"{path}/vertices").where(F.col("id") > top).select("name", "id", "label")
         count = new.count()
         if count:
-            write_names(new, f"{path}/names", int(last.parts["buckets"]))
+            write_names(new, f"{path}/names", int(last.parts["buckets"]), count)
         known = found.unionByName(new)
         resolved = freeze(resolve_delta(e_delta, known), "resolved-delta")
         keys = resolved.select(*_EDGE[:3]).distinct()
@@ -221,9 +227,10 @@ def fold_layers(spark: SparkSession, base: str) -> Commit:
                 parts |= _write_table(freeze(g.rows(table, touched), "folded"), table, path, g.width)
         more = sorted(k for k in last.parts if k.startswith("names/"))[1:]
         held, names = int(last.parts["buckets"]), g.names
-        wanted = buckets_for(names.all_rows().count(), int(last.parts["bucket_names"]))
+        count = names.all_rows().count()
+        wanted = buckets_for(count, int(last.parts["bucket_names"]))
         if wanted > held:
-            write_names(names.all_rows(), f"{path}/names", wanted)
+            write_names(names.all_rows(), f"{path}/names", wanted, count)
             parts |= {"buckets": str(wanted), "names/0": f"{path}/names"}
             drop += more
         elif len(more) > 1:

@@ -5,7 +5,8 @@ name inside and with Parquet bloom filters on it. A lookup opens the buckets of
 its names only: given names become a literal bucket list (partition pruning),
 a frame of names is asked for its distinct buckets first (at most as many as
 there are buckets). An index may have several folders with the same number
-of buckets: increments add a folder of their new names.
+of buckets: increments add a folder of their new names. A filter is sized for the
+names that a file is expected to hold; unsized it takes 1 MB in every file.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .parts import part_size
+
 #: names a bucket holds when the index is made; files of a bucket
 BUCKET_NAMES, _FILES = 500_000, 4
 _SCHEMA = "name string, id bigint, label string, bucket int"
@@ -26,16 +29,21 @@ def bucket_of(name: Column, buckets: int) -> Column:
 
 
 def buckets_for(names: int, bucket_names: int = BUCKET_NAMES) -> int:
-    """A power of two, so that doubling the buckets splits each in two."""
-    return 1 << (-(-max(names, 1) // bucket_names) - 1).bit_length()
+    """A power of two, so that doubling the buckets splits each in two; few larger ones rather than many small ones."""
+    return 1 << (-(-max(names, 1) // part_size(names, bucket_names, BUCKET_NAMES)) - 1).bit_length()
+
 
+def write_names(vertices: DataFrame, folder: str, buckets: int, names: int | None = None) -> None:
+    """Index the names of ``vertices`` (name, id, label) below ``folder``; null names have no entry.
 
-def write_names(vertices: DataFrame, folder: str, buckets: int) -> None:
-    """Index the names of ``vertices`` (name, id, label) below ``folder``; null names have no entry."""
+    ``names``: how many there are, counted if not given. The filters are made for twice a file's share.
+    """
+    names = vertices.agg(F.count("name")).first()[0] if names is None else names
     rows = vertices.select("name", "id", "label").where(F.col("name").isNotNull()).withColumn("bucket", bucket_of(F.col("name"), buckets))
     piece = F.pmod(F.shiftright(F.xxhash64("name"), 40), F.lit(_FILES))  # a bucket is written by several tasks
     (rows.repartition("bucket", piece).sortWithinPartitions("bucket", "name").write
-     .option("parquet.bloom.filter.enabled#name", "true").partitionBy("bucket").parquet(folder))
+     .option("parquet.bloom.filter.enabled#name", "true")
+     .option("parquet.bloom.filter.expected.ndv#name", str(max(2 * names // (buckets * _FILES), 64))).partitionBy("bucket").parquet(folder))
 
 
 @dataclass(frozen=True)

@@ -7,6 +7,8 @@ of rows of each, is kept in the commit (``sinks.versions``). A part whose rows
 may exceed the bound is written as as many children as keep them below it. So
 the number of parts grows with the state, each is a bounded amount of work
 for several tasks, and parts that an increment does not touch are never rewritten.
+Every part is a folder of files and an entry of the commit, so a bound below the standard one
+holds only up to ``FEW_PARTS`` parts: past that the parts grow first (``part_size``).
 """
 
 from __future__ import annotations
@@ -18,6 +20,13 @@ from pyspark.sql import functions as F
 
 #: rows a part may hold, tasks (and files) that write a part, bits of the hash
 PART_ROWS, WRITERS, _BITS = 2_000_000, 4, 32
+#: parts up to which a bound below the standard one holds
+FEW_PARTS = 256
+
+
+def part_size(total: int, wanted: int, standard: int) -> int:
+    """What a part holds of ``total``: ``wanted``, or, where that makes more than ``FEW_PARTS`` parts, more, up to ``standard``."""
+    return max(wanted, min(standard, -(-total // FEW_PARTS)))
 
 
 def with_part(df: DataFrame, keys: list[str], parts: Iterable[str]) -> DataFrame:
@@ -59,13 +68,15 @@ def merge_into_parts(spark: SparkSession, parts: dict[str, str], keys: list[str]
                      merge: Callable[[DataFrame, DataFrame], DataFrame], folder: str, part_rows: int = PART_ROWS) -> dict:
     """Write what ``merge(state, delta)`` makes of the touched parts; what a commit has to set, drop and have read.
 
-    ``parts``: the directory so far, empty for no state. ``empty``: schema of a state without rows.
+    ``parts``: the directory so far, empty for no state. ``empty``: schema of a state without rows. ``part_rows``: the
+    bound of a part, see ``part_size``.
     """
     directory = list(parts) or ["p"]
     keyed = delta.dropna("any", subset=keys).select(*keys).distinct()
     came = {r["part"]: r["count"] for r in with_part(keyed, keys, directory).groupBy("part").count().collect()}  # touched parts
     old = {p: _split(parts[p])[1] if p in parts else 0 for p in came}
-    targets = {p: children(p, old[p] + n, part_rows) for p, n in came.items()}
+    size = part_size(sum(_split(v)[1] for v in parts.values()) + sum(came.values()), part_rows, PART_ROWS)
+    targets = {p: children(p, old[p] + n, size) for p, n in came.items()}
     written = [c for t in targets.values() for c in t]
     state = read_parts(spark, parts, came)
     if written:

@@ -245,3 +245,27 @@ def test_a_part_is_written_by_several_tasks(spark, scratch_dir):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     files = [f for f in os.listdir(parts["p"].rsplit("|", 1)[0]) if f.endswith(".parquet")]
     assert len(files) > 1
+
+
+def test_small_bounds_do_not_multiply_folders(spark, scratch_dir, monkeypatch):
+    assert buckets_for(2_000_000, 200) == 256 and buckets_for(2_000_000, 10) == 256 and buckets_for(10 ** 9) == 2048
+    monkeypatch.setattr("edgeloom.sinks.parts.FEW_PARTS", 8)
+    base = os.path.join(scratch_dir, "g")
+    g = write_graph(spark, base, *big_graph(spark, 4000), part_ids=5, bucket_names=5)
+    assert sum(k.startswith("vertices/") for k in g.parts) <= 9 and int(g.parts["buckets"]) <= 8
+    v, e = big_graph(spark, 4000)
+    read = read_graph(spark, base)
+    assert rows(read.vertices) == rows(v) and rows(read.edges) == rows(e.distinct()) and len(read.names.ids(["n7", "n4000"])) == 2
+    parts, _ = _grow(spark, f"{scratch_dir}/0", {}, spark.range(2000), 10)
+    assert len(parts) <= 16
+    parts, _ = _grow(spark, f"{scratch_dir}/1", parts, spark.range(1000, 3000), 10)
+    assert len(parts) <= 32 and read_parts(spark, parts).count() == 3000
+
+
+def test_a_file_of_the_index_has_a_filter_of_its_size(spark, scratch_dir):
+    base = os.path.join(scratch_dir, "g")
+    first = write_graph(spark, base, *big_graph(spark, 2000), bucket_names=100)
+    layer = increment(spark, base, spark.createDataFrame([("MOBILE", "new", 1, 1)], VD), spark.createDataFrame([], ED))
+    for path in (first.path, layer.path):  # unsized, every filter has 1 MB
+        sizes = [os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(f"{path}/names") for f in fs if f.endswith(".parquet")]
+        assert sizes and max(sizes) < 10_000
