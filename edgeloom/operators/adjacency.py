@@ -14,7 +14,8 @@ A hub (degree above ``hub_degree``, found by a map-side combined count) is
 cut by its own neighbours instead: its half-edges are collapsed to one row
 for each set of copies, range-partitioned by (id, label, neighbour), which
 gives a hub as many partitions as its degree asks for, and printed there.
-Only the finished parts of a hub meet in its row. Where the cut lies does not
+The edges are read for the degrees, for the ordinary vertices and for the hubs; so they are stored once, and
+what they are made of runs once. Only the finished parts of a hub meet in its row. Where the cut lies does not
 show in the lines. A single line, like any row or string, ends at 2 GB;
 ``hub_parts`` gives a hub's parts as rows for loaders that take more.
 """
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import blank_to_null, field, java_split, join_fields, null_to_empty, parse_int, parse_long
 from ..schema import (CALL, DEVICE, DEVICE_COLUMNS, EDGE_ENDPOINTS, EDGE_SEP, FIELD_SEP, MOBILE,
                       MOBILE_COLUMNS, MOBILE_INT_COLUMNS, SECTION_SEP, WIDE_VERTEX_COLUMNS, WIFI)
+from ..session import freeze
 
 DEFAULT_HUB_DEGREE = 65536
 #: hubs are broadcast, so the degree that makes a hub rises with the edges: there are never more than this
@@ -97,6 +99,12 @@ def _entry(slot: Column, other: Column, mgm: Column) -> Column:
     return F.concat(label, F.lit(FIELD_SEP), other.cast("string"), tail)
 
 
+def stored_edges(edges: DataFrame, stored: bool) -> DataFrame:
+    """The columns of ``edges`` that a fold reads, as a table (``stored``: they are one already)."""
+    cols = edges.select("label", "start_id", "end_id", *(["mgm"] if "mgm" in edges.columns else []))
+    return cols if stored else freeze(cols, "fold-edges")
+
+
 def hub_ids(edges: DataFrame, hub_degree: int = DEFAULT_HUB_DEGREE) -> DataFrame:
     """(id) of the vertices with more half-edges than ``hub_degree``, at most ``MAX_HUBS`` of them.
 
@@ -122,7 +130,8 @@ def hub_parts(edges: DataFrame, hubs: DataFrame) -> DataFrame:
             .select("id", _side_label().alias("vlabel"), "slot", "part", F.array_join(texts, EDGE_SEP).alias("text")))
 
 
-def build_adjacency(vertices: DataFrame, edges: DataFrame, hub_degree: int = DEFAULT_HUB_DEGREE) -> DataFrame:
+def build_adjacency(vertices: DataFrame, edges: DataFrame, hub_degree: int = DEFAULT_HUB_DEGREE,
+                    edges_stored: bool = False) -> DataFrame:
     """(id, label, props, error, in_edges, out_edges) per vertex.
 
     ``vertices``: (id, label, props[, error]) as from ``vertex_records``;
@@ -130,29 +139,26 @@ def build_adjacency(vertices: DataFrame, edges: DataFrame, hub_degree: int = DEF
     vertex of its endpoint label (CALL: MOBILE both ends; USE: MOBILE ->
     DEVICE; HAS: DEVICE -> MOBILE; USE_WIFI: MOBILE -> WIFI). Halves whose
     vertex is missing are left out (``missing_halves`` counts them); of
-    several vertex rows with one (id, label) the smallest props text is kept.
+    several vertex rows with one (id, label) the smallest props text is kept. ``edges_stored``: the edges are
+    read from a table already and are not stored again.
     """
+    edges = stored_edges(edges, edges_stored)
     hubs = hub_ids(edges, hub_degree)
     half = (half_edges(edges).join(F.broadcast(hubs), "id", "left_anti")
-            .select("id", _side_label().alias("vlabel"), F.struct("slot", "other", "mgm").alias("half")))
-    parts = hub_parts(edges, hubs).select("id", "vlabel", F.struct("slot", "part", "text").alias("piece"))
+            .select("id", _side_label().alias("vlabel"), "slot", "other", "mgm"))
+    # a finished part of a hub takes the place of an entry; a vertex has entries or parts, never both
+    parts = hub_parts(edges, hubs).select("id", "vlabel", "slot", F.col("part").cast("bigint").alias("other"), "text")
     error = F.col("error") if "error" in vertices.columns else F.lit(None).cast("string")
     rows = vertices.select("id", F.col("label").alias("vlabel"), F.struct("props", error.alias("error")).alias("vertex"))
     rows = rows.unionByName(half, allowMissingColumns=True).unionByName(parts, allowMissingColumns=True)
-    adj = (rows.groupBy("id", "vlabel")
-           .agg(F.min("vertex").alias("vertex"), F.collect_list("half").alias("halves"),
-                F.sort_array(F.collect_list("piece")).alias("pieces"))
+    # shuffled as they are and printed as columns behind it: nothing is collected before, where few halves of a vertex meet
+    rows = rows.repartition("id", "vlabel").withColumn("text", F.coalesce("text", _entry(F.col("slot"), F.col("other"), F.col("mgm"))))
+    entry = F.struct("slot", "other", "text")
+    side = {name: F.sort_array(F.collect_list(F.when(F.col("slot") % 2 == out, entry))) for name, out in (("in", 0), ("out", 1))}
+    adj = (rows.groupBy("id", "vlabel").agg(F.min("vertex").alias("vertex"), *(c.alias(name) for name, c in side.items()))
            .where(F.col("vertex").isNotNull()))
-    printed = F.sort_array(F.transform("halves", lambda x: F.struct(
-        x["slot"].alias("slot"), x["other"].alias("other"), _entry(x["slot"], x["other"], x["mgm"]).alias("text"))))
-
-    def side(out: int) -> Column:
-        def texts(items):
-            return F.transform(F.filter(items, lambda x: x["slot"] % 2 == out), lambda x: x["text"])
-        return F.array_join(F.concat(texts(printed), texts("pieces")), EDGE_SEP)
-
     return adj.select("id", F.col("vlabel").alias("label"), "vertex.props", "vertex.error",
-                      side(0).alias("in_edges"), side(1).alias("out_edges"))
+                      *(F.array_join(F.col(f"{name}.text"), EDGE_SEP).alias(f"{name}_edges") for name in side))
 
 
 def missing_halves(vertices: DataFrame, edges: DataFrame) -> DataFrame:
@@ -241,8 +247,7 @@ def decode_edges(lines: DataFrame, side: str = "out") -> DataFrame:
     """
     s = _sections(lines)
     text = "out_text" if side == "out" else "in_text"
-    entries = F.filter(F.split(F.col(text), r"\|"), lambda x: F.length(x) > 0)
-    e = s.select("id", F.explode(entries).alias("entry"))
+    e = s.select("id", F.explode(F.split(F.col(text), r"\|")).alias("entry")).where(F.length("entry") > 0)
     parts = java_split("entry", FIELD_SEP)
     e = e.select("id", parts.alias("p"))
     other = parse_long(field("p", 1))

@@ -18,45 +18,47 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.predicates import has_neq
-from .adjacency import _RANK_LABEL, DEFAULT_HUB_DEGREE, _lit_map, _side_label, half_edges, hub_ids
+from .adjacency import _RANK_LABEL, DEFAULT_HUB_DEGREE, _lit_map, _side_label, half_edges, hub_ids, stored_edges
 
 _EDGES = "array<struct<label:string,other:bigint,mgm:int>>"
 
 
-def _arrays(halves: Column) -> list[Column]:
-    """in_edges and out_edges of an array of half-edges (slot, other, mgm), in the order of slot, other, mgm."""
-    label = _lit_map(_RANK_LABEL)
+def _arrays() -> list[Column]:
+    """in_edges and out_edges of grouped half-edges (slot, edge), in the order of edge label, other, mgm."""
+    return [F.sort_array(F.collect_list(F.when(F.col("slot") % 2 == out, F.col("edge")))).cast(_EDGES).alias(name)
+            for name, out in (("in_edges", 0), ("out_edges", 1))]
 
-    def side(out: int) -> Column:
-        mine = F.sort_array(F.filter(halves, lambda x: x["slot"] % 2 == out))
-        return F.transform(mine, lambda x: F.struct(F.element_at(label, F.shiftright(x["slot"], 1)).alias("label"),
-                                                    x["other"].alias("other"), x["mgm"].alias("mgm")))
 
-    return [side(0).cast(_EDGES).alias("in_edges"), side(1).cast(_EDGES).alias("out_edges")]
+def _with_edge(half: DataFrame) -> DataFrame:
+    label = F.element_at(_lit_map(_RANK_LABEL), F.shiftright("slot", 1))
+    return half.withColumn("edge", F.struct(label.alias("label"), "other", "mgm"))
 
 
-def build_records(vertices: DataFrame, edges: DataFrame, hub_degree: int = DEFAULT_HUB_DEGREE) -> DataFrame:
+def build_records(vertices: DataFrame, edges: DataFrame, hub_degree: int = DEFAULT_HUB_DEGREE,
+                  edges_stored: bool = False) -> DataFrame:
     """G1: (id, label, properties..., slice, in_edges, out_edges); see the module.
 
     ``vertices``: (id, label, properties...), ids unique. A half-edge lands on the vertex with its id and the
-    endpoint label of its edge label; others are left out, as in ``build_adjacency``.
+    endpoint label of its edge label; others are left out, as in ``build_adjacency``. So is ``edges_stored``.
     """
+    edges = stored_edges(edges, edges_stored)
     hubs = hub_ids(edges, hub_degree)
     half = half_edges(edges).select("id", _side_label().alias("label"), "slot", "other", "mgm")
-    entry = F.struct("slot", "other", "mgm")
-    plain = (half.join(F.broadcast(hubs), "id", "left_anti").select("id", "label", entry.alias("half"))
-             .groupBy("id", "label").agg(F.collect_list("half").alias("halves")))
-    first = vertices.join(plain, ["id", "label"], "left").withColumn("slice", F.lit(0).cast("bigint")).withColumn(
-        "halves", F.coalesce("halves", F.array().cast("array<struct<slot:int,other:bigint,mgm:int>>")))
-    first = first.select(*vertices.columns, "slice", *_arrays(F.col("halves")))
+    # shuffled as fixed-width rows: nothing is collected before the shuffle, where few halves of a vertex meet
+    plain = half.join(F.broadcast(hubs), "id", "left_anti").repartition("id", "label")
+    plain = _with_edge(plain).groupBy("id", "label").agg(*_arrays())
+    none = F.array().cast(_EDGES)
+    first = vertices.join(plain, ["id", "label"], "left").select(
+        *vertices.columns, F.lit(0).cast("bigint").alias("slice"),
+        *(F.coalesce(c, none).alias(c) for c in ("in_edges", "out_edges")))
     # hubs: ranges of neighbours, of which a large one is cut once more by the position in its task
     ranged = half.join(F.broadcast(hubs), "id", "left_semi").repartitionByRange("id", "label", "slot", "other", F.coalesce("mgm", F.lit(-1)))
     position = F.shiftright(F.monotonically_increasing_id(), 12)  # 4096 rows of a partition
-    sliced = (ranged.sortWithinPartitions("id", "label", "slot", "other", "mgm").withColumn("piece", position)
-              .groupBy("id", "label", "piece").agg(F.collect_list(entry).alias("halves")))
+    sliced = (_with_edge(ranged.sortWithinPartitions("id", "label", "slot", "other", "mgm").withColumn("piece", position))
+              .groupBy("id", "label", "piece").agg(*_arrays()))
     known = vertices.select("id", "label").join(F.broadcast(hubs), "id", "left_semi")
     overflow = sliced.join(known, ["id", "label"], "left_semi")
-    overflow = overflow.select("id", "label", (F.col("piece") + 1).alias("slice"), *_arrays(F.col("halves")))
+    overflow = overflow.select("id", "label", (F.col("piece") + 1).alias("slice"), "in_edges", "out_edges")
     return first.unionByName(overflow, allowMissingColumns=True)
 
 
@@ -69,23 +71,26 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _started(records: DataFrame, start) -> DataFrame:
+def _started(records: DataFrame, start, edges: Column, label: str | None) -> DataFrame:
+    """(id, e) per edge of the start set; other labels' edges go before the join, which moves what is left of a record."""
+    mine = edges if label is None else F.filter(edges, lambda x: x["label"] == label)
+    rows = records.select("id", mine.alias("_mine")).where(F.size("_mine") > 0)
     if isinstance(start, DataFrame):
-        return records.join(start.select("id"), "id", "left_semi")
-    return records.where(F.col("id").isin(list(start)))
+        rows = rows.join(start.select("id"), "id", "left_semi")
+    else:
+        rows = rows.where(F.col("id").isin(list(start)))
+    return rows.select("id", F.explode("_mine").alias("e"))
 
 
 def out_of(records: DataFrame, start, label: str | None = None) -> DataFrame:
     """Out-edges (label, start_id, end_id, mgm) of the start set (ids or a frame with ``id``), from their records."""
-    e = _started(records, start).select("id", F.explode("out_edges").alias("e"))
-    e = e.select("e.label", F.col("id").alias("start_id"), F.col("e.other").alias("end_id"), "e.mgm")
-    return e if label is None else e.where(F.col("label") == label)
+    e = _started(records, start, F.col("out_edges"), label)
+    return e.select("e.label", F.col("id").alias("start_id"), F.col("e.other").alias("end_id"), "e.mgm")
 
 
 def both_of(records: DataFrame, start, label: str | None = None) -> DataFrame:
     """(start_id, nbr_id) over out- and in-edges, bag semantics, from the start vertices' records."""
-    e = _started(records, start).select("id", F.explode(F.concat("out_edges", "in_edges")).alias("e"))
-    e = e if label is None else e.where(F.col("e.label") == label)
+    e = _started(records, start, F.concat("out_edges", "in_edges"), label)
     return e.select(F.col("id").alias("start_id"), F.col("e.other").alias("nbr_id"))
 
 

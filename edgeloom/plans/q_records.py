@@ -79,7 +79,7 @@ def q_refolded_lines(spark, sf_dir):
     late_v, late_e = (F.col("label") == MOBILE) & (F.col("id") % 9 == 0), F.col("start_id") % 7 == 3
     write_graph(spark, base, vertices.withColumn("status", F.when(~late_v, F.col("status"))), edges.where(~late_e), part_ids=500)
     before = read_graph(spark, base)
-    lines = freeze(encode_adjacency(build_adjacency(vertex_records(by_label(before.vertices)), before.edges)), "lines")
+    lines = freeze(encode_adjacency(build_adjacency(vertex_records(by_label(before.vertices)), before.edges, edges_stored=True)), "lines")
     names = vertices.select("id", "name")
     e_delta = (edges.where(late_e).join(names.toDF("start_id", "start_name"), "start_id").join(names.toDF("end_id", "end_name"), "end_id")
                .select("start_name", "label", "end_name", "mgm", F.coalesce("mgm", F.lit(-1)).alias("ord")))
@@ -140,7 +140,7 @@ select label, start_id, end_id, count(*) as copies from edges where label in ('C
 """)
 def q_counted_duplicates(spark, sf_dir):
     """A6 from counts: all edges added, those of two labels taken away again."""
-    e = graph(spark, sf_dir).edges
+    e = freeze(graph(spark, sf_dir).edges, "edges")  # counted twice
     gone = edge_counts(e.where(F.col("label").isin("HAS", "USE_WIFI")), sign=-1)
     return counted_duplicates(_counted(spark, EDGE_KEYS, [edge_counts(e), gone], EDGE_COUNTS))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.adjacency import (build_adjacency, decode_vertices, encode_adjacency, encode_rejects, missing_halves,
                                    vertex_records)
 from ..schema import CALL, DEVICE, MOBILE
-from ..session import fresh_folder
+from ..session import freeze, fresh_folder
 from ..sinks.tables import create_table_as, insert_overwrite, read_in_edges, read_snapshot, replace_table
 from ..sinks.text import export_edges, export_vertices, write_adjacency_text, write_csv, write_lines
 from ..sinks.versions import current_version, publish_snapshot
@@ -210,7 +210,9 @@ def q_round_trip_edge_text(spark, sf_dir):
     so any garbled, lost or additional line shows in the number.
     """
     path = fresh_folder(spark, "edges")
-    exported = edge_lines(spark, sf_dir)
+    # the edges are stored once: their lines are printed twice, to be written and to be compared with
+    edges = {label: freeze(e, "staged-edges") for label, e in fx.staged_edges(spark, sf_dir).items()}
+    exported = {label: export_edges(e, label).withColumnRenamed("line", "value") for label, e in edges.items()}
     for label, lines in exported.items():
         write_lines(lines.withColumnRenamed("value", "line"), f"{path}/{label}")
     sides = [lines.select("value", F.lit(1).alias("wrote"), F.lit(0).alias("got")) for lines in exported.values()]

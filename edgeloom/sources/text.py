@@ -85,6 +85,10 @@ def with_load_errors(parsed: DataFrame, labels) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- edges
+#: a line as the export writes it, without a comma inside its quotes
+_PLAIN_LINE = '^"[^",]*","[^",]*","[^",]*"(,[^",]*)?$'
+
+
 def parse_edge_lines(lines: DataFrame, *carried: str) -> DataFrame:
     """Parse edge lines into (line, fields, n_fields, quoted_comma), with the ``carried`` columns.
 
@@ -97,6 +101,7 @@ def parse_edge_lines(lines: DataFrame, *carried: str) -> DataFrame:
     fields = java_split(strip_quotes(line), ",")
     quoted = F.regexp_extract_all(line, F.lit('"([^"]*)"'), 1)
     quoted_comma = (F.instr(line, '"') > 0) & F.exists(quoted, lambda x: F.instr(x, ",") > 0)
+    quoted_comma = F.when(line.rlike(_PLAIN_LINE), F.lit(False)).otherwise(quoted_comma)  # nearly all: one match, no lists
     return lines.select(line.alias("line"), fields.alias("fields"), F.size(fields).alias("n_fields"),
                         quoted_comma.alias("quoted_comma"), *carried)
 

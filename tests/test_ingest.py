@@ -1,7 +1,7 @@
 """Readers on hand-written lines, including the malformed cases."""
 
 from edgeloom.operators.stage import stage_device, stage_mobile
-from edgeloom.sources.text import (edge_line_errors, ingest_call_edges, ingest_edges, ingest_labelled_edges,
+from edgeloom.sources.text import (edge_line_errors, parse_edge_lines, ingest_call_edges, ingest_edges, ingest_labelled_edges,
                                    ingest_vertices, only_label, parse_vertex_lines, vertex_line_errors)
 
 
@@ -103,3 +103,14 @@ def test_load_keeps_what_it_refuses(spark):
     assert [tuple(r) for r in g.edges.collect()] == [("CALL", 1, 2, 1)]
     by_file = stage_all(v, {"CALL": e})
     assert by_file.rejects.where("source = 'edges'").count() == 2 and by_file.remaining.count() == 0
+
+
+def test_plain_lines_need_no_search_for_quoted_commas(spark):
+    lines = ['"a","CALL","b",1', '"a","CALL","b"', '"a, b","CALL","c"', '"a","CALL","b,c",1', 'a,CALL,b', '"a","CALL","b",1,2', '"a"x,"b,c"',
+             '"a","b', '"a","b","c","d,e"', '', None]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    parsed = parse_edge_lines(df)
+    want = [False, False, True, True, False, False, True, False, True, False, None]
+    got = {r.line: r.quoted_comma for r in parsed.collect()}
+    assert [got[x] for x in lines] == want
+    assert "RLIKE" in parsed._jdf.queryExecution().optimizedPlan().toString()

@@ -173,3 +173,32 @@ def test_a_swapped_table_is_whole_at_any_time(spark, monkeypatch):
     t.join()
     assert seen <= {3, 10} and spark.table("el_swapped").columns == ["a", "b"] and spark.table("el_swapped").count() == 10
     assert len(drop_old_stages(spark, "el_swapped")) == 3 and spark.table("el_swapped").count() == 10
+
+
+def test_a_fold_makes_its_edges_once(spark):
+    v = spark.createDataFrame([(k, "MOBILE", "p") for k in range(1, 31)], "id bigint, label string, props string")
+    e = spark.range(90).select(F.lit("CALL").alias("label"), (F.col("id") % 30 + 1).alias("start_id"),
+                               (F.col("id") * 7 % 30 + 1).alias("end_id"), F.lit(None).cast("int").alias("mgm"))
+    for fold in (build_adjacency, build_records):
+        p = plan(fold(v, e, hub_degree=5), "simple")
+        assert "Range (" not in p and "FileScan parquet" in p, p
+        stored = freeze(e, "e")
+        assert "fold-edges" not in plan(fold(v, stored, hub_degree=5, edges_stored=True)) and "fold-edges" in plan(fold(v, stored, hub_degree=5))
+
+
+def test_a_traversal_of_records_moves_only_its_label(spark):
+    by, edges = golden_graph(spark)
+    wide = wide_vertices(by)
+    r = freeze(build_records(wide, edges, 10 ** 6), "records")
+    start = vertices_of(r)
+    assert "filter(out_edges" in plan(out_of(r, start, "CALL")) and "filter(concat(out_edges" in plan(both_of(r, start, "CALL"))
+    assert rows(out_of(r, start, "CALL")) == rows(out_of(r, start).where("label = 'CALL'"))
+    assert rows(record_count_other_v(r, start, "CALL", "x", per_start=True)) == rows(count_other_v(wide, edges, wide.select("id"), "CALL", "x", per_start=True))
+
+
+def test_exported_edges_are_made_once(spark, monkeypatch):
+    from edgeloom.plans import q_round_trip
+    made = []
+    monkeypatch.setattr(q_round_trip, "freeze", lambda df, name: made.append(name) or freeze(df, name))
+    n = q_round_trip.q_round_trip_edge_text(spark, "/root/testdata/sf0.001").first()[0]
+    assert made == ["staged-edges"] * 4 and n == sum(e.count() for e in q_round_trip.fx.staged_edges(spark, "/root/testdata/sf0.001").values())
