@@ -5,7 +5,9 @@ A hub name that carries a large share of edges is a skewed join key: the
 id side is unique per name, so AQE's skew-join split (on by default in
 ``build_session``) divides the hub's edge partition and replicates the one
 matching id row. When the id side is small, AQE turns the join into a
-broadcast from its measured size.
+broadcast from its measured size. When it is too large for that
+(``HASHED_FROM`` vertices), each task hashes its share of the ids, so the
+edges are not sorted by names, which have long common beginnings.
 """
 
 from __future__ import annotations
@@ -18,19 +20,27 @@ from pyspark.sql import functions as F
 from ..schema import EDGE_ENDPOINTS
 
 
-def _ids(vertices: DataFrame, prefix: str) -> DataFrame:
-    return vertices.select(F.col("name").alias(f"{prefix}_name"), F.col("id").alias(f"{prefix}_id"))
+#: from so many vertices on a label's ids are too many for a broadcast: their share of the stored vertices, by which
+#: the planner decides, is past its default threshold of 10 MB (measured: 4 to 5 bytes an id)
+HASHED_FROM = 2_000_000
 
 
-def resolve_edges(edges: DataFrame, start_vertices: DataFrame, end_vertices: DataFrame) -> DataFrame:
+def _ids(vertices: DataFrame, prefix: str, hashed: bool = False) -> DataFrame:
+    ids = vertices.select(F.col("name").alias(f"{prefix}_name"), F.col("id").alias(f"{prefix}_id"))
+    return ids.hint("shuffle_hash") if hashed else ids
+
+
+def resolve_edges(edges: DataFrame, start_vertices: DataFrame, end_vertices: DataFrame, hash_start: bool = False,
+                  hash_end: bool = False) -> DataFrame:
     """J2 (strict labels): (start_id, end_id[, mgm]) for edges whose both ends exist.
 
     ``start_vertices``/``end_vertices`` are id-attached vertex tables of
-    the edge label's endpoint labels; mgm is carried when present.
+    the edge label's endpoint labels; mgm is carried when present. ``hash_start``/``hash_end``: this side's ids
+    are hashed within each task, for ids known to be too many for a broadcast.
     """
     extra = [c for c in edges.columns if c not in ("start_name", "end_name", "label")]
-    j = (edges.join(_ids(start_vertices, "start"), "start_name")
-         .join(_ids(end_vertices, "end"), "end_name"))
+    j = (edges.join(_ids(start_vertices, "start", hash_start), "start_name")
+         .join(_ids(end_vertices, "end", hash_end), "end_name"))
     return j.select("start_id", "end_id", *extra)
 
 
@@ -87,12 +97,17 @@ def resolve_any_label(edges: DataFrame, vertices_by_label: dict[str, DataFrame])
     return j.select("label", "start_id", "end_id", "mgm")
 
 
-def resolve_all(edges_by_label: dict[str, DataFrame], vertices_by_label: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Resolve each staged edge table against its label's endpoint tables."""
+def resolve_all(edges_by_label: dict[str, DataFrame], vertices_by_label: dict[str, DataFrame],
+                n_vertices: dict[str, int] | None = None) -> dict[str, DataFrame]:
+    """Resolve each staged edge table against its label's endpoint tables.
+
+    ``n_vertices``: rows of these tables, where known; it decides how ids are joined, not what is returned.
+    """
+    hashed = {label for label, n in (n_vertices or {}).items() if n >= HASHED_FROM}
     out = {}
     for label, e in edges_by_label.items():
         src, dst = EDGE_ENDPOINTS[label]
-        out[label] = resolve_edges(e, vertices_by_label[src], vertices_by_label[dst])
+        out[label] = resolve_edges(e, vertices_by_label[src], vertices_by_label[dst], src in hashed, dst in hashed)
     return out
 
 

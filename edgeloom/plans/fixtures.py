@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import base_table
 from ..schema import DEVICE, MOBILE, WIFI
+from ..session import freeze
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -137,33 +138,42 @@ def upsert_delta(rows: DataFrame) -> DataFrame:
     return once.unionByName(again)
 
 
-def _order_lines(spark: SparkSession, sf_dir: str, returned_only: bool = False) -> DataFrame:
+def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(c_name, l_partkey, l_suppkey, l_returnflag): the lines, met by orders that have their customer already.
+
+    So the lines, the largest table, are shuffled by one key only, however large the customers are.
+    """
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag")
-    if returned_only:
-        li = li.where(F.col("l_returnflag") == "R")
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = _t(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return (o.join(li, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(c, F.col("c_custkey") == F.col("o_custkey"))
-            .select("c_name", "l_partkey", "l_suppkey"))
+    buyers = o.join(c, F.col("c_custkey") == F.col("o_custkey")).select("o_orderkey", "c_name")
+    return (li.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
+            .select("c_name", "l_partkey", "l_suppkey", "l_returnflag"))
+
+
+def _distinct_edges(edges: DataFrame) -> DataFrame:
+    """Distinct (start_name, end_name), met by start_name: a join on it, as in the resolution, needs no shuffle of its own."""
+    return edges.repartition("start_name").distinct()
 
 
-def use(spark: SparkSession, sf_dir: str) -> DataFrame:
+def use(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    """USE edges by name; ``lines``: ``_order_lines`` if they are there already (so for the two below)."""
     d = device(spark, sf_dir).select(F.col("name").alias("d_name"), F.col("k"))
-    j = _order_lines(spark, sf_dir).join(d, F.col("k") == F.col("l_partkey"))
-    return j.select(F.col("c_name").alias("start_name"), F.col("d_name").alias("end_name")).distinct()
+    j = (lines or _order_lines(spark, sf_dir)).join(d, F.col("k") == F.col("l_partkey"))
+    return _distinct_edges(j.select(F.col("c_name").alias("start_name"), F.col("d_name").alias("end_name")))
 
 
-def use_wifi(spark: SparkSession, sf_dir: str) -> DataFrame:
+def use_wifi(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     w = wifi(spark, sf_dir).select(F.col("name").alias("w_name"), F.col("k"))
-    j = _order_lines(spark, sf_dir).join(w, F.col("k") == F.col("l_suppkey"))
-    return j.select(F.col("c_name").alias("start_name"), F.col("w_name").alias("end_name")).distinct()
+    j = (lines or _order_lines(spark, sf_dir)).join(w, F.col("k") == F.col("l_suppkey"))
+    return _distinct_edges(j.select(F.col("c_name").alias("start_name"), F.col("w_name").alias("end_name")))
 
 
-def has(spark: SparkSession, sf_dir: str) -> DataFrame:
+def has(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     d = device(spark, sf_dir).select(F.col("name").alias("d_name"), F.col("k"))
-    j = _order_lines(spark, sf_dir, returned_only=True).join(d, F.col("k") == F.col("l_partkey"))
-    return j.select(F.col("d_name").alias("start_name"), F.col("c_name").alias("end_name")).distinct()
+    returned = (lines or _order_lines(spark, sf_dir)).where(F.col("l_returnflag") == "R")
+    j = returned.join(d, F.col("k") == F.col("l_partkey"))
+    return _distinct_edges(j.select(F.col("d_name").alias("start_name"), F.col("c_name").alias("end_name")))
 
 
 def staged_vertices(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -173,5 +183,7 @@ def staged_vertices(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def staged_edges(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {"CALL": call(spark, sf_dir), "HAS": has(spark, sf_dir), "USE": use(spark, sf_dir),
-            "USE_WIFI": use_wifi(spark, sf_dir)}
+    """The four staged edge tables. Three are made of the order lines, which are joined once and stored for them."""
+    lines = freeze(_order_lines(spark, sf_dir), "order-lines")
+    return {"CALL": call(spark, sf_dir), "HAS": has(spark, sf_dir, lines), "USE": use(spark, sf_dir, lines),
+            "USE_WIFI": use_wifi(spark, sf_dir, lines)}

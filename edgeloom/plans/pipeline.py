@@ -53,8 +53,9 @@ def load_graph(staged_vertices: dict[str, DataFrame], staged_edges: dict[str, Da
 
     With ``materialize`` the id-attached vertices are written once: every
     edge label's resolution reads them, and a stored table carries the size
-    statistics from which the planner picks its joins.
+    statistics from which the planner picks its joins. Their number by label says which ids are hashed.
     """
+    n_vertices = None
     conflicts = conflicts_by_name(staged_vertices)
     clean = dict(staged_vertices)
     clean[give_way] = remove_conflicting(clean[give_way], conflicts)
@@ -62,9 +63,10 @@ def load_graph(staged_vertices: dict[str, DataFrame], staged_edges: dict[str, Da
     if materialize:  # one join of the id map for all labels, stored once
         wide = freeze(attach_ids(union_staged(clean), ids), "vertex-ids")
         with_ids = {label: wide.where(F.col("label") == label).select("id", *columns_for(label)) for label in clean}
+        n_vertices = {r["label"]: r["count"] for r in wide.groupBy("label").count().collect()}
     else:
         with_ids = {label: attach_ids(v, ids) for label, v in clean.items()}
-    resolved = resolve_all(staged_edges, with_ids)
+    resolved = resolve_all(staged_edges, with_ids, n_vertices)
     return LoadedGraph(ids=ids, vertices=with_ids, resolved=resolved, conflicts=conflicts,
                        staged_vertices=staged_vertices, staged_edges=staged_edges,
                        remaining=conflicts_by_name(clean))

@@ -81,7 +81,7 @@ select 'out' as side, label, start_id, end_id, mgm from edges union all select '
 def q_round_trip_snapshot(spark, sf_dir):
     """A published snapshot: both edge layouts hold every edge."""
     g, base = graph(spark, sf_dir), fresh_folder(spark, "graph")
-    publish_snapshot(spark, base, g.wide_vertices(), g.edges)
+    publish_snapshot(spark, base, g.wide_vertices(), g.edges, vertices_stored=True)
     path = current_version(spark, base)
     _, out = read_snapshot(spark, path)
     return out.select(F.lit("out").alias("side"), "*").unionByName(

@@ -85,11 +85,12 @@ def write_snapshot(vertices: DataFrame, edges: DataFrame, path: str, vertices_st
     """Write a graph snapshot below ``path`` (a fresh folder).
 
     A range layout reads its input twice (to find the ranges, then to write), and edges have two layouts:
-    so both inputs are stored once, and what they are made of runs once. ``vertices_stored``: the vertices are
+    so both inputs are stored once, and what they are made of runs once; the edges in runs of their ends, which
+    compress well here and in both shuffles. ``vertices_stored``: the vertices are
     read from a table already, as those of ``stage_all`` are, and need not be stored again.
     """
     vertices = vertices if vertices_stored else freeze(vertices, "snapshot-vertices")
-    edges = freeze(edges, "snapshot-edges")
+    edges = freeze(edges.sortWithinPartitions("end_id"), "snapshot-edges")
     (vertices.repartitionByRange("id").sortWithinPartitions("id").write.parquet(f"{path}/vertices"))
     for name, key in (("edges", "start_id"), ("edges_in", "end_id")):
         (edges.repartitionByRange("label", key).sortWithinPartitions("label", key)
