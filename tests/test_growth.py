@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from edgeloom.operators import resolve
+from edgeloom.operators import adjacency, resolve
 from edgeloom.plans import fixtures as fx
 from edgeloom.plans import q_round_trip
 from edgeloom.plans.pipeline import load_graph
@@ -115,6 +115,12 @@ def _mixed(spark):
     return spark.createDataFrame(rows, "label string, start_id bigint, end_id bigint, mgm int").coalesce(1), rows
 
 
+def test_a_fold_stores_its_edges_in_runs_of_their_ends(spark):
+    edges, rows = _mixed(spark)
+    got = [tuple(r) for r in adjacency.stored_edges(edges, False).collect()]
+    assert [r[2] for r in got] == sorted(r[2] for r in rows) and sorted(got, key=str) == sorted(rows, key=str)
+
+
 def test_a_snapshot_stores_its_edges_in_runs_of_their_ends(spark, scratch_dir, monkeypatch):
     kept, freeze = {}, tables.freeze
     monkeypatch.setattr(tables, "freeze", lambda df, name: kept.setdefault(name, freeze(df, name)))
