@@ -35,6 +35,8 @@ from ..session import freeze
 DEFAULT_HUB_DEGREE = 65536
 #: hubs are broadcast, so the degree that makes a hub rises with the edges: there are never more than this
 MAX_HUBS = 1_000_000
+#: half-edges that a task of a fold sorts and prints, where the number of edges is known: some 250 MB in memory
+HALVES_OF_A_TASK = 1_000_000
 
 # Edge labels ranked alphabetically: sorting by rank sorts by label text.
 _LABEL_RANK = {label: i for i, label in enumerate(sorted(EDGE_ENDPOINTS))}
@@ -71,20 +73,26 @@ def vertex_records(vertices_by_label: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def half_edges(edges: DataFrame) -> DataFrame:
+def half_edges(edges: DataFrame, in_edges: DataFrame | None = None) -> DataFrame:
     """Each edge once from each end, in one pass: (id, slot, other, mgm).
 
     ``slot`` = 2 * label rank + (1 for the out side): a small int, so the
     shuffle keys below are all fixed-width. Labels outside the schema have
-    no endpoint label and are dropped.
+    no endpoint label and are dropped. ``in_edges``: the in sides are made of these, and only the out sides of ``edges``.
     """
+    if in_edges is not None:
+        return _sides(edges, ("out",)).unionByName(_sides(in_edges, ("in",)))
+    return _sides(edges, ("out", "in"))
+
+
+def _sides(edges: DataFrame, which: tuple[str, ...]) -> DataFrame:
     mgm = F.col("mgm") if "mgm" in edges.columns else F.lit(None).cast("int")
     rank = F.element_at(_lit_map(_LABEL_RANK), F.col("label"))
     out = F.struct(F.col("start_id").alias("id"), (rank * 2 + 1).alias("slot"), F.col("end_id").alias("other"),
                    mgm.alias("mgm"))
     inn = F.struct(F.col("end_id").alias("id"), (rank * 2).alias("slot"), F.col("start_id").alias("other"),
                    mgm.alias("mgm"))
-    return edges.where(rank.isNotNull()).select(F.inline(F.array(out, inn)))
+    return edges.where(rank.isNotNull()).select(F.inline(F.array(*({"out": out, "in": inn}[w] for w in which))))
 
 
 def _side_label() -> Column:
@@ -109,23 +117,24 @@ def stored_edges(edges: DataFrame, stored: bool) -> DataFrame:
     return cols if stored else freeze(cols.sortWithinPartitions("end_id"), "fold-edges")
 
 
-def hub_ids(edges: DataFrame, hub_degree: int = DEFAULT_HUB_DEGREE) -> DataFrame:
+def hub_ids(edges: DataFrame, hub_degree: int = DEFAULT_HUB_DEGREE, in_edges: DataFrame | None = None,
+            n_edges: int | None = None) -> DataFrame:
     """(id) of the vertices with more half-edges than ``hub_degree``, at most ``MAX_HUBS`` of them.
 
     With E edges there are 2E half-edges, and fewer than 2E / d vertices with more than d; so d is raised
-    to 2E / MAX_HUBS where that is more.
+    to 2E / MAX_HUBS where that is more. ``n_edges``: E or more, where it is known and need not be counted.
     """
-    total = edges.select((F.count(F.lit(1)) * 2 / MAX_HUBS).alias("d")).scalar()
-    return (half_edges(edges).groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
+    total = edges.select((F.count(F.lit(1)) * 2 / MAX_HUBS).alias("d")).scalar() if n_edges is None else F.lit(2 * n_edges / MAX_HUBS)
+    return (half_edges(edges, in_edges).groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
             .where(F.col("degree") > F.greatest(F.lit(float(hub_degree)), total)).select("id"))
 
 
-def hub_parts(edges: DataFrame, hubs: DataFrame) -> DataFrame:
+def hub_parts(edges: DataFrame, hubs: DataFrame, in_edges: DataFrame | None = None) -> DataFrame:
     """(id, vlabel, slot, part, text): the entries of hub vertices in ordered parts.
 
     ``hubs`` is broadcast (bounded, see ``hub_ids``). Copies of an edge are one row until they are printed.
     """
-    rows = half_edges(edges).join(F.broadcast(hubs), "id", "left_semi")
+    rows = half_edges(edges, in_edges).join(F.broadcast(hubs), "id", "left_semi")
     counted = rows.groupBy("id", "slot", "other", "mgm").agg(F.count(F.lit(1)).alias("n"))
     ranged = counted.repartitionByRange("id", "slot", "other").withColumn("part", F.spark_partition_id())
     entry = F.struct("other", _entry(F.col("slot"), F.col("other"), F.col("mgm")).alias("entry"), "n")
@@ -135,7 +144,8 @@ def hub_parts(edges: DataFrame, hubs: DataFrame) -> DataFrame:
 
 
 def build_adjacency(vertices: DataFrame, edges: DataFrame, hub_degree: int = DEFAULT_HUB_DEGREE,
-                    edges_stored: bool = False) -> DataFrame:
+                    edges_stored: bool = False, in_edges: DataFrame | None = None, n_edges: int | None = None,
+                    share: float = 1.0) -> DataFrame:
     """(id, label, props, error, in_edges, out_edges) per vertex.
 
     ``vertices``: (id, label, props[, error]) as from ``vertex_records``;
@@ -145,18 +155,26 @@ def build_adjacency(vertices: DataFrame, edges: DataFrame, hub_degree: int = DEF
     vertex is missing are left out (``missing_halves`` counts them); of
     several vertex rows with one (id, label) the smallest props text is kept. ``edges_stored``: the edges are
     read from a table already and are not stored again.
+
+    ``in_edges``: the edges as laid out by end_id, where both layouts are there. Then the out sides come from
+    ``edges`` and the in sides from these, each in runs of their vertex, which makes their shuffle about half as large.
+    ``n_edges``: how many edges there are at most, if known, of which about a ``share`` is folded. Half-edges in runs are so
+    small when shuffled that tasks cut by bytes hold too many for their memory; so they are cut by number (``HALVES_OF_A_TASK``).
     """
     edges = stored_edges(edges, edges_stored)
-    hubs = hub_ids(edges, hub_degree)
-    half = (half_edges(edges).join(F.broadcast(hubs), "id", "left_anti")
+    in_edges = None if in_edges is None else stored_edges(in_edges, edges_stored)
+    hubs = hub_ids(edges, hub_degree, in_edges, n_edges)
+    half = (half_edges(edges, in_edges).join(F.broadcast(hubs), "id", "left_anti")
             .select("id", _side_label().alias("vlabel"), "slot", "other", "mgm"))
     # a finished part of a hub takes the place of an entry; a vertex has entries or parts, never both
-    parts = hub_parts(edges, hubs).select("id", "vlabel", "slot", F.col("part").cast("bigint").alias("other"), "text")
+    parts = hub_parts(edges, hubs, in_edges).select("id", "vlabel", "slot", F.col("part").cast("bigint").alias("other"), "text")
     error = F.col("error") if "error" in vertices.columns else F.lit(None).cast("string")
     rows = vertices.select("id", F.col("label").alias("vlabel"), F.struct("props", error.alias("error")).alias("vertex"))
     rows = rows.unionByName(half, allowMissingColumns=True).unionByName(parts, allowMissingColumns=True)
     # shuffled as they are and printed as columns behind it: nothing is collected before, where few halves of a vertex meet
-    rows = rows.repartition("id", "vlabel").withColumn("text", F.coalesce("text", _entry(F.col("slot"), F.col("other"), F.col("mgm"))))
+    tasks = int(2 * (n_edges or 0) * share) // HALVES_OF_A_TASK
+    few = (max(tasks, rows.sparkSession.sparkContext.defaultParallelism),) if tasks > 1 else ()
+    rows = rows.repartition(*few, "id", "vlabel").withColumn("text", F.coalesce("text", _entry(F.col("slot"), F.col("other"), F.col("mgm"))))
     entry = F.struct("slot", "other", "text")
     side = {name: F.sort_array(F.collect_list(F.when(F.col("slot") % 2 == out, entry))) for name, out in (("in", 0), ("out", 1))}
     adj = (rows.groupBy("id", "vlabel").agg(F.min("vertex").alias("vertex"), *(c.alias(name) for name, c in side.items()))

@@ -3,6 +3,9 @@
 A line shows its vertex' properties and, of every edge, the label, the other
 end's id and mgm. So a changed vertex changes its own line, a changed edge
 the lines of both of its ends, and nothing else.
+
+The touched ids may be most of a large graph's, too many for a broadcast. So they are kept as a packed set
+(``idset``), by which stored lines and edges are picked without being shuffled.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from pyspark.sql import functions as F
 from ..plans.graph import by_label
 from ..sinks.layers import Graph, layers_of
 from .adjacency import build_adjacency, vertex_records
+from .idset import IdSet, pack_ids
 
 
 def touched_ids(graph: Graph, since: Graph | None = None) -> DataFrame:
@@ -28,17 +32,23 @@ def touched_ids(graph: Graph, since: Graph | None = None) -> DataFrame:
     return reduce(DataFrame.unionByName, ids).distinct()
 
 
-def fold_touched(graph: Graph, touched: DataFrame) -> DataFrame:
-    """The adjacency (``build_adjacency``) of the touched vertices only; reads the parts that they and their edges are in."""
-    mine = graph.rows("vertices", graph.parts_of("vertices", touched)).join(touched, "id", "left_semi")
-    at = lambda table, c: graph.rows(table, graph.parts_of(table, touched.withColumnRenamed("id", c))).join(
-        touched.withColumnRenamed("id", c), c, "left_semi")
-    out = at("edges", "start_id")
-    back = at("edges_in", "end_id").join(touched.withColumnRenamed("id", "start_id"), "start_id", "left_anti")  # not twice
-    return build_adjacency(vertex_records(by_label(mine)), out.unionByName(back))
+def fold_touched(graph: Graph, touched: DataFrame, ids: IdSet | None = None) -> DataFrame:
+    """The adjacency (``build_adjacency``) of the touched vertices only; reads the parts that they and their edges are in.
+
+    A touched vertex takes its out sides from the edges laid out by start and its in sides from those laid out by end, so
+    no edge is taken twice. ``ids``: the touched ids as a set, if it is there already.
+    """
+    ids = ids or pack_ids(touched, "id")
+    parts = graph.parts_of("vertices", touched)  # all tables are cut at the same ids
+    mine = ids.of(graph.rows("vertices", parts), "id")
+    out, back = ids.of(graph.rows("edges", parts), "start_id"), ids.of(graph.rows("edges_in", parts), "end_id")
+    share = min(1.0, touched.count() / max(1, int(graph.commit.parts["top"])))
+    return build_adjacency(vertex_records(by_label(mine)), out, edges_stored=True, in_edges=back, n_edges=graph.most("edges"),
+                           share=share)
 
 
 def refold(lines: DataFrame, graph: Graph, touched: DataFrame, encode) -> DataFrame:
     """The lines (id, label, ...) of ``graph``: those of touched vertices are made anew, by ``encode`` of their
     adjacency, the others are taken over."""
-    return lines.join(touched, "id", "left_anti").unionByName(encode(fold_touched(graph, touched)))
+    ids = pack_ids(touched, "id")
+    return ids.of(lines, "id", "left_anti").unionByName(encode(fold_touched(graph, touched, ids)))

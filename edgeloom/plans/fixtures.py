@@ -184,6 +184,6 @@ def staged_vertices(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def staged_edges(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four staged edge tables. Three are made of the order lines, which are joined once and stored for them."""
-    lines = freeze(_order_lines(spark, sf_dir), "order-lines")
+    lines = freeze(_order_lines(spark, sf_dir), "order-lines", packed=True)
     return {"CALL": call(spark, sf_dir), "HAS": has(spark, sf_dir, lines), "USE": use(spark, sf_dir, lines),
             "USE_WIFI": use_wifi(spark, sf_dir, lines)}

@@ -75,11 +75,13 @@ def q_record_count_other_v(spark, sf_dir):
 def q_refolded_lines(spark, sf_dir):
     """The lines of a graph that lacks statuses and edges, brought up to date after the increment that adds them."""
     g, base = graph(spark, sf_dir), fresh_folder(spark, "refold")
-    vertices, edges = freeze(g.wide_vertices(), "vertices"), freeze(g.edges, "edges")
+    vertices, edges = freeze(g.wide_vertices(), "vertices"), freeze(g.edges.sortWithinPartitions("start_id"), "edges", packed=True)
     late_v, late_e = (F.col("label") == MOBILE) & (F.col("id") % 9 == 0), F.col("start_id") % 7 == 3
-    write_graph(spark, base, vertices.withColumn("status", F.when(~late_v, F.col("status"))), edges.where(~late_e), part_ids=500)
+    write_graph(spark, base, vertices.withColumn("status", F.when(~late_v, F.col("status"))), edges.where(~late_e), part_ids=500,
+                stored=True)
     before = read_graph(spark, base)
-    lines = freeze(encode_adjacency(build_adjacency(vertex_records(by_label(before.vertices)), before.edges, edges_stored=True)), "lines")
+    lines = freeze(encode_adjacency(build_adjacency(vertex_records(by_label(before.vertices)), before.edges, edges_stored=True,
+                                                    in_edges=before.edges_in, n_edges=before.most("edges"))), "lines", packed=True)
     names = vertices.select("id", "name")
     e_delta = (edges.where(late_e).join(names.toDF("start_id", "start_name"), "start_id").join(names.toDF("end_id", "end_name"), "end_id")
                .select("start_name", "label", "end_name", "mgm", F.coalesce("mgm", F.lit(-1)).alias("ord")))

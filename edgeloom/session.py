@@ -13,6 +13,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: Parquet codec of the tables that take the most disk
+PACKED = "zstd"
 
 
 def build_session(master: str | None = None, app: str = "edgeloom",
@@ -58,7 +60,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def freeze(df: DataFrame, name: str = "frozen") -> DataFrame:
+def freeze(df: DataFrame, name: str = "frozen", packed: bool = False) -> DataFrame:
     """Write ``df`` as a parquet table under the checkpoint folder and read it back.
 
     Cuts lineage (a result that must not change if a stage is recomputed
@@ -67,10 +69,11 @@ def freeze(df: DataFrame, name: str = "frozen") -> DataFrame:
     frozen table can be broadcast from the plan's start. The folder comes
     from ``checkpoint_dir``: shared storage on a cluster. Spark makes one
     folder per application there; its tables are of no use after the job,
-    and the operator of the cluster removes them with the folder.
+    and the operator of the cluster removes them with the folder. ``packed``: for the tables that take the most
+    disk (edges, lines), written with a codec that packs tighter and takes more time.
     """
     path = fresh_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.option("compression", PACKED) if packed else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -19,15 +19,16 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.idset import IdSet, pack_ids
 from ..operators.increment import increment_vertices, resolve_delta, upsert_resolved, vertex_rejects
 from ..operators.merge import dangling_edges
-from ..session import freeze
+from ..session import PACKED, freeze
 from .names import BUCKET_NAMES, NameIndex, buckets_for, write_names
 from .parts import part_size
 from .tables import next_version
@@ -41,38 +42,52 @@ TABLES = {"vertices": ("id", ("id",)), "edges": ("start_id", ("label", "start_id
 _EDGE = ["label", "start_id", "end_id", "mgm"]
 
 
-def _write_table(df: DataFrame, table: str, folder: str, width: int) -> dict[str, str]:
-    """Write rows of a table into parts below ``folder``; the commit's entries for the parts written."""
+def _write_table(df: DataFrame, table: str, folder: str, width: int, ranged: bool = False) -> dict[str, str]:
+    """Write rows of a table into parts below ``folder``; the commit's entries for the parts written.
+
+    ``ranged``: the rows are in ranges of the table's order already.
+    """
     place, key = TABLES[table]
     label = [] if table == "vertices" else ["label"]
-    order = [*label, place, *(k for k in key if k not in (*label, place))]  # a hub's edges are cut by their other end
-    rows = df.withColumn("part", F.floor(F.col(place) / width))
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy(*label, "part").parquet(f"{folder}/{table}")
-    return {f"{table}/{r[0]}": folder for r in rows.select("part").distinct().collect()}  # a row a part
+    rest = [place, *(k for k in key if k not in (*label, place))]  # a hub's edges are cut by their other end
+    rows = (df if ranged else df.repartitionByRange(*label, *rest)).withColumn("part", F.floor(F.col(place) / width))
+    (rows.sortWithinPartitions(*label, "part", *rest).write.option("compression", PACKED)  # the order that the writer asks for, too
+     .partitionBy(*label, "part").parquet(f"{folder}/{table}"))
+    written = df.sparkSession.read.schema(f"{place} bigint, {'label string, ' if label else ''}part bigint").parquet(f"{folder}/{table}")
+    return {f"{table}/{r[0]}": folder for r in written.select("part").distinct().collect()}  # a row a part
 
 
 def write_graph(spark: SparkSession, base: str, vertices: DataFrame, edges: DataFrame, part_ids: int = PART_IDS,
-                bucket_names: int = BUCKET_NAMES) -> Commit:
+                bucket_names: int = BUCKET_NAMES, stored: bool = False) -> Commit:
     """Publish a loaded graph as the base of layers. Copies of an edge are folded (largest mgm), once and for all.
 
+    The layout by end is made of the layout by start. ``stored``: vertices and edges are read from tables already. Then
+    vertices are not stored again, and copies of an edge meet in the range of the layout that they are written to; else edges are
+    folded first, as ranges read their input twice.
+
     ``part_ids`` and ``bucket_names`` below the standard ones are raised where they make more than ``parts.FEW_PARTS``
     parts or buckets: every one of them is a folder with files in each table.
     """
     path = next_version(base)
-    vertices = freeze(vertices, "graph-vertices")
-    edges = freeze(edges.groupBy(*_EDGE[:3]).agg(F.max("mgm").alias("mgm")), "graph-edges")
+    vertices = vertices if stored else freeze(vertices, "graph-vertices")
+    edges = (edges.repartitionByRange(*_EDGE[:3]) if stored else edges).groupBy(*_EDGE[:3]).agg(F.max("mgm").alias("mgm"))
     names, top = vertices.agg(F.count("name"), F.coalesce(F.max("id"), F.lit(0))).first()
     buckets = buckets_for(names, bucket_names)
     write_names(vertices, f"{path}/names", buckets, names)
     width = part_size(top, part_ids, PART_IDS)
     parts = {"width": str(width), "top": str(top), "buckets": str(buckets), "bucket_names": str(bucket_names),
              "increments": "0", "names/0": f"{path}/names", "columns": vertices.schema.json()}
-    for table in TABLES:
-        parts |= _write_table(vertices if table == "vertices" else edges, table, path, width)
+    parts |= _write_table(vertices, "vertices", path, width)
+    parts |= _write_table(edges, "edges", path, width, ranged=stored)
+    parts |= _write_table(_read_edges(spark, f"{path}/edges").select(*_EDGE), "edges_in", path, width)
     last = current_commit(spark, base)
     return publish(spark, base, path, parts, drop=[k for k in (last.parts if last else {}) if k not in parts])
 
 
+def _read_edges(spark: SparkSession, folder: str, partitioned: bool = True) -> DataFrame:
+    return spark.read.schema(f"start_id bigint, end_id bigint, mgm int, label string{', part bigint' if partitioned else ''}").parquet(folder)
+
+
 def layers_of(commit: Commit) -> list[str]:
     """The commit's layer entries, oldest first."""
     return sorted(k for k in commit.parts if k.startswith("layer/"))
@@ -133,8 +148,7 @@ class Graph:
     def _read(self, table: str, folder: str, partitioned: bool) -> DataFrame:
         if table == "vertices":
             return self.spark.read.parquet(f"{folder}/{table}")
-        part = ", part bigint" if partitioned else ""
-        rows = self.spark.read.schema(f"start_id bigint, end_id bigint, mgm int, label string{part}").parquet(f"{folder}/{table}")
+        rows = _read_edges(self.spark, f"{folder}/{table}", partitioned)
         return rows.select(*_EDGE, *(["part"] if partitioned else []))
 
     def layered(self, table: str, only: list[int] | None = None) -> DataFrame | None:
@@ -154,12 +168,28 @@ class Graph:
         last = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), "_layer").alias("_row"))
         return last.select(*key, *(F.col(f"_row.`{c}`").alias(c) for c in rest))
 
+    @cached_property
+    def _layer_starts(self) -> IdSet:
+        """The starts of the layers' edges."""
+        return pack_ids(reduce(DataFrame.unionByName, [
+            self._read("edges", self.commit.parts[k], partitioned=False).select("start_id") for k in layers_of(self.commit)]), "start_id")
+
+    def most(self, table: str) -> int:
+        """The rows of ``table``, those that layers replace included."""
+        over = [self._read("edges" if table == "edges_in" else table, self.commit.parts[k], partitioned=False) for k in layers_of(self.commit)]
+        return self.stored(table).count() + sum(o.count() for o in over)
+
     def rows(self, table: str, only: list[int] | None = None) -> DataFrame:
         """The rows of ``table``: the base's that no layer replaces, and the layers'."""
         base, over = self.stored(table, only), self.layered(table, only)
         if over is None:
             return base
-        out = base.join(over.select(*TABLES[table][1]), list(TABLES[table][1]), "left_anti").unionByName(over, allowMissingColumns=True)
+        key = list(TABLES[table][1])
+        same, safe = base, []
+        if table != "vertices" and self._layer_starts.small:  # an edge whose start has none in a layer stands, without a shuffle
+            same, safe = self._layer_starts.of(base, "start_id"), [self._layer_starts.of(base, "start_id", "left_anti")]
+        stands = reduce(DataFrame.unionByName, [*safe, same.join(over.select(*key), key, "left_anti")])
+        out = stands.unionByName(over, allowMissingColumns=True)
         return out.select(*(["id", *(c for c in out.columns if c != "id")] if table == "vertices" else _EDGE))
 
 
@@ -197,11 +227,13 @@ def increment(spark: SparkSession, base: str, vertex_delta: DataFrame, edge_delt
         if count:
             write_names(new, f"{path}/names", int(last.parts["buckets"]), count)
         known = found.unionByName(new)
-        resolved = freeze(resolve_delta(e_delta, known), "resolved-delta")
-        keys = resolved.select(*_EDGE[:3]).distinct()
-        old = g.rows("edges", g.parts_of("edges", keys)).join(keys, _EDGE[:3], "left_semi")
+        resolved = freeze(resolve_delta(e_delta, known).sortWithinPartitions("start_id"), "resolved-delta")
+        keys = resolved.select(*_EDGE[:3])
+        starts, at = pack_ids(keys, "start_id"), g.rows("edges", g.parts_of("edges", keys))
+        old = (starts.of(at, "start_id") if starts.small else at).join(keys, _EDGE[:3], "left_semi")
         changed = upsert_resolved(old, resolved)
-        changed.repartitionByRange("label", "start_id").sortWithinPartitions("label", "start_id").write.parquet(f"{path}/edges")
+        (changed.repartitionByRange("label", "start_id").sortWithinPartitions("label", "start_id").write
+         .option("compression", PACKED).parquet(f"{path}/edges"))
         refused = vertex_rejects(now, v_delta).select(F.to_json(F.struct("label", "name")).alias("line"), "error")
         lost = dangling_edges(e_delta, known).select(F.to_json(F.struct("start_name", "label", "end_name")).alias("line"),
                                                      F.concat(F.lit("missing: "), "missing").alias("error"))
